@@ -9,8 +9,10 @@ from pyspark.sql import functions as F
 
 from tallyworks.functions import money
 from tallyworks.operators.joins import lookup, same_key
+from tallyworks.session import pin
 
 PART_ROWS = 50_000
+BROADCAST_KEYS = 200_000
 
 
 def count_by(df: DataFrame, *keys: str, into: str = "count") -> DataFrame:
@@ -76,22 +78,36 @@ def nest(
     tasks; exploding all parts returns every input row. Call it on a scan (not
     after a join), where row positions repeat when a task is run again.
     ``sizes`` may hand in the rows per key (column ``_rows``) if known.
+
+    The keys that need parts are found by a first job over the key columns and
+    kept in shared storage. Up to ``BROADCAST_KEYS`` of them are broadcast;
+    more are joined by a shuffle.
     """
     if sizes is None:
         sizes = df.groupBy(*keys).agg(F.count("*").alias("_rows"))
-    large = sizes.where(F.col("_rows") > part_rows).select(
-        *keys, part_count("_rows", part_rows).alias("_parts")
+    large = pin(
+        sizes.where(F.col("_rows") > part_rows).select(
+            *keys, part_count("_rows", part_rows).alias("_parts")
+        )
     )
     placed = df.select(
         *keys,
         F.struct(*fields).alias("_item"),
         F.xxhash64(F.monotonically_increasing_id()).alias("_slot"),
     )
-    part = F.coalesce(F.pmod("_slot", F.col("_parts")), F.lit(0)).cast("int")
+    # Few keys are large, mostly none. Knowing how many before the items are
+    # touched lets these be shuffled once, straight to their (key, part).
+    found = large.limit(BROADCAST_KEYS + 1).count()
+    if found == 0:
+        parted = placed.withColumn("part", F.lit(0))
+    else:
+        side = F.broadcast(large) if found <= BROADCAST_KEYS else large
+        part = F.coalesce(F.pmod("_slot", F.col("_parts")), F.lit(0)).cast("int")
+        parted = placed.join(side, same_key(placed, large, keys), "left").select(
+            *(placed[key] for key in keys), part.alias("part"), "_item"
+        )
     return (
-        placed.join(large, same_key(placed, large, keys), "left")
-        .select(*(placed[key] for key in keys), part.alias("part"), "_item")
-        .repartition(*keys, "part")
+        parted.repartition(*keys, "part")
         .groupBy(*keys, "part")
         .agg(F.sort_array(F.collect_list("_item")).alias(into))
     )
@@ -113,6 +129,7 @@ def nested_under(
     part) and the parts of one parent are spread over tasks. ``summary`` adds
     aggregates over all children of a parent.
     """
+    children = children.dropna(subset=list(keys))
     sizes = children.groupBy(*keys).agg(F.count("*").alias("_rows"), *summary)
     nested = nest(children, keys, fields, into, part_rows, sizes)
     last = part_count("_rows", part_rows) - 1

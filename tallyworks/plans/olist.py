@@ -95,14 +95,10 @@ def largest_basket(items: DataFrame) -> DataFrame:
     return items.agg(F.max("order_item_id").alias("max_num_items_sold"))
 
 
-def products_by_city(
-    items: DataFrame,
-    orders: DataFrame,
-    customers: DataFrame,
-    geo: DataFrame,
-    ordered: bool = True,
+def sold_products(
+    items: DataFrame, orders: DataFrame, customers: DataFrame, geo: DataFrame
 ) -> DataFrame:
-    """Lines sold per state, city and product.
+    """Product, state and city of every line.
 
     The place is brought to the customers, then to the orders, and meets the
     many lines last, so only two narrow columns travel along.
@@ -119,20 +115,27 @@ def products_by_city(
     order_place = joins.lookup(
         orders.select("order_id", "customer_id"), place.drop("zip"), "customer_id"
     ).drop("customer_id")
-    counted = (
+    return (
         items.select("order_id", F.col("product_id").alias("product"))
         .join(order_place, "order_id")
-        .groupBy("state", "city", "product")
-        .agg(F.count("product").alias("qtd"))
+        .drop("order_id")
     )
+
+
+def products_by_city(sold: DataFrame, ordered: bool = True) -> DataFrame:
+    """Lines sold per state, city and product."""
+    counted = sold.groupBy("state", "city", "product").agg(F.count("product").alias("qtd"))
     return counted.orderBy("state", "city", F.desc("product")) if ordered else counted
 
 
-def top_product_by_state(by_city: DataFrame) -> DataFrame:
-    """The product sold most in each state; of equals, the first by id."""
-    sales = by_city.groupBy("state", "product").agg(F.sum("qtd").alias("total_sales"))
-    return windows.top_k(sales, ["state"], [F.desc("total_sales"), F.asc("product")], 1).select(
-        "state", "product", "total_sales"
+def top_product(sold: DataFrame, place: str = "state") -> DataFrame:
+    """The product sold most in each state (or city); of equals, the first by id.
+
+    Counted from the lines: adding up the counts per city would shuffle twice.
+    """
+    sales = sold.groupBy(place, "product").agg(F.count("product").alias("total_sales"))
+    return windows.top_k(sales, [place], [F.desc("total_sales"), F.asc("product")], 1).select(
+        place, "product", "total_sales"
     )
 
 

@@ -73,36 +73,39 @@ def category_rentals(
     customer: DataFrame,
     film: DataFrame,
     country: str = "Argentina",
+    inventory: DataFrame | None = None,
     ordered: bool = True,
 ) -> DataFrame:
     """Rentals per category by customers of one country.
 
-    Rentals are counted per customer and film first, so a busy customer or
-    film is one of many counted rows when it meets the joins.
+    Rentals that do not name their film yet get it from ``inventory``, after
+    those of other countries are gone. They are counted per film before the
+    film list is joined.
     """
-    counted = rental.groupBy("customer_id", "film_id").agg(F.count("*").alias("_rentals"))
     local = customer.where(F.col("country") == country).select("customer_id")
-    per_film = (
-        joins.lookup(counted, local, "customer_id")
-        .groupBy("film_id")
-        .agg(F.sum("_rentals").alias("_rentals"))
-    )
-    totals = (
-        joins.lookup(per_film, film.select("film_id", "category"), "film_id")
-        .groupBy("category")
-        .agg(F.sum("_rentals").alias("count"))
+    chosen = joins.lookup(rental, local, "customer_id")
+    if inventory is not None:
+        chosen = rentals(chosen, inventory)
+    totals = aggregates.sums_through(
+        chosen, film, "film_id", ["category"], {"count": F.count("*")}
     )
     return totals.orderBy(F.desc("count"), "category") if ordered else totals
 
 
-def unreturned(rental: DataFrame, customer: DataFrame, film: DataFrame) -> DataFrame:
-    """Who still holds which film, and since when."""
-    open_rentals = rental.where(F.col("return_date").isNull()).select(
-        "customer_id", "film_id", "rental_date"
-    )
+def unreturned(
+    rental: DataFrame,
+    customer: DataFrame,
+    film: DataFrame,
+    inventory: DataFrame | None = None,
+) -> DataFrame:
+    """Who still holds which film, and since when; ``inventory`` as in ``category_rentals``."""
     named = joins.lookup(
-        open_rentals, customer.select("customer_id", "first_name", "email"), "customer_id"
+        rental.where(F.col("return_date").isNull()),
+        customer.select("customer_id", "first_name", "email"),
+        "customer_id",
     )
+    if inventory is not None:
+        named = rentals(named, inventory)
     return joins.lookup(named, film.select("film_id", "title"), "film_id").select(
         "first_name", "email", "title", "rental_date"
     )

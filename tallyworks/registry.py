@@ -263,32 +263,31 @@ BY_PLACE_SQL = """
 """
 
 
+def _sold(t: Tables) -> DataFrame:
+    return olist.sold_products(t.items(), t.orders(), t.customers(), t.geo())
+
+
 @query(BY_PLACE_SQL)
 def products_by_region_nation(t: Tables) -> DataFrame:
-    return olist.products_by_city(t.items(), t.orders(), t.customers(), t.geo())
+    return olist.products_by_city(_sold(t))
 
 
-def _top_by(state: str) -> str:
+def _top_by(place: str) -> str:
     return f"""
-        SELECT {state} AS state, product, CAST(sum(qtd) AS BIGINT) AS total_sales
-        FROM ({BY_PLACE_SQL}) GROUP BY {state}, product
-        QUALIFY row_number() OVER (PARTITION BY {state} ORDER BY sum(qtd) DESC, product) = 1
+        SELECT {place}, product, CAST(sum(qtd) AS BIGINT) AS total_sales
+        FROM ({BY_PLACE_SQL}) GROUP BY {place}, product
+        QUALIFY row_number() OVER (PARTITION BY {place} ORDER BY sum(qtd) DESC, product) = 1
     """
 
 
 @query(_top_by("state"))
 def top_part_per_region(t: Tables) -> DataFrame:
-    return olist.top_product_by_state(
-        olist.products_by_city(t.items(), t.orders(), t.customers(), t.geo(), ordered=False)
-    )
+    return olist.top_product(_sold(t))
 
 
 @query(_top_by("city"))
 def top_part_per_nation(t: Tables) -> DataFrame:
-    by_city = olist.products_by_city(
-        t.items(), t.orders(), t.customers(), t.geo(), ordered=False
-    )
-    return olist.top_product_by_state(by_city.drop("state").withColumnRenamed("city", "state"))
+    return olist.top_product(_sold(t), "city")
 
 
 @query("""
@@ -600,8 +599,7 @@ def customer_addresses(t: Tables) -> DataFrame:
     GROUP BY p_type
 """)
 def rentals_one_country(t: Tables) -> DataFrame:
-    rentals = rental.rentals(t.rental(), t.inventory())
-    return rental.category_rentals(rentals, t.renters(), t.films(), COUNTRY)
+    return rental.category_rentals(t.rental(), t.renters(), t.films(), COUNTRY, t.inventory())
 
 
 @query("""
@@ -614,8 +612,7 @@ def rentals_one_country(t: Tables) -> DataFrame:
     WHERE o_orderstatus = 'O'
 """)
 def open_items(t: Tables) -> DataFrame:
-    rentals = rental.rentals(t.rental(), t.inventory())
-    return rental.unreturned(rentals, t.renters(), t.films())
+    return rental.unreturned(t.rental(), t.renters(), t.films(), t.inventory())
 
 
 @query(f"""
@@ -704,7 +701,7 @@ def json_multiline_dir(t: Tables) -> DataFrame:
     """Events written as files of one JSON array each, then read back as documents."""
     path = session.new_shared_folder(t.spark, "documents")
     events = t.read("events").withColumn("day", F.to_date("ts"))
-    arrays = aggregates.nest(events, ["day"], ["event_id", "event_type"], "events", 5_000)
+    arrays = aggregates.nest(events, ["day"], ["event_id", "event_type"], "events")
     arrays.select(F.to_json("events").alias("value")).write.option("maxRecordsPerFile", 1).text(path)
     return consular.record_count(
         consular.load_documents(t.spark, path, "event_id BIGINT, event_type STRING")
