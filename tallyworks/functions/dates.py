@@ -25,12 +25,6 @@ def iso_year(column: Column | str) -> Column:
 
 
 def hours_between(start: str, end: str) -> Column:
-    """Hours from ``start`` to ``end``, rounded half up to two digits, as an exact decimal.
-
-    A hundredth of an hour is 36 seconds, so the rounding is done on whole
-    seconds and no binary fraction is involved.
-    """
+    """Hours from ``start`` to ``end``, rounded half up to two digits."""
     seconds = F.unix_timestamp(F.col(end)) - F.unix_timestamp(F.col(start))
-    return (F.round(seconds / 36).cast("decimal(16,0)") / F.lit(100).cast("decimal(3,0)")).cast(
-        "decimal(18,2)"
-    )
+    return F.round(seconds / 3600, 2)

@@ -1,7 +1,9 @@
 """Sums, means and rates that give the same digits whatever the task order.
 
-Doubles are turned into decimals before they are summed: a decimal sum does
-not depend on which task adds first, a double sum does.
+A sum of doubles depends on which task adds first. Here every value is split
+into whole units and millionths, both summed as integers, which is as fast as
+summing doubles and needs no decimal per row. Six digits of every value count;
+the integers hold for some 10^12 rows of 10^6 each.
 """
 
 from __future__ import annotations
@@ -9,26 +11,33 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-EXACT = "decimal(20,6)"
+EXACT = "decimal(28,6)"
 
 
-def exact(value: Column | str) -> Column:
-    return _column(value).cast(EXACT)
+def exact_sum(value: Column | str) -> Column:
+    """Aggregate: the exact sum as a decimal; nulls are skipped, NaN is an error."""
+    number = _column(value).cast("double")
+    whole = F.floor(number)
+    millionths = F.rint((number - whole) * 1_000_000).cast("long")
+    return (
+        F.sum(whole).cast("decimal(20,0)")
+        + F.sum(millionths).cast("decimal(20,0)") * F.lit("0.000001").cast("decimal(6,6)")
+    ).cast(EXACT)
 
 
-def rounded(value: Column | str, digits: int) -> Column:
-    """Half-up rounding of the decimal value, kept as a decimal."""
-    return F.round(exact(value), digits)
+def exact_mean(value: Column | str) -> Column:
+    """Aggregate: the mean as a decimal; null if there is no value."""
+    return F.try_divide(exact_sum(value), F.count(value).cast("decimal(20,0)"))
 
 
 def total(value: Column | str, digits: int = 2) -> Column:
     """Aggregate: exact sum, rounded half up."""
-    return F.round(F.sum(exact(value)), digits).cast("double")
+    return F.round(exact_sum(value), digits).cast("double")
 
 
 def mean(value: Column | str, digits: int = 2) -> Column:
     """Aggregate: exact mean, rounded half up; nulls are skipped."""
-    return F.round(F.avg(exact(value)), digits).cast("double")
+    return F.round(exact_mean(value), digits).cast("double")
 
 
 def percent(part: Column | str, whole: Column | str) -> Column:

@@ -40,7 +40,7 @@ def market_and_meals(spending: DataFrame, by_year: bool = False) -> DataFrame:
     """
     is_market = F.col("maincategory") == "market"
     is_meal = (F.col("maincategory") == "meal") & F.col("subcategory").isNull()
-    value = money.exact("value")
+    value = F.col("value")
     keys = ["year", "week"] if by_year else ["week"]
     rows = with_iso_year(spending) if by_year else spending
     return (
@@ -49,9 +49,9 @@ def market_and_meals(spending: DataFrame, by_year: bool = False) -> DataFrame:
         .agg(
             F.count_if(is_market).alias("_market"),
             F.count_if(is_meal).alias("_meal"),
-            F.sum(F.when(is_meal, value)).cast("double").alias("meal_total_weekly_spending"),
+            money.exact_sum(F.when(is_meal, value)).cast("double").alias("meal_total_weekly_spending"),
             money.mean(F.when(is_meal, value)).alias("avg_meal_expending"),
-            F.max(F.when(is_meal, F.col("value"))).alias("higher_expending"),
+            F.max(F.when(is_meal, value)).alias("higher_expending"),
             money.total(F.when(is_market, value)).alias("market_expending"),
         )
         .where((F.col("_market") > 0) & (F.col("_meal") > 0) & F.col("week").isNotNull())

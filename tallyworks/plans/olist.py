@@ -71,10 +71,8 @@ def customer_average_order(
     lines partitioned by order, which the join then uses as it is. Orders with
     an unknown status are left out together with the named ones.
     """
-    line = money.exact("price") * F.col("order_item_id") + money.exact("freight_value")
-    per_order = items.groupBy("order_id").agg(
-        F.avg(line.cast(money.EXACT)).alias("order_total_avg")
-    )
+    line = F.col("price") * F.col("order_item_id") + F.col("freight_value")
+    per_order = items.groupBy("order_id").agg(money.exact_mean(line).alias("order_total_avg"))
     kept = orders.where(~F.col("order_status").isin(*left_out)).select("order_id", "customer_id")
     result = (
         per_order.join(kept, "order_id")
@@ -184,7 +182,7 @@ def delivery_hours_by_state(
         customers,
         "customer_id",
         ["customer_state"],
-        {"hours": F.sum("hours"), "deliveries": F.count("hours")},
+        {"hours": money.exact_sum("hours"), "deliveries": F.count("hours")},
     )
     averages = totals.select(
         "customer_state",

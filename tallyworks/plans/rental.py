@@ -123,7 +123,7 @@ def accumulated_spend(
             "film_id",
         )
         .groupBy(F.year(date).alias("rental_year"), F.month(date).alias("rental_month"))
-        .agg(F.sum(money.exact("rental_rate")).alias("expending"))
+        .agg(money.exact_sum("rental_rate").alias("expending"))
     )
     accumulated = windows.running_total(
         monthly,

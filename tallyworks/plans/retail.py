@@ -28,9 +28,9 @@ def load_sales(spark: SparkSession, path: str) -> DataFrame:
 
 
 def tidy_sales(raw: DataFrame) -> DataFrame:
-    """Plain column names; revenue rounded to one digit, as an exact decimal."""
+    """Plain column names; revenue rounded to one digit."""
     return raw.withColumnsRenamed(SALES_NAMES).withColumn(
-        "sales_revenue_usd", money.rounded("sales_revenue_usd", 1)
+        "sales_revenue_usd", F.round("sales_revenue_usd", 1)
     )
 
 

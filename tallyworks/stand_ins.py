@@ -10,7 +10,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyworks.functions import money
 from tallyworks.operators import aggregates, joins
 from tallyworks.sources.tables import read_table
 
@@ -32,7 +31,7 @@ class Tables:
             F.col("l_partkey").alias("product_id"),
             F.col("l_shipdate").alias("Date"),
             F.col("l_quantity").cast("int").alias("units_sold"),
-            money.rounded("l_extendedprice", 1).alias("sales_revenue_usd"),
+            F.round("l_extendedprice", 1).alias("sales_revenue_usd"),
             F.col("l_discount").alias("discount_percentage"),
         )
 

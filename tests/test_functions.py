@@ -1,5 +1,4 @@
 from datetime import date
-from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -65,7 +64,7 @@ def test_hours_between_rounds_half_up(spark):
         "a STRING, b STRING",
     ).select(F.col("a").cast("timestamp"), F.col("b").cast("timestamp"))
     assert values(df, dates.hours_between("a", "b")) == [
-        Decimal("0.01"), Decimal("0.00"), Decimal("-0.01"), Decimal("36.00"), None,
+        0.01, 0.0, -0.01, 36.0, None,
     ]
 
 
@@ -76,6 +75,14 @@ def test_money_is_exact_and_rounds_half_up(spark):
     many = spark.range(0, 1000, 1, 7).select(F.lit(0.1).alias("v"))
     assert values(many, money.total("v")) == [100.0]
     assert values(df.where("v IS NULL"), money.mean("v")) == [None]
+    assert values(df.where("v IS NULL"), money.total("v")) == [None]
+
+
+def test_money_keeps_signs_and_small_digits(spark):
+    df = spark.createDataFrame([(-1.25,), (-0.75,), (0.000001,), (1e9 + 0.25,)], "v DOUBLE")
+    assert values(df, money.exact_sum("v").cast("string")) == ["999999998.250001"]
+    assert values(spark.createDataFrame([(-0.125,)], "v DOUBLE"), money.mean("v")) == [-0.13]
+    assert values(spark.createDataFrame([(3,), (4,)], "v INT"), money.mean("v")) == [3.5]
 
 
 def test_rates_survive_zero(spark):
