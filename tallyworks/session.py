@@ -5,6 +5,7 @@ Nothing here picks a master: the caller's session (or ``spark-submit``) does.
 
 from __future__ import annotations
 
+import math
 import tempfile
 import uuid
 
@@ -38,6 +39,20 @@ def build_session(
     return builder.getOrCreate()
 
 
+def sized_conf(shuffle_bytes: int, cores: int) -> dict[str, str]:
+    """Partition settings for a job whose largest shuffle moves about that many bytes.
+
+    About 200 MB per partition, at least two per core, and no more than 100,000
+    (beyond that the number of shuffle blocks costs more than spilling does).
+    AQE merges what turns out smaller.
+    """
+    partitions = min(max(math.ceil(shuffle_bytes / 200_000_000), 2 * cores), 100_000)
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.files.maxPartitionBytes": "256m" if shuffle_bytes > 10**12 else "128m",
+    }
+
+
 def use_database(spark: SparkSession, name: str, location: str | None = None) -> None:
     """Create the database if it is missing and make it the current one."""
     where = f" LOCATION '{location}'" if location else ""

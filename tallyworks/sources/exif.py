@@ -4,10 +4,13 @@ Two ways in, one parser:
 
 * ``spark.read.format("exif").load(folder)`` after ``register(spark)``, for
   folders that every executor can open as a path;
-* ``exif_scan`` / ``exif_from_content`` for any storage Spark can read. Files
-  are listed and read by Spark's own binary reader.
+* ``exif_scan`` for any storage Spark can read: files are listed by Spark's own
+  binary reader, and read by it too unless ``ranged`` is set;
+  ``exif_from_content`` for images already held in a column.
 
 EXIF sits in the first segments of the file, so only the header is parsed.
+With ``ranged`` no more than the header is read at all, which matters when
+images are megabytes each.
 """
 
 from __future__ import annotations
@@ -24,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
-from tallyworks import schemas
+from tallyworks.schemas import EXIF
 
 # Fixed values of the JPEG, TIFF and EXIF formats.
 APP1 = 0xE1
@@ -93,17 +96,44 @@ def exif_from_content(df: DataFrame, path: str = "path", content: str = "content
     headers = df.select(
         F.col(path).alias("image_path"), F.substring(content, 1, HEADER_BYTES).alias("header")
     )
-    return headers.mapInPandas(_parse_batches, schemas.EXIF)
+    return headers.mapInPandas(_parse_batches, EXIF)
 
 
-def exif_scan(spark: SparkSession, path: str, recursive: bool = False) -> DataFrame:
-    """EXIF fields of every file under ``path`` on any storage Spark can read."""
+def exif_scan(
+    spark: SparkSession, path: str, recursive: bool = False, ranged: bool = False
+) -> DataFrame:
+    """EXIF fields of every file under ``path``.
+
+    ``ranged`` opens the files from the Python workers through Arrow's file
+    systems (local, S3, GCS, HDFS) and reads their headers only; Spark then
+    lists the files without reading them.
+    """
     files = (
         spark.read.format("binaryFile").option("recursiveFileLookup", recursive).load(path)
     )
+    if ranged:
+        return files.select("path").mapInPandas(_read_headers, EXIF)
     return exif_from_content(files)
 
 
+def _read_headers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for batch in batches:
+        headers = [_header(path) for path in batch["path"]]
+        yield from _parse_batches(
+            iter([pd.DataFrame({"image_path": batch["path"], "header": headers})])
+        )
+
+
+def _header(path: str) -> bytes:
+    from pyarrow import fs
+
+    # Spark writes local paths as file:/x, Arrow wants file:///x.
+    uri = path.replace("file:/", "file:///", 1) if not path.startswith("file://") else path
+    system, inner = fs.FileSystem.from_uri(uri)
+    with system.open_input_file(inner) as image:
+        return image.read(HEADER_BYTES)
+
+
 def _parse_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         parsed = [
@@ -152,14 +182,17 @@ class ExifSource(DataSource):
         return "exif"
 
     def schema(self) -> str:
-        return schemas.EXIF
+        return EXIF
 
     def reader(self, schema) -> ExifReader:
         path = self.options["path"].removeprefix("file://")
         return ExifReader(path, int(self.options.get("tasks", "32")))
 
 
+# Workers get the functions above by value, wherever this package is installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+
 def register(spark: SparkSession) -> None:
-    """Make ``format("exif")`` known; the classes travel to workers by value."""
-    cloudpickle.register_pickle_by_value(sys.modules[__name__])
+    """Make ``format("exif")`` known to the session."""
     spark.dataSource.register(ExifSource)

@@ -131,7 +131,7 @@ def test_exif_absent_or_broken():
         assert make in (None, "", "A", "AC", "ACM", "ACME")
 
 
-def test_exif_source_and_scan(spark, rows, tmp_path):
+def test_exif_source_and_scan(spark, rows, plan, tmp_path):
     for i in range(7):
         (tmp_path / f"p{i}.jpg").write_bytes(jpeg(make=f"CAM{i}".encode()))
     (tmp_path / "plain.jpg").write_bytes(b"\xff\xd8\xff\xda\0\2")
@@ -142,6 +142,9 @@ def test_exif_source_and_scan(spark, rows, tmp_path):
     found = rows(df, "camera_make", "date_time_original")
     assert found == [*((f"CAM{i}", "2020:01:02 03:04:05") for i in range(7)), (None, None)]
     assert rows(exif.exif_scan(spark, str(tmp_path)), "camera_make", "date_time_original") == found
+    ranged = exif.exif_scan(spark, str(tmp_path), ranged=True)
+    assert rows(ranged, "camera_make", "date_time_original") == found
+    assert "content" not in plan(ranged).split("FileScan")[1].split("Batched")[0]
 
 
 def test_exif_bytes_from_columns(spark, rows):
@@ -197,6 +200,13 @@ def test_shared_root_comes_from_the_session(spark):
     assert session.new_shared_folder(spark, "x") != session.new_shared_folder(spark, "x")
 
 
+def test_sized_conf():
+    small = session.sized_conf(10**6, 8)
+    assert small["spark.sql.shuffle.partitions"] == "16"
+    assert session.sized_conf(10**12, 1000)["spark.sql.shuffle.partitions"] == "5000"
+    assert session.sized_conf(10**14, 4000)["spark.sql.shuffle.partitions"] == "100000"
+
+
 def test_shared_root_refuses_local_folders_on_a_cluster():
     class Context:
         master = "spark://host:7077"
