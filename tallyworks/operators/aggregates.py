@@ -12,7 +12,6 @@ from tallyworks.operators.joins import lookup, same_key
 from tallyworks.session import pin
 
 PART_ROWS = 50_000
-BROADCAST_KEYS = 200_000
 
 
 def count_by(df: DataFrame, *keys: str, into: str = "count") -> DataFrame:
@@ -80,8 +79,7 @@ def nest(
     ``sizes`` may hand in the rows per key (column ``_rows``) if known.
 
     The keys that need parts are found by a first job over the key columns and
-    kept in shared storage. Up to ``BROADCAST_KEYS`` of them are broadcast;
-    more are joined by a shuffle.
+    kept in shared storage.
     """
     if sizes is None:
         sizes = df.groupBy(*keys).agg(F.count("*").alias("_rows"))
@@ -95,15 +93,14 @@ def nest(
         F.struct(*fields).alias("_item"),
         F.xxhash64(F.monotonically_increasing_id()).alias("_slot"),
     )
-    # Few keys are large, mostly none. Knowing how many before the items are
-    # touched lets these be shuffled once, straight to their (key, part).
-    found = large.limit(BROADCAST_KEYS + 1).count()
-    if found == 0:
+    # Few keys are large, mostly none. As written files their size is known, so
+    # the planner broadcasts them if they are small, and the items are shuffled
+    # once, straight to their (key, part).
+    if large.isEmpty():
         parted = placed.withColumn("part", F.lit(0))
     else:
-        side = F.broadcast(large) if found <= BROADCAST_KEYS else large
         part = F.coalesce(F.pmod("_slot", F.col("_parts")), F.lit(0)).cast("int")
-        parted = placed.join(side, same_key(placed, large, keys), "left").select(
+        parted = placed.join(large, same_key(placed, large, keys), "left").select(
             *(placed[key] for key in keys), part.alias("part"), "_item"
         )
     return (

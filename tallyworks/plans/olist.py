@@ -75,7 +75,7 @@ def customer_average_order(
     per_order = items.groupBy("order_id").agg(money.exact_mean(line).alias("order_total_avg"))
     kept = orders.where(~F.col("order_status").isin(*left_out)).select("order_id", "customer_id")
     result = (
-        per_order.join(kept, "order_id")
+        joins.large_join(per_order, kept, "order_id")
         .groupBy("customer_id")
         .agg(
             F.count("order_id").alias("purchases"),
@@ -113,11 +113,8 @@ def sold_products(
     order_place = joins.lookup(
         orders.select("order_id", "customer_id"), place.drop("zip"), "customer_id"
     ).drop("customer_id")
-    return (
-        items.select("order_id", F.col("product_id").alias("product"))
-        .join(order_place, "order_id")
-        .drop("order_id")
-    )
+    lines = items.select("order_id", F.col("product_id").alias("product"))
+    return joins.large_join(lines, order_place, "order_id").drop("order_id")
 
 
 def products_by_city(sold: DataFrame, ordered: bool = True) -> DataFrame:

@@ -49,9 +49,8 @@ def customers(
 
 def rentals(rental: DataFrame, inventory: DataFrame) -> DataFrame:
     """Rentals with the film and store of the rented copy."""
-    return joins.lookup(
-        rental, inventory.select("inventory_id", "film_id", "store_id"), "inventory_id"
-    )
+    copies = inventory.select("inventory_id", "film_id", "store_id")
+    return joins.large_join(rental, copies, "inventory_id")
 
 
 def catalogue(film: DataFrame) -> DataFrame:

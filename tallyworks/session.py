@@ -18,6 +18,9 @@ RECOMMENDED_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # HotSpot never compiles methods above 8000 bytes; such stages run faster
+    # without whole-stage code.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.sql.session.timeZone": "UTC",
 }
 
@@ -87,12 +90,12 @@ def new_shared_folder(spark: SparkSession, purpose: str) -> str:
 
 
 def pin(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared checkpoint folder and continue from there.
+    """Write ``df`` to the shared folder and continue from there.
 
     Used where two branches must see the very same rows in the very same
-    slices, also after executors are lost.
+    slices, also after executors are lost. The files are columnar, so a branch
+    reads only its columns, and their size is known to the planner.
     """
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_root(df.sparkSession))
-    return df.checkpoint(eager=True)
+    path = new_shared_folder(df.sparkSession, "pinned")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -101,7 +101,7 @@ class Tables:
         )
         ordered = F.col("order_purchase_timestamp")
         return (
-            shipped.join(self.orders(), "order_id")
+            joins.large_join(shipped, self.orders(), "order_id")
             .withColumn("order_delivered_carrier_date", ordered)
             .withColumn("order_estimated_delivery_date", ordered)
         )

@@ -110,9 +110,11 @@ def test_nest_makes_one_row_per_small_key(spark, rows):
     ]
 
 
-@pytest.mark.parametrize("broadcast_keys", [200_000, 0])
-def test_nest_splits_hot_keys_and_loses_nothing(spark, rows, monkeypatch, broadcast_keys):
-    monkeypatch.setattr(aggregates, "BROADCAST_KEYS", broadcast_keys)
+@pytest.mark.parametrize("threshold", ["10MB", "-1"])
+def test_nest_splits_hot_keys_and_loses_nothing(spark, rows, plan, request, threshold):
+    name = "spark.sql.autoBroadcastJoinThreshold"
+    request.addfinalizer(lambda value=spark.conf.get(name): spark.conf.set(name, value))
+    spark.conf.set(name, threshold)
     # One key, and one group of equal copies, hold most rows.
     df = spark.range(0, 3000, 1, 5).select(
         F.when(F.col("id") % 3 > 0, "hot").when(F.col("id") % 2 > 0, F.lit(None)).otherwise(
@@ -120,7 +122,9 @@ def test_nest_splits_hot_keys_and_loses_nothing(spark, rows, monkeypatch, broadc
         ).alias("k"),
         F.when(F.col("id") % 3 == 1, F.lit(1)).otherwise(F.col("id")).alias("v"),
     )
-    nested = aggregates.nest(df, ["k"], ["v"], "vs", part_rows=100).cache()
+    nested = aggregates.nest(df, ["k"], ["v"], "vs", part_rows=100)
+    assert ("BroadcastHashJoin" in plan(nested)) == (threshold != "-1")
+    nested = nested.cache()
     assert rows(nested.select("k", F.explode("vs.v"))) == rows(df)
     sizes = nested.select("k", "part", F.size("vs").alias("n"))
     assert sizes.where("k = 'hot'").count() == 20
