@@ -56,10 +56,16 @@ def start_job(
 
 
 def run_available(
-    spark: SparkSession, source: str, output: str, checkpoint: str, name: str = "click_stream"
+    spark: SparkSession,
+    source: str,
+    output: str,
+    checkpoint: str,
+    name: str = "click_stream",
+    files_per_trigger: int | None = None,
 ) -> None:
-    """Process every file that is there, then stop."""
-    query = start_job(
-        read_clicks(spark, source), name, checkpoint, output, available_now=True
-    )
-    query.awaitTermination()
+    """Process every file that is there, then stop.
+
+    ``files_per_trigger`` cuts a large backlog into several batches.
+    """
+    stream = read_clicks(spark, source, files_per_trigger)
+    start_job(stream, name, checkpoint, output, available_now=True).awaitTermination()
