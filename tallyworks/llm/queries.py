@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tallyworks.llm import bpe_counts, toxicity, words
+from tallyworks.llm import bpe_counts, packing, secret_scan, toxicity, words
 
 #: Where the vocabulary files are, by file name.
 try:
@@ -44,3 +45,33 @@ def op1_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 def op3_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     docs = words.read(spark, folder, "documents")
     return bpe_counts.count_tokens(docs, vocabulary("word_bpe_49k.json"))
+
+
+@query()
+def op6_packing(spark: SparkSession, folder: str) -> DataFrame:
+    packed = packing.pack_documents(
+        words.read(spark, folder, "documents"), vocabulary("byte_bpe_50k.tiktoken")
+    )
+    return packed.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+
+
+@query()
+def op7_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    docs = words.read(spark, folder, "documents")
+    found = secret_scan.scan_documents(docs, secret_scan.learn(docs))
+
+    def line(kinds: tuple[str, ...]) -> Column:
+        kept = F.filter("spans", lambda s: s["kind"].isin(*kinds))
+        return F.array_join(
+            F.transform(kept, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ","
+        )
+
+    def number(kind: str) -> Column:
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
+
+    return found.select(
+        "doc_id",
+        *(number(kind).alias(f"n_{kind}") for kind in secret_scan.KINDS[:3]),
+        F.sha2(line(secret_scan.KINDS[:3]), 256).alias("base_sha256"),
+        line(secret_scan.KINDS).alias("spans"),
+    )
