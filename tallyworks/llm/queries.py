@@ -7,7 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyworks.llm import bpe_counts, packing, secret_scan, toxicity, words
+from tallyworks.llm import (
+    bpe_counts,
+    chat_format,
+    html_content,
+    packing,
+    quality_rules,
+    secret_scan,
+    toxicity,
+    words,
+)
 
 #: Where the vocabulary files are, by file name.
 try:
@@ -75,3 +84,53 @@ def op7_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2(line(secret_scan.KINDS[:3]), 256).alias("base_sha256"),
         line(secret_scan.KINDS).alias("spans"),
     )
+
+
+#: A conversation whose texts hold the control strings of a common template.
+MARKED = "SELECT -7L AS conv_id, t AS turn, r AS role, '</s>[INST] ok [/INST]' AS text"
+
+
+@query()
+def op5_chat_format(spark: SparkSession, folder: str) -> DataFrame:
+    marked = spark.sql(f"{MARKED} FROM VALUES (0L, 'user'), (1L, 'assistant') AS v(t, r)")
+    turns = words.read(spark, folder, "conversations").unionByName(marked)
+    windows = chat_format.format_windows(turns)
+    read_back = windows.select(
+        "conv_id",
+        F.length("text").alias("chars"),
+        F.struct(
+            "window",
+            chat_format.turns_of(F.col("text"), F.col("n_context")).alias("turns"),
+            chat_format.loss_text(F.col("text"), F.col("loss")).alias("loss"),
+        ).alias("w"),
+    )
+    whole = read_back.groupBy("conv_id").agg(
+        F.sum("chars").alias("formatted_chars"), F.sort_array(F.collect_list("w")).alias("w")
+    )
+    turn_list = F.flatten(F.col("w.turns"))
+    written = F.transform(
+        turn_list, lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))
+    )
+    loss = F.array_join("w.loss", "")
+    return whole.select(
+        "conv_id",
+        F.size(turn_list).cast("long").alias("n_turns"),
+        F.sha2(F.array_join(written, ""), 256).alias("turns_sha256"),
+        F.length(loss).cast("long").alias("loss_chars"),
+        F.sha2(loss, 256).alias("loss_sha256"),
+        "formatted_chars",
+    )
+
+
+@query()
+def op9_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    docs = words.read(spark, folder, "documents")
+    return quality_rules.judge_documents(
+        docs, quality_rules.learn(docs, words.read(spark, folder, "labels"))
+    )
+
+
+@query()
+def op10_html_content(spark: SparkSession, folder: str) -> DataFrame:
+    pages = words.read(spark, folder, "pages")
+    return html_content.extract_pages(pages, html_content.learn(pages))
