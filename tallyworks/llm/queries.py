@@ -11,6 +11,7 @@ from tallyworks.llm import (
     bpe_counts,
     chat_format,
     html_content,
+    ngram_join,
     packing,
     quality_rules,
     secret_scan,
@@ -50,6 +51,11 @@ def op1_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.score_documents(docs, lexicon)
 
 
+@query()
+def op2_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
+    return ngram_join.similarity_join(words.read(spark, folder, "documents"))
+
+
 @query()
 def op3_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     docs = words.read(spark, folder, "documents")
