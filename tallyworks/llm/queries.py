@@ -10,9 +10,11 @@ from pyspark.sql import functions as F
 from tallyworks.llm import (
     bpe_counts,
     chat_format,
+    decontamination,
     html_content,
     ngram_join,
     packing,
+    pseudo_likelihood,
     quality_rules,
     secret_scan,
     toxicity,
@@ -62,6 +64,13 @@ def op3_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return bpe_counts.count_tokens(docs, vocabulary("word_bpe_49k.json"))
 
 
+@query()
+def op4_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return decontamination.contaminated(
+        words.read(spark, folder, "documents"), words.read(spark, folder, "benchmark")
+    )
+
+
 @query()
 def op6_packing(spark: SparkSession, folder: str) -> DataFrame:
     packed = packing.pack_documents(
@@ -128,6 +137,12 @@ def op5_chat_format(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query()
+def op8_pseudo_likelihood(spark: SparkSession, folder: str) -> DataFrame:
+    docs = words.read(spark, folder, "documents")
+    return pseudo_likelihood.score_documents(docs, pseudo_likelihood.learn(docs))
+
+
 @query()
 def op9_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     docs = words.read(spark, folder, "documents")
