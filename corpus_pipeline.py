@@ -1,6 +1,9 @@
 """The corpus pipeline: five stages over ``documents``, each written and read again.
 
-Filled in as its operators arrive.
+Toxic documents go, one document of each group of near copies stays, documents
+that hold a benchmark item go, secrets are blotted out of the rest, and what is left
+is packed into windows. Every stage works on all rows its predecessor kept; all
+but the last return the columns of ``documents``, whatever further ones there are.
 """
 
 from __future__ import annotations
@@ -8,22 +11,75 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tallyworks.llm import toxicity, words
-from tallyworks.session import new_shared_folder
+from tallyworks.llm import decontamination, ngram_join, packing, secret_scan, toxicity, words
+from tallyworks.llm.queries import vocabulary
+from tallyworks.session import new_shared_folder, pin
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def without_toxic(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """Documents whose toxicity score is below one half; all columns stay."""
+    """Documents whose toxicity score is below one half. Null and empty texts stay."""
     lexicon = toxicity.learn(docs, words.read(spark, folder, "labels"))
     score = words.unused("score")
     scored = docs.withColumn(score, toxicity.toxicity(words.text_or_empty("text"), lexicon))
-    return scored.where(~(scored[score] >= 0.5)).drop(score)
+    return scored.where(scored[score] < 0.5).drop(score)
 
 
-STAGES: list[tuple[str, Stage]] = [("toxicity", without_toxic)]
+def one_of_each_group(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """Of each group of near copies the document with the smallest id.
+
+    Texts without a word are in no group and stay. Of rows that share an id one
+    stays, if any of them is the one its group keeps. Rows without id stay.
+    """
+    grouped = ngram_join.similarity_join(docs.select("doc_id", "text"))
+    judged = grouped.where("doc_id IS NOT NULL").groupBy("doc_id").agg(
+        F.bool_and(F.col("doc_id") != F.col("component_id")).alias("goes"), F.count("*").alias("rows")
+    )
+    judged = pin(judged.where("goes OR rows > 1"))
+    # Without the ids that go or repeat, which are far fewer than those that stay.
+    kept = docs.join(judged.select("doc_id"), "doc_id", "left_anti")
+    repeated = docs.join(judged.where("NOT goes").select("doc_id"), "doc_id", "left_semi")
+    return kept.unionByName(repeated.dropDuplicates(["doc_id"])).select(*docs.columns)
+
+
+def without_benchmark(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """Documents that hold no item of the benchmark. Rows without id stay."""
+    found = decontamination.contaminated(docs.select("doc_id", "text"), words.read(spark, folder, "benchmark"))
+    # Written, so that the planner knows how small it is.
+    leaks = pin(found.where("doc_id IS NOT NULL").select("doc_id").distinct())
+    return docs.join(leaks, "doc_id", "left_anti").select(*docs.columns)
+
+
+def without_secrets(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """All documents, every secret in them replaced by a mark, ``n_chars`` counted anew."""
+    crf = secret_scan.learn(docs)
+    found = words.unused("spans")
+    scanned = docs.withColumn(found, secret_scan.spans(words.text_or_empty("text"), crf))
+    changed = scanned.withColumn(
+        "text", F.when(F.size(found) > 0, secret_scan.redacted(F.col("text"), F.col(found))).otherwise(F.col("text"))
+    )
+    if "n_chars" in docs.columns:
+        length = F.length("text").cast(docs.schema["n_chars"].dataType)
+        changed = changed.withColumn("n_chars", F.when(F.size(found) > 0, length).otherwise(F.col("n_chars")))
+    return changed.select(*docs.columns)
+
+
+def packed(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """The pieces of all documents in windows of 2048 tokens, with a checksum of their ids."""
+    pieces = packing.pack_documents(docs, vocabulary("byte_bpe_50k.tiktoken"))
+    return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+
+
+STAGES: list[tuple[str, Stage]] = [
+    ("toxicity", without_toxic),
+    ("ngram_join", one_of_each_group),
+    ("decontamination", without_benchmark),
+    ("secret_scan", without_secrets),
+    ("packing", packed),
+]
 #: SQL cannot state the stages; the tests hold them against brute force.
 ORACLE_SQL: str | None = None
 
