@@ -1,0 +1,162 @@
+"""N-gram join, components and decontamination."""
+
+import random
+import warnings
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from helpers import AWKWARD, PROSE, components, frame, near_copies, shingle_set
+
+from tallyworks.llm import decontamination, hashing, ngram_join
+from tallyworks.llm.components import components as spark_components
+
+
+def test_hashes_follow_words_whatever_surrounds_them():
+    texts = ["One two", None, "", " one\ttwo\n", "漢字 one", "one two three four five six", "x" * 40]
+    with warnings.catch_warnings():
+        warnings.simplefilter("error")
+        sets = [s for _, part in hashing.shingle_sets(pa.array(texts)) for s in part]
+    assert [len(s) for s in sets] == [1, 0, 0, 1, 1, 2, 1]
+    assert sets[0].tolist() == sets[3].tolist() != sets[4].tolist()
+
+
+def test_hashes_do_not_depend_on_chunks(monkeypatch):
+    texts = pa.array([t for _, t in near_copies(8)] + [t for _, t in AWKWARD])
+    whole = [s.tolist() for _, part in hashing.shingle_sets(texts) for s in part]
+    monkeypatch.setattr(hashing, "CHUNK_BYTES", 50)
+    assert [s.tolist() for _, part in hashing.shingle_sets(texts) for s in part] == whole
+
+
+@pytest.mark.parametrize("size", [4, 5, 9, 16, 31, 60, 127, 200, 700])
+def test_every_linked_pair_shares_a_needed_part(size):
+    """The guarantee of the index, on random pairs at the very edge of a link."""
+    rng = np.random.default_rng(size)
+    for _ in range(60):
+        shared = rng.integers(0, 2**64, size, dtype=np.uint64)
+        most = int(ngram_join.most_differences(2 * size + size // 4))
+        extra = rng.integers(0, most + 1) if most else 0
+        a = np.unique(shared)
+        b = np.unique(np.concatenate([shared[: size - extra // 3], rng.integers(0, 2**64, extra - extra // 3, dtype=np.uint64)]))
+        common = len(np.intersect1d(a, b))
+        if 100 * common < 80 * (len(a) + len(b) - common) or len(a) == common == len(b):
+            continue
+        keys = []
+        for own in (a, b):
+            of_set = {}
+            for band, _, need in ngram_join.Roles(len(own), 80).all:
+                whole, spare, near = ngram_join.signatures(own, band, need, 80)
+                # The dearest parts left out, by any order that is the same for all sets.
+                of_set[band] = set(sorted(whole.tolist())[: len(whole) - spare]) | set(near.tolist())
+            keys.append(of_set)
+        assert any(keys[0][band] & keys[1][band] for band in keys[0].keys() & keys[1].keys())
+
+
+def test_sketches_never_exceed_the_difference():
+    rng = np.random.default_rng(0)
+    for size in (5, 80, 900):
+        a = np.unique(rng.integers(0, 2**64, size, dtype=np.uint64))
+        b = np.unique(np.concatenate([a[size // 5 :], rng.integers(0, 2**64, 7, dtype=np.uint64)]))
+        apart = sum(bin((int(x) ^ int(y)) & (2**64 - 1)).count("1") for x, y in zip(ngram_join.sketch(a), ngram_join.sketch(b)))
+        assert apart <= len(np.setxor1d(a, b))
+
+
+def test_join_by_brute_force(spark):
+    rng = random.Random(9)
+    vocabulary = PROSE.split()
+    rows = [r for r in AWKWARD if r[0] != 9] + [(9, PROSE)] + near_copies(40)
+    for k in range(60):  # short texts, which need the deletion neighbourhoods
+        base = rng.sample(vocabulary, rng.randint(8, 14))
+        rows += [(1000 + 3 * k, " ".join(base)), (1001 + 3 * k, " ".join([*base, "more"])), (1002 + 3 * k, " ".join(base[1:]))]
+    expected = components(rows)
+    got = ngram_join.similarity_join(frame(spark, rows)).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        if r.doc_id is None:
+            assert r.component_id is None
+        else:
+            assert r.component_id == expected[r.doc_id], r
+            assert r.n_shingles == len(shingle_set(dict(rows)[r.doc_id]))
+
+
+def test_join_of_repeated_and_empty_tables(spark):
+    got = ngram_join.similarity_join(frame(spark, [(9, PROSE), (9, PROSE), (4, PROSE.upper()), (5, "")])).collect()
+    assert sorted((r.doc_id, r.component_id, r.n_copies) for r in got) == [(4, 4, 3), (5, 5, 1), (9, 4, 3), (9, 4, 3)]
+    assert ngram_join.similarity_join(frame(spark, [])).count() == 0
+
+
+def test_dense_group_is_not_paired_out(spark):
+    """Many near copies of one text: every link class is right, and few pairs are verified."""
+    rng = random.Random(2)
+    base = PROSE.split() * 2
+    rows = []
+    for k in range(150):
+        words = list(base)
+        for _ in range(rng.randint(0, 2)):
+            words[rng.randrange(len(words))] = f"w{k}"
+        rows.append((k, " ".join(words)))
+    expected = components(rows)
+    got = ngram_join.similarity_join(frame(spark, rows)).collect()
+    assert {r.doc_id: r.component_id for r in got} == expected
+    assert sum(r.n_links for r in got) < 150 * 149 / 2  # all links, counted at both ends: twice as many
+
+
+def test_components_of_chains_stars_and_loops(spark):
+    links = [(k, k + 1) for k in range(1, 30)] + [(100, k) for k in range(101, 140)] + [(200, 200), (None, 3), (7, 7)]
+    got = {r.node: r.label for r in spark_components(spark.createDataFrame(links, "a long, b long")).collect()}
+    assert got == {**{k: 1 for k in range(1, 31)}, **{k: 100 for k in range(100, 140)}}
+    assert spark_components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def brute_leaks(docs, items, percent=80):
+    """Every window of every document against every item of its length."""
+    found = {}
+    for item, text in items:
+        w = (text or "").lower().split()
+        n, k = len(w), min(5, len(w))
+        if not n:
+            continue
+
+        def weights(words, k=k):
+            made = {}
+            for i in range(len(words) - k + 1):
+                g = tuple(words[i : i + k])
+                made[g] = made.get(g, 0) + sum(map(len, g))
+            return made
+
+        a = weights(w)
+        for doc, text in docs:
+            d = (text or "").lower().split()
+            for start in range(1 - n, len(d)):
+                b = weights(d[max(start, 0) : start + n])
+                both = sum(min(v, b[g]) for g, v in a.items() if g in b)
+                union = sum(a.values()) + sum(b.values()) - both
+                if union and 100 * both >= percent * union:
+                    found[doc, item] = max(found.get((doc, item), 0), both / union)
+    return found
+
+
+def test_leaks_by_brute_force(spark):
+    words = PROSE.split()
+    items = [(1, " ".join(words[:24])), (2, " ".join(words[20:50])), (3, "only three words"), (4, ""), (5, None), (6, " ".join(words[:24]))]
+    edited = words[:24]
+    edited[-1] = "lake"
+    docs = [
+        (1, "start " + " ".join(words[:24]) + " and then " * 20), (2, " ".join(edited)), (3, "we say ONLY three\nwords here"),
+        (4, " ".join(words[:10])), (5, " ".join(reversed(words))), (6, None), (7, ""), (8, " ".join(words[2:24]) + " x y"),
+        (9, " ".join(words[20:35] + ["inserted"] + words[35:50])), (10, "the " * 400),
+    ]
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    got = decontamination.contaminated(frame(spark, docs), benchmark).collect()
+    expected = brute_leaks(docs, items)
+    assert {(r.doc_id, r.item_id): round(r.similarity, 9) for r in got} == {k: round(v, 9) for k, v in expected.items()}
+    assert {(1, 1), (1, 6), (2, 1), (3, 3)} <= set(expected)
+
+
+def test_leaks_without_broadcast_and_empty(spark, monkeypatch):
+    benchmark = spark.createDataFrame([(1, PROSE)], "item_id long, text string")
+    docs = frame(spark, [(1, "x " + PROSE), (2, "y"), (1, "x " + PROSE)])
+    monkeypatch.setattr(decontamination, "MOST_BROADCAST", 0)
+    assert [r.doc_id for r in decontamination.contaminated(docs, benchmark).collect()] == [1]
+    assert decontamination.contaminated(docs, benchmark.limit(0)).count() == 0
+    assert decontamination.contaminated(docs.limit(0), benchmark).count() == 0

@@ -1,0 +1,85 @@
+"""The corpus pipeline on a small folder of tables, stage by stage against brute force."""
+
+import random
+
+import pytest
+from helpers import PROSE, components, near_copies
+
+import corpus_pipeline
+from tallyworks.llm import secret_scan
+
+BAD = ["blortish", "grumpfer", "snivelot"]
+ITEM = "each candidate of the final exam shall name three rivers that flow north and explain why they do so"
+
+
+@pytest.fixture(scope="module")
+def folder(spark, tmp_path_factory):
+    rng = random.Random(21)
+    rows, labels = near_copies(6), []
+    for k in range(1000, 1400):
+        text = [f"{w}{rng.randint(0, 30)}" for w in rng.sample(PROSE.split(), 40)]
+        toxic = k % 5 == 0
+        if toxic:
+            text[4] = text[20] = rng.choice(BAD)
+        if k % 50 == 1:
+            text[10:10] = ITEM.split()
+        if k % 20 == 3:
+            text.append("token = " + "".join(rng.choices("0123456789abcdef", k=40)))
+        rows.append((k, " ".join(text)))
+        labels.append((k, 1, int(toxic)))
+    rows += [(5000, None), (5001, ""), (1001, dict(rows)[1001]), (None, PROSE)]
+    base = str(tmp_path_factory.mktemp("tables"))
+    made = [(d, t, "en", "s", len(t or ""), "kept") for d, t in rows]
+    schema = "doc_id long, text string, lang string, source string, n_chars long, more string"
+    spark.createDataFrame(made, schema).write.parquet(f"{base}/documents.parquet")
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{base}/labels.parquet")
+    spark.createDataFrame([(1, ITEM)], "item_id long, text string").write.parquet(f"{base}/benchmark.parquet")
+    return base
+
+
+def stage(name):
+    return dict(corpus_pipeline.STAGES)[name]
+
+
+def read(spark, folder):
+    return spark.read.parquet(f"{folder}/documents.parquet")
+
+
+def test_stages_keep_the_columns(spark, folder):
+    docs = read(spark, folder)
+    for name, run in corpus_pipeline.STAGES[:-1]:
+        assert run(spark, docs, folder).columns == docs.columns, name
+        assert run(spark, docs.limit(0), folder).count() == 0, name
+
+
+def test_toxic_documents_go(spark, folder):
+    docs = read(spark, folder)
+    kept = {r.doc_id for r in stage("toxicity")(spark, docs, folder).collect()}
+    toxic = {r.doc_id for r in docs.collect() if any(b in (r.text or "") for b in BAD)}
+    assert toxic and kept == {r.doc_id for r in docs.collect()} - toxic
+
+
+def test_one_of_each_group_stays(spark, folder):
+    docs = read(spark, folder)
+    kept = [r.doc_id for r in stage("ngram_join")(spark, docs, folder).collect()]
+    rows = [(r.doc_id, r.text) for r in docs.collect()]
+    expected = [d for d, c in components(list(dict(rows).items())).items() if d == c]
+    assert sorted(kept, key=str) == sorted([*expected, None], key=str)
+
+
+def test_leaks_go_and_secrets_are_blotted_out(spark, folder):
+    docs = read(spark, folder)
+    clean = stage("decontamination")(spark, docs, folder).collect()
+    assert {r.doc_id for r in docs.collect() if ITEM in (r.text or "")}.isdisjoint({r.doc_id for r in clean})
+    assert len(clean) == sum(ITEM not in (r.text or "") for r in docs.collect())
+    blotted = stage("secret_scan")(spark, docs, folder).collect()
+    assert len(blotted) == docs.count()
+    assert not any(secret_scan.base_spans(r.text or "") for r in blotted)
+    assert all(r.n_chars == len(r.text or "") for r in blotted)
+
+
+def test_run_packs_what_is_left(spark, folder):
+    packed = corpus_pipeline.run(spark, folder)
+    assert {"doc_id", "start", "length", "ids_crc32", "sequence_id", "offset"} <= set(packed.columns)
+    kept = {r.doc_id for r in packed.select("doc_id").distinct().collect()}
+    assert 5000 in kept and 1000 not in kept and 1001 not in kept and 101 not in kept and 100 in kept
