@@ -109,7 +109,7 @@ def test_components_of_chains_stars_and_loops(spark):
 
 
 def brute_leaks(docs, items, percent=80):
-    """Every window of every document against every item of its length."""
+    """Every window that puts a shared shingle at its place in an item, against that item."""
     found = {}
     for item, text in items:
         w = (text or "").lower().split()
@@ -127,7 +127,10 @@ def brute_leaks(docs, items, percent=80):
         a = weights(w)
         for doc, text in docs:
             d = (text or "").lower().split()
-            for start in range(1 - n, len(d)):
+            places = {
+                p - q for p in range(len(d) - k + 1) for q in range(n - k + 1) if d[p : p + k] == w[q : q + k]
+            }
+            for start in places:
                 b = weights(d[max(start, 0) : start + n])
                 both = sum(min(v, b[g]) for g, v in a.items() if g in b)
                 union = sum(a.values()) + sum(b.values()) - both
