@@ -8,9 +8,18 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+# A time of day with an optional fraction and zone, and whatever stands before it.
+TIME_PART = r"^(.+?)[T ]\d{1,2}:\d{2}(?::\d{2}(?:\.\d+)?)?\s*(?:Z|[+-]\d{2}:?\d{2})?$"
+
+
 def parsed_date(text: Column | str, pattern: str) -> Column:
-    """Date in the given pattern; null for text that does not fit all of it."""
-    return F.try_to_date(text, pattern)
+    """Date in the given pattern, with or without a time after it.
+
+    Null for text that fits neither.
+    """
+    column = F.col(text) if isinstance(text, str) else text
+    before_time = F.regexp_extract(column, TIME_PART, 1)
+    return F.coalesce(F.try_to_date(column, pattern), F.try_to_date(before_time, pattern))
 
 
 def within_year(column: str, year: int) -> Column:

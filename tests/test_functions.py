@@ -47,8 +47,13 @@ def test_registry_id_is_null_if_any_part_is(spark):
 
 
 def test_dates_reject_instead_of_raising(spark):
-    df = texts(spark, "2010-05-04", "2010-05-04T00:00:00Z", "", "x", None)
-    assert values(df, dates.parsed_date("t", "yyyy-MM-dd")) == [date(2010, 5, 4)] + [None] * 4
+    df = texts(
+        spark, "2010-05-04", "2010-05-04T00:00:00Z", "2010-05-04 07:08", "2010-05-04T23:59:59.5+02:00",
+        "", "x", None, "2010-13-04", "10:00", "2010-05-04 soon",
+    )
+    assert values(df, dates.parsed_date("t", "yyyy-MM-dd")) == [date(2010, 5, 4)] * 4 + [None] * 6
+    df = texts(spark, "04/05/2010 10:00", "04/05/2010")
+    assert values(df, dates.parsed_date("t", "dd/MM/yyyy")) == [date(2010, 5, 4)] * 2
 
 
 def test_iso_week_and_year_around_new_year(spark):
