@@ -19,12 +19,16 @@ def pick(df: DataFrame, names: Mapping[str, str]) -> DataFrame:
 
 
 def typed(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
-    """The named text columns cast to their types; text that does not fit becomes null."""
+    """The named text columns cast to their types, the others as they are.
+
+    Text that does not fit becomes null. All named columns must be there.
+    """
+    missing = [name for name in types if name not in df.columns]
+    if missing:
+        raise ValueError(f"columns not found: {missing}")
+    kinds = {name: kind for name, kind in types.items() if kind != "string"}
     return df.select(
-        *(
-            raw(name) if kind == "string" else raw(name).try_cast(kind).alias(name)
-            for name, kind in types.items()
-        )
+        *(raw(name).try_cast(kinds[name]).alias(name) if name in kinds else raw(name) for name in df.columns)
     )
 
 

@@ -1,7 +1,8 @@
 """Column names and types of every dataset, as DDL strings or name-to-type maps.
 
-CSV maps list only the columns that some plan names; the reader finds them by
-header name, so files may hold more columns in any order.
+CSV maps list the columns that some plan names; the reader finds them by header
+name and keeps the file's other columns as text. Numbers whose kind is not stated
+anywhere are doubles, so that no decimal becomes null.
 """
 
 from __future__ import annotations
@@ -12,10 +13,10 @@ RETAIL_SALES = {
     "Store ID": "string",
     "Product ID": "string",
     "Date": "date",
-    "Units Sold": "int",
+    "Units Sold": "double",
     "Sales Revenue (USD)": "double",
     "Store Location": "string",
-    "Discount Percentage": "int",
+    "Discount Percentage": "double",
     "Product Category": "string",
     "Day of the Week": "string",
 }
@@ -64,13 +65,13 @@ BUSINESSES = {
     "phone_number": "string",
 }
 
-INSPECTIONS = {"business_id": "string", "score": "int", "date": "string", "type": "string"}
+INSPECTIONS = {"business_id": "string", "score": "double", "date": "string", "type": "string"}
 
 SCHOOL_ATTENDANCE = {
     "School DBN": "string",
     "SchoolYear": "string",
-    "Enrolled": "int",
-    "Absent": "int",
+    "Enrolled": "double",
+    "Absent": "double",
 }
 
 CENSUS = {

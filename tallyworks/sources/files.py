@@ -11,14 +11,20 @@ from tallyworks.operators.shaping import typed
 
 
 def csv_text(spark: SparkSession, path: str, sep: str = ",") -> DataFrame:
-    """CSV with a header, every column as text."""
-    return spark.read.option("header", True).option("sep", sep).csv(path)
+    """CSV with a header, every column as text.
+
+    The files of a folder must all have the same header; one with other names or
+    another order fails the job instead of filling the wrong columns.
+    """
+    reader = spark.read.option("header", True).option("sep", sep)
+    names = reader.csv(path).schema
+    return reader.schema(names).option("enforceSchema", False).csv(path)
 
 
 def csv_typed(
     spark: SparkSession, path: str, types: Mapping[str, str], sep: str = ","
 ) -> DataFrame:
-    """The named CSV columns with their types.
+    """All columns of a CSV: the named ones with their types, the others as text.
 
     Columns are found by header name, whatever their order or number. There is
     no inference pass over the data; a value that does not fit becomes null.

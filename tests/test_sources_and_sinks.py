@@ -3,7 +3,7 @@ import struct
 import pytest
 from pyspark.sql import functions as F
 
-from tallyworks import session, sinks
+from tallyworks import schemas, session, sinks
 from tallyworks.operators import aggregates
 from tallyworks.plans import retail
 from tallyworks.sources import exif, files, jdbc, literals
@@ -18,15 +18,36 @@ def test_csv_is_read_by_name_and_never_raises(spark, rows, tmp_path):
     path.write_text("z,Units Sold,Store ID,Date\nq,3,s1,2022-05-01\nq,three,s2,2022-13-01\nq,,s3,\n")
     types = {"Store ID": "string", "Units Sold": "int", "Date": "date"}
     df = files.csv_typed(spark, str(path), types)
-    assert df.dtypes == [("Store ID", "string"), ("Units Sold", "int"), ("Date", "date")]
+    assert df.dtypes == [("z", "string"), ("Units Sold", "int"), ("Store ID", "string"), ("Date", "date")]
     assert [r[1] for r in df.orderBy("`Store ID`").collect()] == [3, None, None]
+    with pytest.raises(ValueError, match="Colour"):
+        files.csv_typed(spark, str(path), {"Colour": "string"})
     assert dict(files.csv_text(spark, str(path)).dtypes)["Units Sold"] == "string"
 
 
+def test_csv_folder_with_two_headers_fails(spark, rows, tmp_path):
+    (tmp_path / "1.csv").write_text("a,b\n1,x\n")
+    (tmp_path / "2.csv").write_text("a,b\n2,y\n")
+    assert rows(files.csv_typed(spark, str(tmp_path), {"a": "int"})) == [(1, "x"), (2, "y")]
+    (tmp_path / "3.csv").write_text("b,a\ny,2\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        files.csv_typed(spark, str(tmp_path), {"a": "int"}).collect()
+
+
+def test_decimal_discount_is_kept(spark, rows, tmp_path):
+    path = tmp_path / "s.csv"
+    names = list(schemas.RETAIL_SALES)
+    line = ["s", "p", "2022-01-01", "2.5", "9.99", "Oslo", "12.5", "toys", "Monday"]
+    path.write_text(",".join([*names, "Note"]) + "\n" + ",".join([*line, "hi"]) + "\n")
+    sales = retail.load_sales(spark, str(path))
+    assert rows(retail.discounted_sales(sales)) == [(1,)]
+    assert sales.first()["Note"] == "hi"
+
+
 def test_csv_separator_and_inference(spark, rows, tmp_path):
     path = tmp_path / "a.csv"
     path.write_text("a;b\n1;x\n2;y\n")
-    assert rows(files.csv_typed(spark, str(path), {"a": "int"}, sep=";")) == [(1,), (2,)]
+    assert rows(files.csv_typed(spark, str(path), {"a": "int"}, sep=";")) == [(1, "x"), (2, "y")]
     assert files.csv_inferred(spark, str(path), sep=";").dtypes == [("a", "int"), ("b", "string")]
 
 
@@ -121,6 +142,17 @@ def test_exif_header(order):
     assert exif.parse_header(jpeg(order, make=b"ab")) == ("ab", "2020:01:02 03:04:05")
 
 
+def test_exif_behind_long_segments_fill_bytes_and_lone_markers():
+    plain = jpeg()
+    profile = b"\xff\xe2" + struct.pack(">H", 0xFFFF) + b"i" * 65533
+    for front in (profile * 5, b"\xff\xff\xff", b"\xff\x01", b"\xff\xd3"):
+        if front == b"\xff\xff\xff":
+            data = plain[:2] + front + plain[3:]
+        else:
+            data = plain[:2] + front + plain[2:]
+        assert exif.parse_header(data) == ("ACME", "2020:01:02 03:04:05"), front[:4]
+
+
 def test_exif_absent_or_broken():
     assert exif.parse_header(b"") == (None, None)
     assert exif.parse_header(b"\xff\xd8\xff\xda\0\2") == (None, None)
@@ -142,9 +174,27 @@ def test_exif_source_and_scan(spark, rows, plan, tmp_path):
     found = rows(df, "camera_make", "date_time_original")
     assert found == [*((f"CAM{i}", "2020:01:02 03:04:05") for i in range(7)), (None, None)]
     assert rows(exif.exif_scan(spark, str(tmp_path)), "camera_make", "date_time_original") == found
-    ranged = exif.exif_scan(spark, str(tmp_path), ranged=True)
-    assert rows(ranged, "camera_make", "date_time_original") == found
-    assert "content" not in plan(ranged).split("FileScan")[1].split("Batched")[0]
+    assert "content" not in plan(exif.exif_scan(spark, str(tmp_path))).split("FileScan")[1].split("Batched")[0]
+
+
+def test_exif_recursive_and_unreadable(spark, rows, tmp_path):
+    (tmp_path / "deep").mkdir()
+    (tmp_path / "deep" / "a.jpg").write_bytes(jpeg())
+    exif.register(spark)
+    load = spark.read.format("exif")
+    assert load.load(str(tmp_path)).count() == 0
+    assert rows(load.option("recursive", "true").load(str(tmp_path)), "camera_make") == [("ACME",)]
+    paths = spark.createDataFrame([(str(tmp_path / "gone.jpg"),)], "path STRING")
+    with pytest.raises(Exception, match="gone"):
+        paths.mapInPandas(exif._read_batches, schemas.EXIF).collect()
+
+
+def test_images_are_written_by_tasks(spark, rows, tmp_path):
+    images = spark.createDataFrame([(f"x/{k}.jpg", jpeg(make=b"M%d" % k)) for k in range(5)], "path STRING, content BINARY")
+    for _ in range(2):
+        exif.write_images(images, f"file:{tmp_path}")
+    found = exif.exif_scan(spark, str(tmp_path), recursive=True)
+    assert rows(found, "camera_make") == [(f"M{k}",) for k in range(5)]
 
 
 def test_exif_bytes_from_columns(spark, rows):
@@ -194,9 +244,11 @@ def test_shared_view(spark, rows):
 
 
 def test_shared_root_comes_from_the_session(spark):
+    before = spark.sparkContext.getCheckpointDir()
     named = spark.conf.get("spark.checkpoint.dir", None)
     root = session.shared_root(spark)
-    assert root == (named or spark.sparkContext.getCheckpointDir()).rstrip("/")
+    assert root == (named or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_shared")
+    assert spark.sparkContext.getCheckpointDir() == before
     assert session.new_shared_folder(spark, "x") != session.new_shared_folder(spark, "x")
 
 
@@ -204,22 +256,4 @@ def test_sized_conf():
     small = session.sized_conf(10**6, 8)
     assert small["spark.sql.shuffle.partitions"] == "16"
     assert session.sized_conf(10**12, 1000)["spark.sql.shuffle.partitions"] == "5000"
-    assert session.sized_conf(10**14, 4000)["spark.sql.shuffle.partitions"] == "100000"
-
-
-def test_shared_root_refuses_local_folders_on_a_cluster():
-    class Context:
-        master = "spark://host:7077"
-
-        def getCheckpointDir(self):
-            return None
-
-    class Conf:
-        def get(self, key, default):
-            return default
-
-    class Session:
-        conf, sparkContext = Conf(), Context()
-
-    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
-        session.shared_root(Session())
+    assert session.sized_conf(10**14, 4000)["spark.sql.shuffle.partitions"] == "500000"
