@@ -8,10 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyworks.functions import money
+from tallyworks.operators import windows
 from tallyworks.operators.joins import lookup, same_key
-from tallyworks.session import pin
-
-PART_ROWS = 50_000
 
 
 def count_by(df: DataFrame, *keys: str, into: str = "count") -> DataFrame:
@@ -45,21 +43,13 @@ def share_by(
 def one_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str] = ()) -> DataFrame:
     """One whole row per key: the smallest by ``order``, then by the remaining columns.
 
-    Copies merge inside the map tasks, so many copies of one key cost no skew.
+    Each map task keeps one row per key, so many copies of one key cost no skew.
     """
     rest = [name for name in df.columns if name not in keys]
     if not rest:
         return df.distinct()
     ranked = [*order, *(name for name in rest if name not in order)]
-    kept = df.groupBy(*keys).agg(F.min(F.struct(*ranked)).alias("_kept"))
-    return kept.select(
-        *(F.col(name) if name in keys else F.col(f"_kept.{name}").alias(name) for name in df.columns)
-    )
-
-
-def part_count(rows: str, part_rows: int = PART_ROWS) -> Column:
-    """How many parts ``nest`` may make of a key with that many rows."""
-    return F.greatest(F.ceil(F.coalesce(F.col(rows), F.lit(0)) / part_rows).cast("int"), F.lit(1))
+    return windows.top_k(df, keys, [F.asc(name) for name in ranked], 1, "_place").drop("_place")
 
 
 def nest(
@@ -67,47 +57,18 @@ def nest(
     keys: Sequence[str],
     fields: Sequence[str],
     into: str,
-    part_rows: int = PART_ROWS,
-    sizes: DataFrame | None = None,
+    part_by: Column | None = None,
 ) -> DataFrame:
-    """Fold the rows of a key into an array of structs, in parts of about ``part_rows``.
-
-    A key with up to ``part_rows`` rows gives exactly one row with ``part`` 0.
-    A larger key gives several rows with parts 0, 1, …, built by different
-    tasks; exploding all parts returns every input row. Call it on a scan (not
-    after a join), where row positions repeat when a task is run again.
-    ``sizes`` may hand in the rows per key (column ``_rows``) if known.
+    """Fold the rows of a key into arrays of structs, one for each of its parts.
 
-    The keys that need parts are found by a first job over the key columns and
-    kept in shared storage.
+    ``part_by`` is an integer made from a row's content, such as the year of its date,
+    or a hash of the row for keys with very many rows. It is part of the group,
+    whatever the number of rows, so the result does not depend on their number and a
+    large key is spread over tasks. Without it a key is one part, 0; so is a null.
     """
-    if sizes is None:
-        sizes = df.groupBy(*keys).agg(F.count("*").alias("_rows"))
-    large = pin(
-        sizes.where(F.col("_rows") > part_rows).select(
-            *keys, part_count("_rows", part_rows).alias("_parts")
-        )
-    )
-    placed = df.select(
-        *keys,
-        F.struct(*fields).alias("_item"),
-        F.xxhash64(F.monotonically_increasing_id()).alias("_slot"),
-    )
-    # Few keys are large, mostly none. As written files their size is known, so
-    # the planner broadcasts them if they are small, and the items are shuffled
-    # once, straight to their (key, part).
-    if large.isEmpty():
-        parted = placed.withColumn("part", F.lit(0))
-    else:
-        part = F.coalesce(F.pmod("_slot", F.col("_parts")), F.lit(0)).cast("int")
-        parted = placed.join(large, same_key(placed, large, keys), "left").select(
-            *(placed[key] for key in keys), part.alias("part"), "_item"
-        )
-    return (
-        parted.repartition(*keys, "part")
-        .groupBy(*keys, "part")
-        .agg(F.sort_array(F.collect_list("_item")).alias(into))
-    )
+    part = F.lit(0) if part_by is None else F.coalesce(part_by.cast("int"), F.lit(0))
+    placed = df.select(*keys, part.alias("part"), F.struct(*fields).alias("_item"))
+    return placed.groupBy(*keys, "part").agg(F.sort_array(F.collect_list("_item")).alias(into))
 
 
 def nested_under(
@@ -117,26 +78,20 @@ def nested_under(
     fields: Sequence[str],
     into: str,
     summary: Sequence[Column] = (),
-    part_rows: int = PART_ROWS,
+    part_by: Column | None = None,
 ) -> DataFrame:
-    """Each parent with its children as an array, null where it has none.
+    """Each parent with its children as arrays, one row per part as in ``nest``.
 
-    A parent with more than ``part_rows`` children takes one row per part.
-    Parents are repeated per part before the join, so the join is on (keys,
-    part) and the parts of one parent are spread over tasks. ``summary`` adds
-    aggregates over all children of a parent.
+    A parent without children has one row, part 0, with a null. ``summary`` adds
+    aggregates over all children of a parent. The join is left to AQE, which may
+    split the parts of one parent over tasks.
     """
     children = children.dropna(subset=list(keys))
-    sizes = children.groupBy(*keys).agg(F.count("*").alias("_rows"), *summary)
-    nested = nest(children, keys, fields, into, part_rows, sizes)
-    last = part_count("_rows", part_rows) - 1
-    return (
-        parents.join(sizes, list(keys), "left")
-        .withColumn("part", F.explode(F.sequence(F.lit(0), last)))
-        .join(nested, [*keys, "part"], "left")
-        # A part may stay without rows; only parents without children keep a null.
-        .where(F.col(into).isNotNull() | F.col("_rows").isNull())
-        .drop("_rows")
+    nested = nest(children, keys, fields, into, part_by)
+    if summary:
+        parents = parents.join(children.groupBy(*keys).agg(*summary), list(keys), "left")
+    return parents.join(nested, list(keys), "left").withColumn(
+        "part", F.coalesce("part", F.lit(0))
     )
 
 
@@ -168,27 +123,62 @@ def partition_profile(df: DataFrame) -> DataFrame:
 
 
 def catalogue(df: DataFrame, keys: Sequence[str], x: str, y: str) -> DataFrame:
-    """The statistical aggregates of two numeric columns per key."""
-    return df.groupBy(*keys).agg(
+    """The statistical aggregates of two numeric columns per key.
+
+    Central moments are gathered once; what follows from them (the sample forms,
+    the roots) is computed from the result. Different values are counted in a group
+    of their own, so the moments need no plan for distinct aggregates.
+    """
+    pairs = F.count(F.when(F.col(x).isNotNull() & F.col(y).isNotNull(), 1))
+    moments = df.groupBy(*keys).agg(
         F.count(x).alias("count"),
-        F.count_distinct(x).alias("count_distinct"),
         F.approx_count_distinct(x).alias("approx_count_distinct"),
         F.min(x).alias("min"),
         F.max(x).alias("max"),
         F.mean(x).alias("mean"),
         F.sum(x).alias("sum"),
-        F.sum_distinct(x).alias("sum_distinct"),
         F.var_pop(x).alias("var_pop"),
-        F.var_samp(x).alias("var_samp"),
-        F.variance(x).alias("variance"),
-        F.stddev(x).alias("stddev"),
-        F.stddev_pop(x).alias("stddev_pop"),
-        F.stddev_samp(x).alias("stddev_samp"),
         F.skewness(x).alias("skewness"),
         F.kurtosis(x).alias("kurtosis"),
         F.corr(x, y).alias("corr"),
         F.covar_pop(x, y).alias("covar_pop"),
-        F.covar_samp(x, y).alias("covar_samp"),
+        pairs.alias("_pairs"),
+    )
+    values = (
+        df.groupBy(*keys, x)
+        .agg(F.lit(1).alias("_one"))
+        .groupBy(*(F.col(key).alias(f"_at_{key}") for key in keys))
+        .agg(F.count(x).alias("count_distinct"), F.sum(x).alias("sum_distinct"))
+    )
+    same = F.lit(True)
+    for key in keys:
+        same = same & F.col(key).eqNullSafe(F.col(f"_at_{key}"))
+
+    def sample(moment: str, n: str) -> Column:
+        return F.when(F.col(n) > 1, F.col(moment) * F.col(n) / (F.col(n) - 1))
+
+    variance = sample("var_pop", "count")
+    return moments.join(values, same).select(
+        *keys,
+        "count",
+        "count_distinct",
+        "approx_count_distinct",
+        "min",
+        "max",
+        "mean",
+        "sum",
+        "sum_distinct",
+        "var_pop",
+        variance.alias("var_samp"),
+        variance.alias("variance"),
+        F.sqrt(variance).alias("stddev"),
+        F.sqrt("var_pop").alias("stddev_pop"),
+        F.sqrt(variance).alias("stddev_samp"),
+        "skewness",
+        "kurtosis",
+        "corr",
+        "covar_pop",
+        sample("covar_pop", "_pairs").alias("covar_samp"),
     )
 
 

@@ -1,9 +1,11 @@
-"""Joins, planned so that neither side is broadcast without a look at its size.
-
-A key that fills a large part of the rows is handled in one of three ways:
-a small side is broadcast (the other side is not shuffled at all), matching
-and non-matching tests first reduce the tested side to its distinct keys, and
-the remaining shuffle joins are left to AQE, which splits skewed partitions.
+"""Joins, planned so that no side is broadcast without a look at its size.
+
+No join here carries a broadcast hint: the planner, and AQE with measured sizes,
+broadcast a side below ``spark.sql.autoBroadcastJoinThreshold``. A key that fills a
+large part of the rows is handled in one of three ways: a small side is broadcast
+(the other side is not shuffled at all), matching and non-matching tests first
+reduce the tested side to its distinct keys, and the remaining shuffle joins are
+left to AQE, which splits skewed partitions.
 """
 
 from __future__ import annotations
@@ -12,39 +14,20 @@ from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
-
-BROADCAST_BYTES = 8 * 1024 * 1024
-
-
-def planned_bytes(df: DataFrame) -> int:
-    """Catalyst's size estimate of ``df``; takes no job. Unknown inputs count as huge."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-
-
-def small_side(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
-    """``df`` marked for broadcast if its estimate stays below ``limit``, else unchanged."""
-    return F.broadcast(df) if planned_bytes(df) <= limit else df
-
 
 def lookup(
-    facts: DataFrame,
-    dimension: DataFrame,
-    on: str | Sequence[str],
-    how: str = "inner",
-    limit: int = BROADCAST_BYTES,
+    facts: DataFrame, dimension: DataFrame, on: str | Sequence[str], how: str = "inner"
 ) -> DataFrame:
     """Facts with the columns of a dimension, joined on columns of the same name."""
-    keys = [on] if isinstance(on, str) else list(on)
-    return facts.join(small_side(dimension, limit), keys, how)
+    return facts.join(dimension, [on] if isinstance(on, str) else list(on), how)
 
 
 def large_join(left: DataFrame, right: DataFrame, on: str | Sequence[str]) -> DataFrame:
-    """Inner join of two sides that both grow with the data: never a broadcast.
+    """Inner join of two unfiltered sides that both grow with the data: never a broadcast.
 
     File sizes make a narrow slice of a large compressed table look small; the
     hint keeps the planner from sending it to every executor. AQE still splits
-    skewed partitions.
+    skewed partitions. Where a side was filtered, ``lookup`` lets AQE choose.
     """
     return left.join(right.hint("merge"), on)
 

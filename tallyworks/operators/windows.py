@@ -1,8 +1,9 @@
 """Ranks, top-k and running totals.
 
 Windows hold one group per task. ``top_k`` is safe for groups of any size
-because each task first keeps its own k best rows; ``ranked`` numbers groups of
-any size without gathering them; ``running_total`` is for groups that are
+because each task first keeps its own k best rows (for k up to Spark's
+``windowGroupLimitThreshold``, 1000 unless set; beyond it a group's rows all meet in
+one task); ``ranked`` numbers groups of any size without gathering them; ``running_total`` is for groups that are
 already aggregated to a bounded number of steps (the months of a year).
 """
 
@@ -48,31 +49,37 @@ def ranked(
 ) -> DataFrame:
     """Row number of every row within its key; ``order`` must end in a unique key.
 
-    The rows are range-partitioned into slices along (keys, order), so one key
-    may span many slices. Rows are numbered inside each slice, and the first
-    key of a slice is shifted by its rows in earlier slices. That shift table
-    has at most one row per slice, hence the broadcast. The slices are pinned
-    in shared storage since both branches must see the same ones.
+    The rows are range-partitioned into slices along (keys, order) and sorted there,
+    so one key may span many slices and each row's place in its slice is known
+    before the slices are pinned in shared storage. A row's number is its place, less
+    the first place of its key in that slice, plus the key's rows in earlier slices.
+    Only that table of (key, slice) is shuffled again.
     """
+    placed = (
+        df.repartitionByRange(*[F.col(key) for key in keys], *order)
+        .sortWithinPartitions(*[F.col(key) for key in keys], *order)
+        .withColumn("_place", F.monotonically_increasing_id())
+    )
+    # The upper bits of that id are the partition, the lower 33 the place in it.
     slices = pin(
-        df.repartitionByRange(*[F.col(key) for key in keys], *order).withColumn(
-            "_slice", F.spark_partition_id()
+        placed.withColumn("_slice", F.shiftright("_place", 33)).withColumn(
+            "_place", F.col("_place").bitwiseAND((1 << 33) - 1)
         )
     )
     earlier = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    shifts = (
+    # Written, so that the planner knows its size and need not shuffle the rows to it.
+    shifts = pin(
         slices.groupBy(*keys, "_slice")
-        .agg(F.count("*").alias("_rows"))
-        .withColumn("_shift", F.sum("_rows").over(earlier))
-        .where(F.col("_shift") > 0)
-        .select(*(F.col(key).alias(f"_at_{key}") for key in keys), F.col("_slice").alias("_at"), "_shift")
+        .agg(F.count("*").alias("_rows"), F.min("_place").alias("_first"))
+        .select(
+            *(F.col(key).alias(f"_at_{key}") for key in keys),
+            F.col("_slice").alias("_at"),
+            (F.coalesce(F.sum("_rows").over(earlier), F.lit(0)) - F.col("_first") + 1).alias("_shift"),
+        )
     )
-    inside = Window.partitionBy("_slice", *keys).orderBy(*order)
-    numbered = slices.withColumn("_number", F.row_number().over(inside))
     condition = F.col("_slice") == F.col("_at")
     for key in keys:
         condition = condition & F.col(key).eqNullSafe(F.col(f"_at_{key}"))
-    return numbered.join(F.broadcast(shifts), condition, "left").select(
-        *df.columns,
-        (F.col("_number") + F.coalesce("_shift", F.lit(0))).alias(into),
+    return slices.join(shifts, condition).select(
+        *df.columns, (F.col("_place") + F.col("_shift")).alias(into)
     )

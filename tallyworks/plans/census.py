@@ -56,9 +56,17 @@ def counties(raw: DataFrame) -> DataFrame:
 
 
 def sample_counties(census: DataFrame, fraction: float = 0.01, seed: int = 42) -> DataFrame:
+    """A random sample; which rows it holds depends on the partitioning."""
     return census.sample(fraction, seed)
 
 
+def sample_by_key(df: DataFrame, key: str, fraction: float = 0.01, seed: int = 42) -> DataFrame:
+    """A sample by a hash of the key: the same rows however the table is partitioned."""
+    digest = F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string")).cast("binary"))
+    place = F.conv(F.substring(digest, 1, 8), 16, 10).cast("long")
+    return df.where(place < int(fraction * 2**32))
+
+
 def institutions(campuses: DataFrame) -> DataFrame:
     """Main campuses with the postal code at the end of their address."""
     return (

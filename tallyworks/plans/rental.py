@@ -48,9 +48,13 @@ def customers(
 
 
 def rentals(rental: DataFrame, inventory: DataFrame) -> DataFrame:
-    """Rentals with the film and store of the rented copy."""
+    """Rentals with the film and store of the rented copy.
+
+    The rentals may be filtered, before or after this, to one customer or country;
+    so the planner decides from the sizes it measures.
+    """
     copies = inventory.select("inventory_id", "film_id", "store_id")
-    return joins.large_join(rental, copies, "inventory_id")
+    return joins.lookup(rental, copies, "inventory_id")
 
 
 def catalogue(film: DataFrame) -> DataFrame:

@@ -95,17 +95,14 @@ def load_inspections(spark: SparkSession, path: str) -> DataFrame:
 
 
 def inspected_businesses(
-    businesses: DataFrame,
-    inspections: DataFrame,
-    pass_mark: float = 92,
-    part_rows: int = aggregates.PART_ROWS,
+    businesses: DataFrame, inspections: DataFrame, pass_mark: float = 92
 ) -> DataFrame:
     """Each business with its nested inspections and whether it may open.
 
     It may if it has no score or a mean score above ``pass_mark``. The mean is
-    aggregated from the rows, not from the arrays. A business with more than
-    ``part_rows`` inspections takes several rows, told apart by ``part``; one
-    without any has a single empty inspection.
+    aggregated over all rows of a business, not over an array. There is one row per
+    business and year of inspection, told apart by ``part`` (0 for dates without a
+    year); a business without any has one with a single empty inspection.
     """
     kinds = {field.name: field.dataType for field in inspections.schema.fields}
     empty = F.array(F.struct(*(F.lit(None).cast(kinds[name]).alias(name) for name in INSPECTION)))
@@ -116,7 +113,7 @@ def inspected_businesses(
         INSPECTION,
         "inspections",
         summary=[F.avg("score").alias("_mean")],
-        part_rows=part_rows,
+        part_by=F.substring("date", 1, 4).try_cast("int"),
     ).select(
         *BUSINESS,
         "part",

@@ -1,8 +1,7 @@
 """Every query by name, over the test tables, with the SQL that gives the same rows.
 
 ``QUERIES`` maps a name to a function of (session, folder of tables).
-``ORACLES`` maps it to SQL; queries whose result SQL cannot state (a random
-sample, the rows per partition) have none.
+``ORACLES`` maps it to SQL.
 """
 
 from __future__ import annotations
@@ -147,9 +146,19 @@ def category_running_total(t: Tables) -> DataFrame:
     )
 
 
-@query(None)
+@query("SELECT count(*) AS rows, true AS ids_differ, true AS adds_up FROM lineitem")
 def partition_profile(t: Tables) -> DataFrame:
-    return aggregates.partition_profile(t.read("lineitem"))
+    """How many partitions there are is the cluster's choice; what must hold of them is not."""
+    lines = t.read("lineitem")
+    profile = aggregates.partition_profile(lines)
+    summed = profile.agg(
+        F.sum("count").alias("rows"),
+        (F.count_distinct("partition_id") == F.count("*")).alias("ids_differ"),
+    )
+    total = aggregates.row_count(lines.select("l_orderkey"), "_all")
+    return summed.join(total, F.col("rows") == F.col("_all"), "left").select(
+        "rows", "ids_differ", F.col("_all").isNotNull().alias("adds_up")
+    )
 
 
 @query("""
@@ -321,6 +330,27 @@ def never_bought_status_p(t: Tables) -> DataFrame:
     return olist.never_bought(t.customers(), pending)
 
 
+@query("""
+    SELECT c_custkey AS customer_id, CAST(c_nationkey AS VARCHAR) AS customer_zip_code_prefix,
+           n_name AS customer_state
+    FROM customer JOIN nation ON n_nationkey = c_nationkey
+    WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_custkey IS NOT NULL)
+""")
+def never_bought(t: Tables) -> DataFrame:
+    return olist.never_bought(t.customers(), t.orders())
+
+
+@query("""
+    SELECT doc_id AS customer_id, lang, source
+    FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels WHERE doc_id IS NOT NULL)
+""")
+def never_labelled(t: Tables) -> DataFrame:
+    """The same program on a pair of whole tables where many keys are missing."""
+    documents = t.read("documents").select(F.col("doc_id").alias("customer_id"), "lang", "source")
+    labels = t.read("labels").select(F.col("doc_id").alias("customer_id"))
+    return olist.never_bought(documents, labels)
+
+
 # Hours between two midnights are whole, so hundredths of them are exact in integers.
 @query("""
     SELECT customer_state,
@@ -408,7 +438,8 @@ def nest_explode_roundtrip(t: Tables) -> DataFrame:
     FROM supplier
     UNION ALL
     SELECT CAST(c_custkey AS VARCHAR), c_name, c_mktsegment, NULL, 'DURHAM', 'NC',
-           lpad(CAST(c_nationkey AS VARCHAR), 5, '0'), NULL, DATE '2003-05-07', NULL,
+           lpad(CAST(c_nationkey AS VARCHAR), 5, '0'), NULL, DATE '2003-05-07',
+           CASE WHEN c_mktsegment = 'BUILDING' THEN DATE '2010-05-04' END,
            CASE WHEN c_mktsegment <> 'MACHINERY' THEN c_mktsegment END,
            c_nationkey || '.0', '2.5', 'Durham', 'NC_Durham_' || c_custkey
     FROM customer
@@ -438,17 +469,21 @@ def _as_text(inspected: DataFrame) -> DataFrame:
 
 SCORED_SQL = f"""
     SELECT c_custkey AS business_id, any_value(c_name) AS name, any_value(n_name) AS city,
-           CAST(0 AS INTEGER) AS part,
+           coalesce(year, 0) AS part,
            coalesce(string_agg(score || '|' || date || '|' || o_orderpriority, ';'
                                ORDER BY score, date, o_orderpriority), '') AS inspections,
-           coalesce(avg(score) > {PASS_MARK}, true) AS can_be_opened
+           coalesce(any_value(mean) > {PASS_MARK}, true) AS can_be_opened
     FROM customer
     JOIN nation ON n_nationkey = c_nationkey
     LEFT JOIN (
         SELECT o_custkey, CAST(floor(o_totalprice / 5000) AS INTEGER) AS score,
-               strftime(o_orderdate, '%Y-%m-%d') AS date, o_orderpriority
+               strftime(o_orderdate, '%Y-%m-%d') AS date, o_orderpriority,
+               CAST(year(o_orderdate) AS INTEGER) AS year
         FROM orders) ON o_custkey = c_custkey
-    GROUP BY c_custkey
+    LEFT JOIN (
+        SELECT o_custkey AS scored, avg(floor(o_totalprice / 5000)) AS mean
+        FROM orders GROUP BY 1) ON scored = c_custkey
+    GROUP BY c_custkey, year
 """
 
 
@@ -701,7 +736,8 @@ def json_multiline_dir(t: Tables) -> DataFrame:
     """Events written as files of one JSON array each, then read back as documents."""
     path = session.new_shared_folder(t.spark, "documents")
     events = t.read("events").withColumn("day", F.to_date("ts"))
-    arrays = aggregates.nest(events, ["day"], ["event_id", "event_type"], "events")
+    half = F.floor(F.hour("ts") / 12)
+    arrays = aggregates.nest(events, ["day"], ["event_id", "event_type"], "events", half)
     arrays.select(F.to_json("events").alias("value")).write.option("maxRecordsPerFile", 1).text(path)
     return consular.record_count(
         consular.load_documents(t.spark, path, "event_id BIGINT, event_type STRING")
@@ -718,9 +754,15 @@ def name_parts(t: Tables) -> DataFrame:
     return census.counties(t.labelled_customers())
 
 
-@query(None)
+@query("""
+    SELECT c_custkey AS id, replace(c_name, '#', ', ') AS label,
+           CAST(c_custkey // 1000 AS INTEGER) AS "stateId", c_custkey % 1000 AS "countyId",
+           split_part(c_name, '#', 2) AS state, split_part(c_name, '#', 1) AS county
+    FROM customer
+    WHERE CAST('0x' || substr(md5('42:' || c_custkey), 1, 8) AS BIGINT) < 429496729
+""")
 def seeded_sample(t: Tables) -> DataFrame:
-    return census.sample_counties(census.counties(t.labelled_customers()), 0.1)
+    return census.sample_by_key(census.counties(t.labelled_customers()), "id", 0.1)
 
 
 @query("""
@@ -829,11 +871,13 @@ ORDER_COLUMNS = {
 }
 
 
-@query(ORDERS_SQL)
+@query("SELECT * FROM orders")
 def csv_roundtrip(t: Tables) -> DataFrame:
     path = session.new_shared_folder(t.spark, "csv")
-    t.read("orders").write.option("header", True).option("sep", ";").csv(path)
-    return files.csv_typed(t.spark, path, ORDER_COLUMNS, sep=";")
+    orders = t.read("orders").repartition(3, "o_orderkey")
+    orders.write.option("header", True).option("sep", ";").csv(path)
+    more = {"o_custkey": "long", "o_orderdate": "timestamp_ntz"}
+    return files.csv_typed(t.spark, path, ORDER_COLUMNS | more, sep=";")
 
 
 @query(ORDERS_SQL)
@@ -851,12 +895,28 @@ def json_roundtrip(t: Tables) -> DataFrame:
                AS date_time_original
     FROM orders
 """)
-def exif_scan(t: Tables) -> DataFrame:
+def exif_from_column(t: Tables) -> DataFrame:
     return exif.exif_from_content(t.photos())
 
 
 @query("""
-    SELECT count(*) FILTER (c_mktsegment = 'BUILDING') AS "dateEnd", 0::BIGINT AS "dateStart"
+    SELECT 'supplier-' || s_suppkey || '.jpg' AS image, s_name AS camera_make,
+           '2020:01:02 03:04:05' AS date_time_original
+    FROM supplier
+""")
+def exif_scan(t: Tables) -> DataFrame:
+    """One image file per supplier, written by tasks and read through the ``exif`` source."""
+    folder = session.new_shared_folder(t.spark, "images")
+    exif.write_images(t.supplier_photos(), folder)
+    exif.register(t.spark)
+    found = t.spark.read.format("exif").load(folder)
+    name = F.element_at(F.split("image_path", "/"), -1).alias("image")
+    return found.select(name, "camera_make", "date_time_original")
+
+
+@query("""
+    SELECT count(*) FILTER (c_mktsegment <> 'BUILDING' AND c_nationkey = 3) AS "dateEnd",
+           0::BIGINT AS "dateStart"
     FROM customer
 """)
 def rejected_dates(t: Tables) -> DataFrame:
@@ -878,10 +938,20 @@ def rejected_dates(t: Tables) -> DataFrame:
     FROM events
 """)
 def click_stream(t: Tables) -> DataFrame:
-    """Events written as JSON files, run through the stream job, and read from its output."""
+    """Events written as JSON files, run through the stream job, and read from its output.
+
+    Half of them are written as JSON lines, half as files of one array each.
+    """
     root = session.new_shared_folder(t.spark, "clicks")
-    sinks.write_json(t.clicks(), f"{root}/in")
-    clicks.run_available(t.spark, f"{root}/in", f"{root}/out", f"{root}/checkpoint")
+    events = t.clicks()
+    odd = F.pmod("user_id", F.lit(2)) == 1
+    sinks.write_json(events.where(odd | odd.isNull()), f"{root}/in/lines")
+    day = F.substring("event_time", 1, 10).alias("day")
+    arrays = aggregates.nest(events.where(~odd).select("*", day), ["day"], events.columns, "events")
+    arrays.select(F.to_json("events").alias("value")).write.option("maxRecordsPerFile", 1).text(
+        f"{root}/in/arrays"
+    )
+    clicks.run_available(t.spark, f"{root}/in/*", f"{root}/out", f"{root}/checkpoint")
     projected = clicks.project_clicks(t.spark.createDataFrame([], schemas.CLICK_EVENT)).schema
     return files.json_lines(t.spark, f"{root}/out", projected).drop("metadata")
 

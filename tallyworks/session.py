@@ -6,7 +6,6 @@ Nothing here picks a master: the caller's session (or ``spark-submit``) does.
 from __future__ import annotations
 
 import math
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -42,15 +41,11 @@ def build_session(
 def sized_conf(shuffle_bytes: int, cores: int) -> dict[str, str]:
     """Partition settings for a job whose largest shuffle moves about that many bytes.
 
-    About 200 MB per partition, at least two per core, and no more than 100,000
-    (beyond that the number of shuffle blocks costs more than spilling does).
-    AQE merges what turns out smaller.
+    About 200 MB per partition and at least two per core; AQE merges what turns
+    out smaller.
     """
-    partitions = min(max(math.ceil(shuffle_bytes / 200_000_000), 2 * cores), 100_000)
-    return {
-        "spark.sql.shuffle.partitions": str(partitions),
-        "spark.sql.files.maxPartitionBytes": "256m" if shuffle_bytes > 10**12 else "128m",
-    }
+    partitions = max(math.ceil(shuffle_bytes / 200_000_000), 2 * cores)
+    return {"spark.sql.shuffle.partitions": str(partitions)}
 
 
 def use_database(spark: SparkSession, name: str, location: str | None = None) -> None:
@@ -67,18 +62,14 @@ def query_shared_view(df: DataFrame, view: str, predicate: str) -> DataFrame:
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The folder every executor can reach, as the cluster names it.
+    """A folder every executor can reach: ``spark.checkpoint.dir``, else below the warehouse.
 
-    Only a local master may fall back to a temporary folder of this machine.
+    The session is only read, never changed.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if root:
-        return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
-    root = tempfile.mkdtemp(prefix="tallyworks-")
-    spark.sparkContext.setCheckpointDir(root)
-    return root
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        root = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_shared"
+    return root.rstrip("/")
 
 
 def new_shared_folder(spark: SparkSession, purpose: str) -> str:

@@ -141,7 +141,12 @@ class Tables:
             "c_custkey", "c_name", "c_mktsegment", "store_location"
         )
         documents = aggregates.nested_under(
-            owners, orders, ["c_custkey"], ["qty", "title"], "books"
+            owners,
+            orders,
+            ["c_custkey"],
+            ["qty", "title"],
+            "books",
+            part_by=F.pmod("qty", F.lit(4)),
         )
 
         def party(name: Column, country: Column) -> Column:
@@ -191,7 +196,9 @@ class Tables:
                 F.lpad(nation.cast("string"), 5, "0").alias("premise_zip"),
                 F.lit(None).cast("string").alias("premise_phone"),
                 F.lit("2003-05-07").alias("opening_date"),
-                F.when(segment == "BUILDING", "2010-05-04T00:00:00Z").alias("closing_date"),
+                F.when(segment == "BUILDING", "2010-05-04T00:00:00Z")
+                .when(nation == 3, F.concat(F.lit("closed in "), segment))
+                .alias("closing_date"),
                 F.when(segment == "MACHINERY", segment)
                 .otherwise(F.concat(F.lit("1 - "), segment))
                 .alias("type_description"),
@@ -347,6 +354,19 @@ class Tables:
             F.struct(F.get_json_object("props", "$.k").alias("query")).alias("metadata"),
         )
 
+    def supplier_photos(self) -> DataFrame:
+        """One JPEG start per supplier; every tenth has five long colour profiles in front."""
+        profile = F.concat(F.unhex(F.lit("FFE2FFFF")), F.unhex(F.repeat(F.lit("00"), 65533)))
+        photo = jpeg_header(F.col("s_name"), F.lit("2020:01:02 03:04:05"))
+        rest = F.expr("substring(photo, 3)")
+        number = F.col("s_suppkey")
+        return self.read("supplier").select(number, photo.alias("photo")).select(
+            F.concat(F.lit("supplier-"), number, F.lit(".jpg")).alias("path"),
+            F.when(number % 10 == 0, F.concat(F.substring("photo", 1, 2), *[profile] * 5, rest))
+            .otherwise(F.col("photo"))
+            .alias("content"),
+        )
+
     def photos(self) -> DataFrame:
         """One JPEG header per order: priority as make, order date as date; none for status P."""
         make = F.col("o_orderpriority")
