@@ -17,7 +17,12 @@ def load_table(
     connection: Mapping[str, str],
     table: str,
     split: jdbc.Split | None = None,
+    key: str | None = None,
+    parts: int = 16,
 ) -> DataFrame:
+    """A table of the database, read by several tasks if a split or a numeric key is named."""
+    if split is None and key is not None:
+        split = jdbc.find_split(spark, connection, f"SELECT * FROM {table}", key, parts)
     return jdbc.read_table(spark, connection, table, split)
 
 

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from tallyworks import schemas, session, sinks
 from tallyworks.operators import aggregates
-from tallyworks.plans import retail
+from tallyworks.plans import rental, retail
 from tallyworks.sources import exif, files, jdbc, literals
 from tallyworks.stand_ins import jpeg_header
 
@@ -115,6 +115,8 @@ def test_jdbc_options():
     )
     found = jdbc.find_split(Recorder(), {"url": "jdbc:x"}, "SELECT * FROM film", "film_id", 4)
     assert found == jdbc.Split("film_id", 3, 90, 4)
+    keyed = rental.load_table(Recorder(), {"url": "jdbc:x"}, "film", key="film_id").seen
+    assert keyed["partitionColumn"] == "film_id" and keyed["upperBound"] == 90
 
 
 # --- EXIF ---------------------------------------------------------------------------
