@@ -89,8 +89,8 @@ def shingles(hashes: np.ndarray, counts: np.ndarray, width: int = 5) -> list[np.
         if n >= width:
             sets.append(np.unique(joined[at : at + n - width + 1]))
         elif n:
-            whole = (hashes[at : at + n] * _PLACES[:n]).sum(dtype=_U) + _LENGTHS[n]
-            sets.append(mix(np.array([whole], dtype=_U)))
+            whole = (hashes[at : at + n] * _PLACES[:n]).sum(keepdims=True, dtype=_U) + _LENGTHS[n : n + 1]
+            sets.append(mix(whole))
         else:
             sets.append(np.empty(0, dtype=_U))
         at += n

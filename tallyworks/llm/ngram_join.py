@@ -16,9 +16,11 @@ without each of its shingles. Two such sets find each other there, and such a se
 and another one find each other by a whole part.
 
 Every link is verified on the sets themselves. Sets that are equal count once.
-Candidates go from each member of a bucket to one member first; components of
-these links leave only the pairs of different components to try, so groups of
-many near copies are not paired with one another.
+Candidates go from each member of a bucket to its most central members first;
+components of these links leave only the pairs of different components to try, so
+groups of many near copies are not paired with one another. A parity sketch (one
+bit for each of ``CELLS`` cells: whether an odd number of shingles falls there) goes
+before the sets: sets differ in at least as many shingles as their sketches in bits.
 """
 
 from __future__ import annotations
@@ -27,7 +29,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyworks.llm import hashing
@@ -38,6 +40,11 @@ _U = np.uint64
 PERCENT = 80
 #: Bits of the filter that tells which sets a later pass must send; its size is fixed.
 FILTER_WORDS = 1 << 17
+#: Words and bits of a parity sketch.
+SKETCH = 16
+CELLS = 64 * SKETCH
+#: Members of a bucket that all its members are tried with first.
+CENTRES = 3
 #: Sets a task remembers in order to send equal ones once.
 REMEMBERED = 500_000
 
@@ -102,10 +109,22 @@ def fingerprints(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     return hashing.mix(a, 3), hashing.mix(b, 4)
 
 
+def sketch(own: np.ndarray) -> np.ndarray:
+    """The parity sketch of a set, as ``SKETCH`` words."""
+    odd = np.bincount((own & _U(CELLS - 1)).astype(np.int64), minlength=CELLS) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64)
+
+
 def _long(values) -> pa.Array:
     return pa.array(np.asarray(values, dtype=_U).view(np.int64))
 
 
+DESCRIBED = ["doc_id", "n", "f", "g", "spare_own", "spare_below", *(f"s{k}" for k in range(SKETCH))]
+
+
+SKETCHES = DESCRIBED[-SKETCH:]
+
+
 def _described(width: int, percent: int) -> Callable:
     """Per document: id, size of its set, its two hashes, and what it may leave out by role."""
 
@@ -126,8 +145,9 @@ def _described(width: int, percent: int) -> Callable:
                         _long(g),
                         pa.array(spare[:, 0]),
                         pa.array(spare[:, 1]),
+                        *(pa.array(odd) for odd in np.array([sketch(s) for s in sets]).T.copy()),
                     ],
-                    names=["doc_id", "n", "f", "g", "spare_own", "spare_below"],
+                    names=DESCRIBED,
                 )
 
     return describe
@@ -210,7 +230,10 @@ def _filter_bits(nodes: DataFrame) -> np.ndarray:
 
 
 def _buckets(texts: DataFrame, described: DataFrame, width: int, percent: int) -> DataFrame:
-    """(sig, node): the cheapest parts each set needs, as far as another set holds them too."""
+    """(sig, node, weight): the cheapest parts each set needs, as far as another set holds them too.
+
+    ``weight`` sums over a set's shared parts how many sets hold them: how central it is.
+    """
     signed = texts.mapInArrow(_signed(width, percent), "sig long, node long")
     held = F.count("*").over(Window.partitionBy("sig"))
     shared = signed.withColumn("held", held).where("held > 1")
@@ -228,14 +251,34 @@ def _buckets(texts: DataFrame, described: DataFrame, width: int, percent: int) -
         "node",
         F.row_number().over(of_node.orderBy("held", "sig")).alias("rank"),
         F.count("*").over(of_node).alias("shared"),
+        F.sum("held").over(of_node).alias("weight"),
     )
     # Parts nobody shares come first in the order, so of the shared ones a set
     # needs all but as many as it may leave out, the dearest.
     return (
         ranked.join(spare, "node")
         .where("rank <= shared - spare")
-        .select("sig", F.expr("shiftright(node, 1)").alias("node"))
-        .distinct()
+        .groupBy("sig", F.expr("shiftright(node, 1)").alias("node"))
+        .agg(F.max("weight").alias("weight"))
+    )
+
+
+def _may_link(percent: int) -> Column:
+    """Whether sizes and sketches of the sides a and b leave a link possible."""
+    a, b = F.col("na"), F.col("nb")
+    apart = F.bit_count(F.col("a0").bitwiseXOR(F.col("b0")))
+    for k in range(1, SKETCH):
+        apart = apart + F.bit_count(F.col(f"a{k}").bitwiseXOR(F.col(f"b{k}")))
+    near = 100 * F.least(a, b) >= percent * F.greatest(a, b)
+    return near & (apart * (100 + percent) <= (100 - percent) * (a + b))
+
+
+def _side(sketches: DataFrame, side: str) -> DataFrame:
+    """The sketches with column names of one side of a pair."""
+    return sketches.select(
+        F.col("node").alias(side),
+        F.col("n").alias(f"n{side}"),
+        *(F.col(f"s{k}").alias(f"{side}{k}") for k in range(SKETCH)),
     )
 
 
@@ -254,6 +297,22 @@ def _links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     )
 
 
+def _verified(
+    texts: DataFrame, pairs: DataFrame, reps: DataFrame, width: int, percent: int
+) -> tuple[DataFrame, DataFrame]:
+    """The pairs that link, as (a, b) of representatives, and the sets they were verified on."""
+    nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+    bits = _filter_bits(nodes)
+    sent = texts.mapInArrow(_sent(width, bits), "f long, g long, shingles array<long>")
+    sets = pin(
+        sent.groupBy("f", "g")
+        .agg(F.first("shingles").alias("shingles"))
+        .join(reps, ["f", "g"])
+        .select(F.shiftright("f", 1).alias("node"), "rep", "shingles")
+    )
+    return pin(_links(pairs, sets, percent)), sets
+
+
 def similarity_join(
     docs: DataFrame, width: int = 5, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
@@ -269,45 +328,48 @@ def similarity_join(
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string"))
     described = pin(
         texts.mapInArrow(
-            _described(width, percent), "doc_id long, n long, f long, g long, spare_own long, spare_below long"
+            _described(width, percent), ", ".join(f"{name} long" for name in DESCRIBED)
         )
     )
     named = described.where("n > 0 AND doc_id IS NOT NULL")
     reps = named.groupBy("f", "g").agg(F.min("doc_id").alias("rep"), F.count("*").alias("n_copies"))
     buckets = pin(_buckets(texts.where("doc_id IS NOT NULL"), named, width, percent))
-    # Minima are combined before the shuffle, and the join may split a large bucket.
-    first = buckets.groupBy("sig").agg(F.min("node").alias("a"), F.count("*").alias("held")).where("held > 1")
-    pairs = pin(
-        buckets.join(first, "sig").where("a <> node").select("a", F.col("node").alias("b")).distinct()
+    sketches = named.groupBy(F.shiftright("f", 1).alias("node")).agg(
+        F.max("n").alias("n"), *(F.max(f"s{k}").alias(f"s{k}") for k in range(SKETCH))
     )
-    nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    bits = _filter_bits(nodes)
-    sent = texts.mapInArrow(_sent(width, bits), "f long, g long, shingles array<long>")
-    sets = pin(
-        sent.groupBy("f", "g")
-        .agg(F.first("shingles").alias("shingles"))
-        .join(reps, ["f", "g"])
-        .select(F.shiftright("f", 1).alias("node"), "rep", "shingles")
+    sketches = pin(sketches.join(buckets.select("node").distinct(), "node", "left_semi"))
+    # The centres are picked per task before the shuffle, and the join may split a large bucket.
+    central = F.row_number().over(Window.partitionBy("sig").orderBy(F.desc("weight"), "node"))
+    centres = buckets.withColumn("place", central).where(F.col("place") <= CENTRES)
+    tried = (
+        buckets.select("sig", F.col("node").alias("b"))
+        .join(centres.select("sig", F.col("node").alias("a")), "sig")
+        .where("a <> b")
+        .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+        .distinct()
     )
-    star = pin(_links(pairs, sets, percent))
+    tried = tried.join(_side(sketches, "a"), "a").join(_side(sketches, "b"), "b").where(_may_link(percent))
+    pairs = pin(tried.select("a", "b"))
+    star, _ = _verified(texts, pairs, reps, width, percent)
     labels = components(star)
     # Members of one bucket in different components: the pairs still to try.
-    named_sets = sets.select("node", "rep").join(
-        labels.withColumnRenamed("node", "rep"), "rep", "left"
-    ).select("node", F.coalesce("label", "rep").alias("label"))
-    held = buckets.join(named_sets, "node")
-    mixed = held.groupBy("sig").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high")
-    held = held.join(mixed.select("sig"), "sig")
-    other = held.select("sig", F.col("node").alias("b"), F.col("label").alias("label_b"))
-    more = (
-        held.select("sig", F.col("node").alias("a"), "label")
-        .join(other, "sig")
-        .where("a < b AND label <> label_b")
-        .select("a", "b")
-        .distinct()
-        .join(pairs, ["a", "b"], "left_anti")
+    named_nodes = reps.select(F.shiftright("f", 1).alias("node"), "rep")
+    of_node = (
+        named_nodes.join(sketches, "node")
+        .join(labels.withColumnRenamed("node", "rep"), "rep", "left")
+        .withColumn("label", F.coalesce("label", "rep"))
+        .drop("rep")
     )
-    rest = _links(more, sets, percent)
+    held = buckets.select("sig", "node").join(of_node.select("node", "label"), "node")
+    mixed = held.groupBy("sig").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high")
+    held = pin(held.join(mixed.select("sig"), "sig", "left_semi").join(sketches, "node"))
+    left = _side(held, "a").columns
+    one = held.select("sig", F.col("label").alias("la"), *(held[c].alias(x) for c, x in zip(["node", "n", *SKETCHES], left)))
+    right = _side(held, "b").columns
+    two = held.select("sig", F.col("label").alias("lb"), *(held[c].alias(x) for c, x in zip(["node", "n", *SKETCHES], right)))
+    more = one.join(two, (one["sig"] == two["sig"]) & (F.col("a") < F.col("b")) & (F.col("la") != F.col("lb")) & _may_link(percent))
+    more = pin(more.select("a", "b").distinct().join(pairs, ["a", "b"], "left_anti"))
+    rest, _ = _verified(texts, more, reps, width, percent)
     links = pin(star.unionByName(rest).distinct())
     labels = components(links)
     ends = links.select(F.col("a").alias("rep")).union(links.select("b"))
