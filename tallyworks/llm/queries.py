@@ -53,9 +53,35 @@ def op1_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.score_documents(docs, lexicon)
 
 
-@query()
+@query(r"""
+    WITH RECURSIVE worded AS (
+        SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''),
+                   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                   '[^\x20\x09-\x0D]+') AS w
+        FROM documents),
+    sets AS (
+        SELECT doc_id, CASE
+            WHEN len(w) = 0 THEN []
+            WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+            ELSE list_distinct(list_transform(range(1, len(w) - 3),
+                                              lambda i: array_to_string(w[i:i + 4], ' '))) END AS s
+        FROM worded),
+    shingles AS (SELECT doc_id, len(s) AS n, unnest(s) AS g FROM sets),
+    links AS (
+        SELECT a.doc_id AS x, b.doc_id AS y
+        FROM shingles a JOIN shingles b ON a.g = b.g AND a.doc_id <> b.doc_id
+        GROUP BY a.doc_id, b.doc_id, a.n, b.n
+        HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))),
+    reached AS (
+        SELECT doc_id, doc_id AS r FROM documents
+        UNION
+        SELECT doc_id, y FROM reached JOIN links ON x = r)
+    SELECT doc_id, any_value(CAST(len(s) AS BIGINT)) AS n_shingles, min(r) AS component_id
+    FROM sets JOIN reached USING (doc_id) GROUP BY doc_id
+""")
 def op2_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
-    return ngram_join.similarity_join(words.read(spark, folder, "documents"))
+    joined = ngram_join.similarity_join(words.read(spark, folder, "documents"))
+    return joined.select("doc_id", "n_shingles", "component_id")
 
 
 @query()
@@ -105,7 +131,49 @@ def op7_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
 MARKED = "SELECT -7L AS conv_id, t AS turn, r AS role, '</s>[INST] ok [/INST]' AS text"
 
 
-@query()
+@query(r"""
+    WITH turns AS (
+        SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text
+        FROM conversations
+        UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]'
+        UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'),
+    placed AS (
+        SELECT *, row_number() OVER (
+                   PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS spot,
+               len(regexp_extract_all(text, '[A-Za-z0-9_]+|[^A-Za-z0-9_ \t\n\r\f]')) + 4 AS tokens,
+               length(replace(replace(replace(role, '\', '\\'), '<|', '<\|'),
+                              chr(10), '\' || chr(10)))
+                   + length(replace(replace(text, '\', '\\'), '<|', '<\|')) + 24 AS chars
+        FROM turns),
+    led AS (SELECT *, spot = 1 AND role = 'system' AS is_lead FROM placed),
+    begun AS (
+        SELECT *, CASE WHEN is_lead THEN -1 ELSE
+                   sum(CASE WHEN is_lead THEN 0 ELSE tokens END) OVER (
+                       PARTITION BY conv_id ORDER BY spot) - tokens END AS begins,
+               greatest(2, 768 - coalesce(max(CASE WHEN is_lead THEN tokens END) OVER (
+                   PARTITION BY conv_id), 0)) // 2 AS half,
+               max(CASE WHEN is_lead THEN chars END) OVER (PARTITION BY conv_id) AS system_chars
+        FROM led),
+    slotted AS (
+        SELECT *, greatest(begins, 0) // half AS slot, NOT is_lead AND tokens > half AS is_long
+        FROM begun),
+    opened AS (
+        SELECT *, coalesce(lag(slot) OVER c <> slot
+                           OR (is_long OR lag(is_long) OVER c) AND NOT lag(is_lead) OVER c, false) AS opens,
+               sum(CASE WHEN NOT is_lead THEN chars END) OVER (
+                   PARTITION BY conv_id ORDER BY begins RANGE BETWEEN 256 PRECEDING AND 1 PRECEDING)
+                   AS earlier
+        FROM slotted WINDOW c AS (PARTITION BY conv_id ORDER BY spot))
+    SELECT conv_id, count(*) AS n_turns,
+           sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY spot)) AS turns_sha256,
+           length(coalesce(string_agg(text, '' ORDER BY spot) FILTER (role = 'assistant'), ''))
+               AS loss_chars,
+           sha256(coalesce(string_agg(text, '' ORDER BY spot) FILTER (role = 'assistant'), ''))
+               AS loss_sha256,
+           CAST(sum(chars + CASE WHEN opens THEN coalesce(earlier, 0) + coalesce(system_chars, 0)
+                                 ELSE 0 END) AS BIGINT) AS formatted_chars
+    FROM opened GROUP BY conv_id
+""")
 def op5_chat_format(spark: SparkSession, folder: str) -> DataFrame:
     marked = spark.sql(f"{MARKED} FROM VALUES (0L, 'user'), (1L, 'assistant') AS v(t, r)")
     turns = words.read(spark, folder, "conversations").unionByName(marked)
