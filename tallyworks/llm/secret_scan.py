@@ -12,8 +12,10 @@ batch at once. Tagged runs that touch no base span are added as kind ``crf``.
 from __future__ import annotations
 
 import re
+import zlib
+from bisect import bisect_right
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -36,7 +38,6 @@ TOKEN = re.compile(r"[\w+/.\-]+={0,2}|[^\w\s]")
 OUT, BEGIN, INSIDE = 0, 1, 2
 #: Buckets for the identity of a neighbouring word.
 BUCKETS = 1024
-ROLES = 4  # the token itself, as the word one before, two before, one after
 
 Span = tuple[int, int, str]
 
@@ -62,23 +63,22 @@ def secret_values(text: str) -> list[tuple[int, int]]:
 def shape(token: str) -> list[int]:
     """Numbers of the shape features of a token, each below ``SHAPES``."""
     n = len(token)
-    length = int(np.searchsorted([2, 4, 6, 8, 12, 16, 20, 24, 32, 40, 64], n, side="right"))
-    digits = sum(c.isdigit() for c in token)
-    upper = sum(c.isupper() for c in token)
-    lower = sum(c.islower() for c in token)
+    length = bisect_right(LENGTHS, n)
+    digits = sum(map(str.isdigit, token))
+    upper = sum(map(str.isupper, token))
+    lower = sum(map(str.islower, token))
     other = n - digits - upper - lower
     mix = (digits > 0) + 2 * (upper > 0) + 4 * (lower > 0) + 8 * (other > 0)
-    changes = sum(a.isdigit() != b.isdigit() for a, b in zip(token, token[1:]))
-    kinds = len(set(token))
+    changes = sum(a.isdigit() != b.isdigit() for a, b in zip(token, token[1:])) if digits else 0
     features = [
         length,
         12 + mix,
         28 + min(changes, 7),
-        36 + min(kinds // 3, 7),
+        36 + min(len(set(token)) // 3, 7),
         44 + (12 * (digits > 0) + min(length, 11)),
-        68 + (int(8 * digits / n) if n else 0),
+        68 + (8 * digits // n if n else 0),
     ]
-    if n >= 12 and digits and all(c in "0123456789abcdef" for c in token):
+    if n >= 12 and digits and not token.strip("0123456789abcdef"):
         features.append(77)
     if n >= 12 and digits and upper and lower:
         features.append(78)
@@ -88,15 +88,13 @@ def shape(token: str) -> list[int]:
 
 
 SHAPES = 80
+LENGTHS = [2, 4, 6, 8, 12, 16, 20, 24, 32, 40, 64]
 FILE = 3  # share of setting-like signs: none, some, many
 
 
 def word_bucket(token: str) -> int:
-    """Which bucket a neighbouring word falls into: signs and keywords apart, by spelling."""
-    value = 17
-    for c in token.lower()[:16]:
-        value = (value * 31 + ord(c)) & 0xFFFFFFFF
-    return (value ^ value >> 13) % BUCKETS
+    """Which bucket a neighbouring word falls into, by its first letters."""
+    return zlib.crc32(token[:16].lower().encode()) % BUCKETS
 
 
 def file_feature(text: str) -> int:
@@ -112,59 +110,93 @@ class Field:
     neighbours: np.ndarray  # 3 x BUCKETS x 3
     file: np.ndarray  # FILE x 3
     moves: np.ndarray  # 3 x 3, from row to column
-    _known: dict = field(default_factory=dict, compare=False, repr=False)
-
-    def __reduce__(self):
-        return Field, (self.shapes, self.neighbours, self.file, self.moves)
-
-    def scores_of(self, token: str) -> np.ndarray:
-        """The 4 x 3 scores of a token in its four roles."""
-        bucket = word_bucket(token)
-        rows = np.empty((ROLES, 3), dtype=np.float32)
-        rows[0] = self.shapes[shape(token)].sum(axis=0)
-        rows[1:] = self.neighbours[:, bucket]
-        return rows
 
 
 class Tagger:
-    """Tags the texts of a batch with one field; remembers the scores of tokens."""
+    """Tags the texts of a batch with one field; remembers shape and bucket of tokens."""
 
-    REMEMBERED = 300_000
+    REMEMBERED = 600_000
 
     def __init__(self, crf: Field):
         self.crf = crf
-        self.rows: dict[str, int] = {}
-        self.table = np.empty((4096, ROLES, 3), dtype=np.float32)
-
-    def _numbers(self, tokens: list[str]) -> np.ndarray:
-        rows = self.rows
-        numbers = [rows.get(t, -1) for t in tokens]
-        if -1 in numbers:
-            for i, number in enumerate(numbers):
-                if number < 0:
-                    token = tokens[i]
-                    number = rows.get(token, -1)
-                    if number < 0:
-                        number = rows[token] = len(rows)
-                        if number >= len(self.table):
-                            self.table = np.concatenate([self.table, np.empty_like(self.table)])
-                        self.table[number] = self.crf.scores_of(token)
-                    numbers[i] = number
-        return np.array(numbers, dtype=np.int64)
-
-    def emissions(self, text: str) -> np.ndarray:
-        numbers = self._numbers(TOKEN.findall(text))
-        scores = self.table[numbers, 0] + self.crf.file[file_feature(text)].astype(np.float32)
-        scores[1:] += self.table[numbers[:-1], 1]
-        scores[2:] += self.table[numbers[:-2], 2]
-        scores[:-1] += self.table[numbers[1:], 3]
-        return scores
+        self.moves = crf.moves.astype(np.float32)
+        self.neighbours = crf.neighbours.astype(np.float32)
+        self.numbers: dict[str, int] = {}
+        self.known: list[tuple[int, int]] = []
+        self.shape_numbers: dict[tuple[int, ...], int] = {}
+        self.shape_scores: list[np.ndarray] = []
+        self._arrays = np.empty((0, 2), dtype=np.int32)
+
+    def _number(self, token: str) -> int:
+        features = tuple(shape(token))
+        of_shape = self.shape_numbers.get(features)
+        if of_shape is None:
+            of_shape = self.shape_numbers[features] = len(self.shape_scores)
+            self.shape_scores.append(self.crf.shapes[list(features)].sum(axis=0))
+        number = self.numbers[token] = len(self.known)
+        self.known.append((of_shape, word_bucket(token)))
+        return number
+
+    def emissions(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Scores of all tokens of all texts in one line, and which text each is of."""
+        if len(self.known) > self.REMEMBERED:
+            self.numbers.clear()
+            self.known.clear()
+            self._arrays = self._arrays[:0]
+        get, line, counts = self.numbers.get, [], []
+        for text in texts:
+            tokens = TOKEN.findall(text)
+            counts.append(len(tokens))
+            numbers = [get(t) for t in tokens]
+            if None in numbers:
+                numbers = [
+                    (get(t) if get(t) is not None else self._number(t)) if k is None else k
+                    for k, t in zip(numbers, tokens)
+                ]
+            line += numbers
+        if len(self.known) > len(self._arrays):
+            new = np.array(self.known[len(self._arrays) :], dtype=np.int32)
+            self._arrays = np.concatenate([self._arrays, new])
+        of_text = np.repeat(np.arange(len(texts)), counts)
+        features = np.array([file_feature(t) for t in texts], dtype=np.int64)
+        if not line:
+            return np.empty((0, 3), dtype=np.float32), of_text
+        shapes, buckets = self._arrays[np.array(line)].T
+        scores = np.array(self.shape_scores, dtype=np.float32)[shapes]
+        scores += self.crf.file.astype(np.float32)[features[of_text]]
+        for role, back in ((0, 1), (1, 2)):
+            same = (of_text[back:] == of_text[:-back])[:, None]
+            scores[back:] += self.neighbours[role][buckets[:-back]] * same
+        same = (of_text[1:] == of_text[:-1])[:, None]
+        scores[:-1] += self.neighbours[2][buckets[1:]] * same
+        return scores, of_text
 
     def tag(self, texts: list[str]) -> list[np.ndarray]:
-        """The best tags of each text."""
-        if len(self.rows) > self.REMEMBERED:
-            self.rows.clear()
-        return viterbi([self.emissions(t) for t in texts], self.crf.moves)
+        """The best tags of each text.
+
+        A token whose score for OUT leads by more than two transitions can ever give
+        back is OUT on every best path. Such tokens cut a text into short chains, and
+        only these are decoded, with the transitions at both cuts.
+        """
+        scores, of_text = self.emissions(texts)
+        tags = np.zeros(len(scores), dtype=np.int8)
+        swing = 2 * (self.moves.max() - self.moves.min())
+        open_ = np.flatnonzero(scores[:, OUT] - scores[:, 1:].max(axis=1) <= swing)
+        if len(open_):
+            cut = np.flatnonzero((np.diff(open_) > 1) | (np.diff(of_text[open_]) > 0)) + 1
+            runs = np.split(open_, cut)
+            chains = []
+            for run in runs:
+                a, b = run[0], run[-1] + 1
+                chain = scores[a:b].copy()
+                if a and of_text[a - 1] == of_text[a]:
+                    chain[0] += self.moves[OUT]
+                if b < len(scores) and of_text[b] == of_text[b - 1]:
+                    chain[-1] += self.moves[:, OUT]
+                chains.append(chain)
+            for run, best in zip(runs, viterbi(chains, self.moves)):
+                tags[run] = best
+        return np.split(tags, np.searchsorted(of_text, np.arange(1, len(texts))))
 
     def extra_spans(self, text: str, tags: np.ndarray, least: int = 8) -> list[tuple[int, int]]:
         """Character spans of the tagged runs of at least ``least`` characters."""
@@ -368,8 +400,8 @@ def spans(text: Column, crf: Field) -> Column:
         for texts in batches:
             results: list[list[dict]] = []
             values = [t or "" for t in texts]
-            for first in range(0, len(values), 1000):
-                part = values[first : first + 1000]
+            for first in range(0, len(values), 500):
+                part = values[first : first + 500]
                 for text, tags in zip(part, tagger.tag(part)):
                     found = base_spans(text)
                     for a, b in tagger.extra_spans(text, tags):

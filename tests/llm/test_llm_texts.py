@@ -198,6 +198,17 @@ def test_viterbi_by_all_paths():
         assert tuple(path) == best
 
 
+def test_cutting_chains_changes_no_tag(spark):
+    crf = secret_scan.learn(frame(spark, secret_docs()), clean_every=2)
+    tagger = secret_scan.Tagger(crf)
+    texts = [t for _, t in secret_docs()[:60]] + ["", "token = 9f86d081884c7d659a2feaa0c55ad015 x"] + [t or "" for _, t in AWKWARD]
+    scores, of_text = tagger.emissions(texts)
+    whole = secret_scan.viterbi([scores[of_text == k] for k in range(len(texts))], crf.moves)
+    for a, b in zip(tagger.tag(texts), whole):
+        assert a.tolist() == b.tolist()
+    assert any(t.any() for t in whole)
+
+
 def test_expectations_by_all_paths():
     from itertools import product
 
