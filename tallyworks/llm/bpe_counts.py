@@ -32,6 +32,8 @@ SEPARATORS = re.compile("[\x1c-\x1f]")
 WORD_END = "</w>"
 #: Pieces and white-space-free chunks remembered by one worker; then it starts anew.
 REMEMBERED = 500_000
+#: Longer ones are not remembered.
+LONGEST = 64
 
 
 def byte_symbols() -> list[str]:
@@ -100,14 +102,16 @@ class Counter:
             count = len(symbols) - merge_count(symbols, self.ranks)
             if len(self.pieces) >= REMEMBERED:
                 self.pieces.clear()
-            self.pieces[piece] = count
+            if len(piece) <= LONGEST:
+                self.pieces[piece] = count
         return count
 
     def chunk(self, chunk: str) -> int:
         count = self.piece(chunk) if chunk.isalpha() else sum(map(self.piece, PIECE.findall(chunk)))
         if len(self.chunks) >= REMEMBERED:
             self.chunks.clear()
-        self.chunks[chunk] = count
+        if len(chunk) <= LONGEST:
+            self.chunks[chunk] = count
         return count
 
     def plain(self, text: str) -> int:

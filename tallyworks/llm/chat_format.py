@@ -95,9 +95,8 @@ def format_windows(
     rows = rows.withColumn("half", F.floor(left / 2))
     rows = rows.withColumn("slot", F.floor(F.greatest("start", F.lit(0)) / F.col("half")))
     long_turn = ~F.col("leading") & (F.col("tokens") > F.col("half"))
-    new_span = (
-        (F.lag("slot").over(by_place) != F.col("slot"))
-        | ((long_turn | F.lag(long_turn).over(by_place)) & ~F.lag("leading").over(by_place))
+    new_span = (F.lag("slot").over(by_place) != F.col("slot")) | (
+        (long_turn | F.lag(long_turn).over(by_place)) & ~F.lag("leading").over(by_place)
     )
     rows = rows.withColumn("opens", F.coalesce(new_span, F.lit(False)))
     reach = by_place.rowsBetween(*up_to_here)
@@ -128,13 +127,14 @@ def format_windows(
         ),
     ).otherwise(F.expr("slice(own, 1, 0)"))
     earlier = F.coalesce(F.sort_array("earlier"), F.expr("slice(own, 1, 0)"))
+    spans = spans.select("conv_id", "window", F.concat(repeated, earlier).alias("context"), "own")
     spans = spans.select(
         "conv_id",
         "window",
-        F.concat(repeated, earlier).alias("context"),
-        "own",
-    ).select("conv_id", "window", F.concat("context", "own").alias("pieces"),
-             F.size("context").alias("n_context"), F.size("own").alias("n_turns"))
+        F.concat("context", "own").alias("pieces"),
+        F.size("context").alias("n_context"),
+        F.size("own").alias("n_turns"),
+    )
     written = F.array_join(
         F.transform("pieces", lambda p: F.concat(p["head"], p["body"], F.lit(END))), ""
     )

@@ -169,7 +169,7 @@ def pack_documents(
                 for start in range(0, whole, capacity):
                     put([(doc, start, ids[start : start + capacity], len(ids))])
                 if whole < len(ids):
-                    for window in packer.add((doc, whole, ids[whole:], len(ids))):
+                    for window in packer.add((doc, whole, ids[whole:].copy(), len(ids))):
                         put(window)
                 if len(rows[0]) >= 2000:
                     yield batch()

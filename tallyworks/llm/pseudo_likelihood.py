@@ -62,7 +62,9 @@ class Vocabulary:
             for i, number in enumerate(found):
                 if number is None:
                     ending = zlib.crc32(tokens[i][-3:].encode()) % ENDINGS
-                    found[i] = seen[tokens[i]] = PAD - ENDINGS + ending
+                    found[i] = PAD - ENDINGS + ending
+                    if len(tokens[i]) <= 64:  # longer ones are not remembered
+                        seen[tokens[i]] = found[i]
         return found
 
 
@@ -168,9 +170,11 @@ def laid_out(texts: list[str | None], vocabulary: Vocabulary) -> tuple[np.ndarra
 
 def learn_vocabulary(docs: DataFrame, text_col: str = "text") -> Vocabulary:
     """The most frequent words of all documents; counts are combined before the shuffle."""
-    word = F.explode(words.words(F.lower(words.text_or_empty(text_col))))
+    # The outer form: the plain one adds a filter that splits every text a second time.
+    word = F.explode_outer(words.words(F.lower(words.text_or_empty(text_col))))
     top = (
         docs.select(word.alias("word"))
+        .where("word IS NOT NULL")
         .groupBy("word")
         .count()
         .orderBy(F.desc("count"), "word")

@@ -116,6 +116,7 @@ class Tagger:
     """Tags the texts of a batch with one field; remembers shape and bucket of tokens."""
 
     REMEMBERED = 600_000
+    LONGEST = 64  # longer tokens are looked at each time
 
     def __init__(self, crf: Field):
         self.crf = crf
@@ -133,9 +134,10 @@ class Tagger:
         if of_shape is None:
             of_shape = self.shape_numbers[features] = len(self.shape_scores)
             self.shape_scores.append(self.crf.shapes[list(features)].sum(axis=0))
-        number = self.numbers[token] = len(self.known)
+        if len(token) <= self.LONGEST:
+            self.numbers[token] = len(self.known)
         self.known.append((of_shape, word_bucket(token)))
-        return number
+        return len(self.known) - 1
 
     def emissions(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Scores of all tokens of all texts in one line, and which text each is of."""
