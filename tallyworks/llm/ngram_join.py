@@ -43,8 +43,8 @@ FILTER_WORDS = 1 << 17
 #: Words and bits of a parity sketch.
 SKETCH = 16
 CELLS = 64 * SKETCH
-#: Members of a bucket that all its members are tried with first.
-CENTRES = 3
+#: How many central members of a bucket all its members are tried with first.
+CENTRES = 1
 #: Sets a task remembers in order to send equal ones once.
 REMEMBERED = 500_000
 
@@ -370,8 +370,10 @@ def similarity_join(
     more = one.join(two, (one["sig"] == two["sig"]) & (F.col("a") < F.col("b")) & (F.col("la") != F.col("lb")) & _may_link(percent))
     more = pin(more.select("a", "b").distinct().join(pairs, ["a", "b"], "left_anti"))
     rest, _ = _verified(texts, more, reps, width, percent)
-    links = pin(star.unionByName(rest).distinct())
-    labels = components(links)
+    links = star
+    if not rest.isEmpty():
+        links = pin(star.unionByName(rest).distinct())
+        labels = components(links)
     ends = links.select(F.col("a").alias("rep")).union(links.select("b"))
     degree = ends.groupBy("rep").agg(F.count("*").alias("n_links"))
     told = (
