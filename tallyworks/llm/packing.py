@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import base64
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -161,7 +162,10 @@ def pack_documents(
 
         for incoming in batches:
             id_type = incoming.schema.field(0).type
-            for doc, text in zip(incoming.column(0).to_pylist(), incoming.column(1).to_pylist()):
+            # Texts become Python strings a few at a time.
+            parts = (incoming.slice(at, 250) for at in range(0, incoming.num_rows, 250))
+            pairs = (zip(p.column(0).to_pylist(), p.column(1).to_pylist()) for p in parts)
+            for doc, text in chain.from_iterable(pairs):
                 coded = encode(text) if text else []
                 coded.append(end_id)
                 ids = np.array(coded, dtype="<u4")
@@ -171,7 +175,7 @@ def pack_documents(
                 if whole < len(ids):
                     for window in packer.add((doc, whole, ids[whole:].copy(), len(ids))):
                         put(window)
-                if len(rows[0]) >= 2000:
+                if len(rows[0]) >= 1000:
                     yield batch()
         for window in packer.pour():
             put(window)

@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from bisect import bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -115,7 +116,7 @@ class Field:
 class Tagger:
     """Tags the texts of a batch with one field; remembers shape and bucket of tokens."""
 
-    REMEMBERED = 600_000
+    REMEMBERED = 150_000
     LONGEST = 64  # longer tokens are looked at each time
 
     def __init__(self, crf: Field):
@@ -123,10 +124,9 @@ class Tagger:
         self.moves = crf.moves.astype(np.float32)
         self.neighbours = crf.neighbours.astype(np.float32)
         self.numbers: dict[str, int] = {}
-        self.known: list[tuple[int, int]] = []
+        self.shape_of, self.bucket_of = array("i"), array("i")
         self.shape_numbers: dict[tuple[int, ...], int] = {}
         self.shape_scores: list[np.ndarray] = []
-        self._arrays = np.empty((0, 2), dtype=np.int32)
 
     def _number(self, token: str) -> int:
         features = tuple(shape(token))
@@ -134,17 +134,18 @@ class Tagger:
         if of_shape is None:
             of_shape = self.shape_numbers[features] = len(self.shape_scores)
             self.shape_scores.append(self.crf.shapes[list(features)].sum(axis=0))
+        number = len(self.shape_of)
         if len(token) <= self.LONGEST:
-            self.numbers[token] = len(self.known)
-        self.known.append((of_shape, word_bucket(token)))
-        return len(self.known) - 1
+            self.numbers[token] = number
+        self.shape_of.append(of_shape)
+        self.bucket_of.append(word_bucket(token))
+        return number
 
     def emissions(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Scores of all tokens of all texts in one line, and which text each is of."""
-        if len(self.known) > self.REMEMBERED:
+        if len(self.shape_of) > self.REMEMBERED:
             self.numbers.clear()
-            self.known.clear()
-            self._arrays = self._arrays[:0]
+            self.shape_of, self.bucket_of = array("i"), array("i")
         get, line, counts = self.numbers.get, [], []
         for text in texts:
             tokens = TOKEN.findall(text)
@@ -156,14 +157,13 @@ class Tagger:
                     for k, t in zip(numbers, tokens)
                 ]
             line += numbers
-        if len(self.known) > len(self._arrays):
-            new = np.array(self.known[len(self._arrays) :], dtype=np.int32)
-            self._arrays = np.concatenate([self._arrays, new])
         of_text = np.repeat(np.arange(len(texts)), counts)
         features = np.array([file_feature(t) for t in texts], dtype=np.int64)
         if not line:
             return np.empty((0, 3), dtype=np.float32), of_text
-        shapes, buckets = self._arrays[np.array(line)].T
+        numbers = np.array(line)
+        shapes = np.array(self.shape_of, dtype=np.int32)[numbers]
+        buckets = np.array(self.bucket_of, dtype=np.int32)[numbers]
         scores = np.array(self.shape_scores, dtype=np.float32)[shapes]
         scores += self.crf.file.astype(np.float32)[features[of_text]]
         for role, back in ((0, 1), (1, 2)):
@@ -402,8 +402,8 @@ def spans(text: Column, crf: Field) -> Column:
         for texts in batches:
             results: list[list[dict]] = []
             values = [t or "" for t in texts]
-            for first in range(0, len(values), 500):
-                part = values[first : first + 500]
+            for first in range(0, len(values), 250):
+                part = values[first : first + 250]
                 for text, tags in zip(part, tagger.tag(part)):
                     found = base_spans(text)
                     for a, b in tagger.extra_spans(text, tags):
