@@ -2,9 +2,16 @@
 
 A small network sees the two words before and the two after a place and predicts
 the word there; a document's score is the sum over its words of the logarithm of
-the probability the network gives them. The vocabulary is the corpus's most
-frequent words, with the others in buckets by their ending; the output is a group
-of words, then a word of the group, so one prediction costs 64 exponentials.
+the probability they have. The output is a group of entries, then an entry of the
+group. An entry is one of the corpus's most frequent words or a bucket of all other
+words of one ending; a word of a bucket has the bucket's probability times its own
+share of the bucket's words, from the counts of all words. The table of entries
+grows with the corpus: every word that makes up at least the square root of all
+words is predicted by itself.
+
+Counts of the ``MOST_HOT`` most frequent words go to every task. The other words
+are counted per document and meet the table of counts in a join; none of them can
+be more than one in ``MOST_HOT`` of all words, so no key of that join is hot.
 
 Training covers every document: each task starts from the same weights, takes
 gradient steps over the rows it reads, and gives its weights with its number of
@@ -16,84 +23,126 @@ its mean.
 from __future__ import annotations
 
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyworks.llm import words
+from tallyworks.session import pin
 
-GROUPS = SIZE = 32  # words: GROUPS x SIZE
+GROUPS = SIZE = 32  # at least so many entries: GROUPS x SIZE
 ENDINGS = 256
 REACH, WIDTH, HIDDEN = 2, 8, 16
 PAD = GROUPS * SIZE
 BLOCK = 16_384
+#: Words whose counts every task holds, at most.
+MOST_HOT = 200_000
+#: Words and characters a task counts before it hands its counts on.
+COUNTED, READ = 300_000, 1 << 26
 Shapes = dict[str, tuple[int, ...]]
-SHAPES: Shapes = {
-    "embed": (PAD + 1, WIDTH),
-    "hidden": (2 * REACH * WIDTH + 1, HIDDEN),
-    "group": (HIDDEN + 1, GROUPS),
-    "word": (GROUPS, HIDDEN + 1, SIZE),
-}
+
+
+def shapes(side: int) -> Shapes:
+    """The weights of a network with ``side`` groups of ``side`` entries."""
+    return {
+        "embed": (side * side + 1, WIDTH),
+        "hidden": (2 * REACH * WIDTH + 1, HIDDEN),
+        "group": (HIDDEN + 1, side),
+        "word": (side, HIDDEN + 1, side),
+    }
+
+
+def tokens_of(text: str | None) -> list[str]:
+    return text.lower().split() if text else []
 
 
 @dataclass
 class Vocabulary:
-    """Numbers of words; unknown ones share the last ``ENDINGS`` numbers by their ending."""
+    """Entries of words; those not ``known`` share the last ``ENDINGS`` entries by their ending.
+
+    ``inside``: for the most frequent words the logarithm of their share of their entry.
+    ``counts`` (word, n) has all words, ``totals`` the number of words in each bucket;
+    these two stay at the driver.
+    """
 
     known: dict[str, int]
+    side: int = SIZE
+    inside: dict[str, float] = field(default_factory=dict)
+    counts: DataFrame | None = None
+    totals: np.ndarray = field(default_factory=lambda: np.zeros(ENDINGS))
     seen: dict[str, int] = field(default_factory=dict)
 
     def __reduce__(self):
-        return Vocabulary, (self.known,)
+        return Vocabulary, (self.known, self.side, self.inside)
+
+    @property
+    def pad(self) -> int:
+        return self.side * self.side
 
-    def numbers(self, text: str) -> list[int]:
+    def numbers(self, tokens: list[str]) -> list[int]:
         seen = self.seen
         if len(seen) > 500_000:
             seen.clear()
         if not seen:
             seen.update(self.known)
-        tokens = text.lower().split()
         found = [seen.get(t) for t in tokens]
         if None in found:
             for i, number in enumerate(found):
                 if number is None:
-                    ending = zlib.crc32(tokens[i][-3:].encode()) % ENDINGS
-                    found[i] = PAD - ENDINGS + ending
+                    found[i] = self.pad - ENDINGS + bucket(tokens[i])
                     if len(tokens[i]) <= 64:  # longer ones are not remembered
                         seen[tokens[i]] = found[i]
         return found
 
+    def shares(self, tokens: list[str]) -> tuple[float, Counter[str]]:
+        """The sum of ``inside`` over the words that have it, and the other words."""
+        found = [self.inside.get(t) for t in tokens]
+        if None not in found:
+            return sum(found), Counter()
+        return sum(x for x in found if x is not None), Counter(t for t, x in zip(tokens, found) if x is None)
+
+
+def bucket(word: str) -> int:
+    return zlib.crc32(word[-3:].encode()) % ENDINGS
+
+
+def bucket_of(word: Column) -> Column:
+    """``bucket`` as a column."""
+    return (F.crc32(F.substring(word, -3, 3).cast("binary")) % ENDINGS).cast("int")
+
 
 class Network:
     """The weights, their prediction and their gradient steps."""
 
     def __init__(self, weights: dict[str, np.ndarray]):
         self.w = weights
+        self.side = len(weights["word"])
         self.squares = {k: np.full(v.shape, 1e-3, dtype=np.float32) for k, v in weights.items()}
 
     @classmethod
-    def random(cls, seed: int = 11) -> Network:
+    def random(cls, seed: int = 11, side: int = SIZE) -> Network:
         rng = np.random.default_rng(seed)
-        return cls({k: (rng.standard_normal(s) * 0.1).astype(np.float32) for k, s in SHAPES.items()})
+        return cls({k: (rng.standard_normal(s) * 0.1).astype(np.float32) for k, s in shapes(side).items()})
 
     @classmethod
-    def of_vector(cls, vector: np.ndarray) -> Network:
+    def of_vector(cls, vector: np.ndarray, side: int = SIZE) -> Network:
         weights, at = {}, 0
-        for name, shape in SHAPES.items():
+        for name, shape in shapes(side).items():
             size = int(np.prod(shape))
             weights[name] = vector[at : at + size].reshape(shape).astype(np.float32)
             at += size
         return cls(weights)
 
     def vector(self) -> np.ndarray:
-        return np.concatenate([self.w[name].ravel() for name in SHAPES])
+        return np.concatenate([self.w[name].ravel() for name in shapes(self.side)])
 
     def forward(self, flat: np.ndarray, at: np.ndarray):
-        """Log-probability of the word at each place, and what a gradient step needs."""
+        """Log-probability of the entry at each place, and what a gradient step needs."""
         around = [d for d in range(-REACH, REACH + 1) if d]
         context = np.stack([flat[at + d] for d in around], axis=1)
         x = np.ones((len(at), 2 * REACH * WIDTH + 1), dtype=np.float32)
@@ -101,13 +150,13 @@ class Network:
         h = np.ones((len(at), HIDDEN + 1), dtype=np.float32)
         np.maximum(x @ self.w["hidden"], 0, out=h[:, :-1])
         target = flat[at]
-        group, place = target // SIZE, target % SIZE
+        group, place = target // self.side, target % self.side
         p_group, log_group = softmax(h @ self.w["group"], group)
         order = np.argsort(group, kind="stable")
-        edges = np.searchsorted(group[order], np.arange(GROUPS + 1))
-        scores = np.empty((len(at), SIZE), dtype=np.float32)
+        edges = np.searchsorted(group[order], np.arange(self.side + 1))
+        scores = np.empty((len(at), self.side), dtype=np.float32)
         sorted_h = h[order]
-        for g in range(GROUPS):
+        for g in range(self.side):
             a, b = edges[g], edges[g + 1]
             if a < b:
                 scores[a:b] = sorted_h[a:b] @ self.w["word"][g]
@@ -126,9 +175,9 @@ class Network:
         d_word = -p_word
         d_word[rows, place[order]] += 1
         d_h = d_group @ self.w["group"].T
-        grads = {"group": h.T @ d_group, "word": np.zeros(SHAPES["word"], dtype=np.float32)}
+        grads = {"group": h.T @ d_group, "word": np.zeros_like(self.w["word"])}
         d_sorted = np.empty_like(sorted_h)
-        for g in range(GROUPS):
+        for g in range(self.side):
             a, b = edges[g], edges[g + 1]
             if a < b:
                 grads["word"][g] = sorted_h[a:b].T @ d_word[a:b]
@@ -137,10 +186,10 @@ class Network:
         d_hidden = d_h[:, :-1] * (h[:, :-1] > 0)
         grads["hidden"] = x.T @ d_hidden
         d_x = (d_hidden @ self.w["hidden"].T)[:, :-1].reshape(n * 2 * REACH, WIDTH)
-        embed = np.empty(SHAPES["embed"], dtype=np.float32)
+        embed = np.empty_like(self.w["embed"])
         flat_context = context.ravel()
         for j in range(WIDTH):
-            embed[:, j] = np.bincount(flat_context, weights=d_x[:, j], minlength=PAD + 1)
+            embed[:, j] = np.bincount(flat_context, weights=d_x[:, j], minlength=self.side * self.side + 1)
         grads["embed"] = embed
         for name, g in grads.items():
             g /= n
@@ -159,35 +208,82 @@ def softmax(scores: np.ndarray, target: np.ndarray) -> tuple[np.ndarray, np.ndar
 
 def laid_out(texts: list[str | None], vocabulary: Vocabulary) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """All words in one line with padding around each text, where the words are, words per text."""
+    return laid_out_tokens([tokens_of(t) for t in texts], vocabulary)
+
+
+def laid_out_tokens(texts: list[list[str]], vocabulary: Vocabulary) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     numbers = [vocabulary.numbers(t) if t else [] for t in texts]
     counts = np.array([len(n) for n in numbers], dtype=np.int64)
-    flat = np.full(int(counts.sum()) + 2 * REACH * (len(texts) + 1), PAD, dtype=np.int64)
+    flat = np.full(int(counts.sum()) + 2 * REACH * (len(texts) + 1), vocabulary.pad, dtype=np.int64)
     starts = np.cumsum(counts + 2 * REACH) - counts
     at = np.repeat(starts - np.cumsum(counts) + counts, counts) + np.arange(int(counts.sum()))
     flat[at] = np.concatenate([np.array(n, dtype=np.int64) for n in numbers]) if len(at) else at
     return flat, at, counts
 
 
+def count_words(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """(word, n) of all words; counted in the tasks, by the same rule as when scoring."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts: Counter[str] = Counter()
+        read = 0
+        for batch in batches:
+            for text in batch.column(0).to_pylist():
+                counts.update(tokens_of(text))
+                read += len(text or "")
+                if len(counts) > COUNTED or read > READ:
+                    yield told(counts)
+                    counts, read = Counter(), 0
+        if counts:
+            yield told(counts)
+
+    def told(counts: Counter[str]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(
+            [pa.array(list(counts), type=pa.string()), pa.array(list(counts.values()), type=pa.int64())],
+            names=["word", "n"],
+        )
+
+    counted = docs.select(F.col(text_col).cast("string")).mapInArrow(count, "word string, n long")
+    return counted.groupBy("word").agg(F.sum("n").alias("n"))
+
+
 def learn_vocabulary(docs: DataFrame, text_col: str = "text") -> Vocabulary:
-    """The most frequent words of all documents; counts are combined before the shuffle."""
-    # The outer form: the plain one adds a filter that splits every text a second time.
-    word = F.explode_outer(words.words(F.lower(words.text_or_empty(text_col))))
-    top = (
-        docs.select(word.alias("word"))
-        .where("word IS NOT NULL")
-        .groupBy("word")
-        .count()
-        .orderBy(F.desc("count"), "word")
-        .limit(PAD - ENDINGS)
-    )
-    return Vocabulary({r.word: i for i, r in enumerate(top.collect())})
+    """Entries and shares from the counts of all words.
+
+    What reaches the driver: how many words have each count (at most the square root
+    of twice the number of words), ``MOST_HOT`` words and the ``ENDINGS`` totals.
+    """
+    counts = pin(count_words(docs, text_col))
+    levels = counts.groupBy("n").agg(F.count("*").alias("words")).orderBy(F.desc("n")).collect()
+    total = sum(r.n * r.words for r in levels)
+    hot_from, hot, own = total + 1, 0, 0
+    for r in levels:
+        if hot + r.words > MOST_HOT:
+            break
+        hot_from, hot = r.n, hot + r.words
+        if r.n * r.n >= total:
+            own = hot
+    top = counts.where(F.col("n") >= hot_from).collect()
+    top.sort(key=lambda r: (-r.n, r.word))
+    side = SIZE
+    while side * side - ENDINGS < own:
+        side += 8
+    known = {r.word: i for i, r in enumerate(top[: side * side - ENDINGS])}
+    totals = np.zeros(ENDINGS)
+    for r in counts.groupBy(bucket_of(F.col("word")).alias("bucket")).agg(F.sum("n").alias("n")).collect():
+        totals[r.bucket] = r.n
+    for r in top[: len(known)]:
+        totals[bucket(r.word)] -= r.n
+    inside = {r.word: 0.0 for r in top[: len(known)]}
+    inside |= {r.word: float(np.log(r.n / totals[bucket(r.word)])) for r in top[len(known) :]}
+    return Vocabulary(known, side, inside, counts, totals)
 
 
 def train_round(texts: DataFrame, vocabulary: Vocabulary, start: np.ndarray, rate: float) -> np.ndarray:
     """The mean, by number of words, of the weights of all tasks; ``start`` if there is no word."""
 
     def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        network, trained = Network.of_vector(start), 0
+        network, trained = Network.of_vector(start, vocabulary.side), 0
         for batch in batches:
             values = batch.column(0).to_pylist()
             for first in range(0, len(values), 500):
@@ -215,11 +311,11 @@ def train_round(texts: DataFrame, vocabulary: Vocabulary, start: np.ndarray, rat
 
 
 def learn(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> tuple[Vocabulary, np.ndarray]:
-    """Vocabulary and weights from all documents; what reaches the driver has the model's size."""
+    """Vocabulary and weights from all documents."""
     vocabulary = learn_vocabulary(docs, text_col)
     text = F.col(text_col).cast("string").alias("text")
     first = docs.where(F.pmod(F.xxhash64(id_col), F.lit(16)) == 0).select(text)
-    weights = train_round(first, vocabulary, Network.random().vector(), 0.1)
+    weights = train_round(first, vocabulary, Network.random(side=vocabulary.side).vector(), 0.1)
     return vocabulary, train_round(docs.select(text), vocabulary, weights, 0.05)
 
 
@@ -229,33 +325,54 @@ def score_documents(
     """One row per row of ``docs``: doc_id, n_words, log_likelihood (the sum), mean_log.
 
     Null and empty texts have no words, a sum of 0 and a null mean; repeated rows and
-    null ids stay; further columns are left behind. No shuffle.
+    null ids stay; further columns are left behind. A word that was not counted when
+    the model was learned has the share of one more word of its bucket.
     """
     vocabulary, weights = model
+    side = vocabulary.side
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        network = Network.of_vector(weights)
+        network = Network.of_vector(weights, side)
         for batch in batches:
-            values = batch.column(1).to_pylist()
-            totals, numbers = [], []
-            for first in range(0, len(values), 500):
-                flat, at, counts = laid_out(values[first : first + 500], vocabulary)
+            for first in range(0, batch.num_rows, 500):
+                part = batch.slice(first, 500)
+                texts = [tokens_of(t) for t in part.column(1).to_pylist()]
+                flat, at, counts = laid_out_tokens(texts, vocabulary)
                 logs = [network.forward(flat, at[a : a + BLOCK])[0] for a in range(0, len(at), BLOCK)]
                 sums = np.concatenate([[0.0], np.cumsum(np.concatenate(logs), dtype=np.float64)]) if logs else np.zeros(1)
                 ends = np.cumsum(counts)
-                totals.append(sums[ends] - sums[ends - counts])
-                numbers.append(counts)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0),
-                    pa.array(np.concatenate(numbers) if numbers else np.empty(0, np.int64)),
-                    pa.array(np.concatenate(totals) if totals else np.empty(0)),
-                ],
-                names=["doc_id", "n_words", "log_likelihood"],
-            )
+                shares = [vocabulary.shares(t) for t in texts]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        part.column(0),
+                        pa.array(counts),
+                        pa.array(sums[ends] - sums[ends - counts] + np.array([x for x, _ in shares], dtype=np.float64)),
+                        pa.array([list(rare) for _, rare in shares], type=pa.list_(pa.string())),
+                        pa.array([list(rare.values()) for _, rare in shares], type=pa.list_(pa.int64())),
+                    ],
+                    names=["doc_id", "n_words", "partly", "rare", "times"],
+                )
 
     kind = docs.schema[id_col].dataType.simpleString()
     chosen = docs.select(F.col(id_col), F.col(text_col).cast("string"))
-    scored = chosen.mapInArrow(score, f"doc_id {kind}, n_words long, log_likelihood double")
+    scored = chosen.mapInArrow(
+        score, f"doc_id {kind}, n_words long, partly double, rare array<string>, times array<long>"
+    )
+    # Written with a number of its own for every row, which both branches see.
+    scored = pin(scored.withColumn("row", F.monotonically_increasing_id()))
+    rare = scored.select("row", F.explode(F.arrays_zip("rare", "times")).alias("x")).select(
+        "row", F.col("x.rare").alias("word"), F.col("x.times").alias("times")
+    )
+    totals = F.array(*(F.lit(float(x)) for x in vocabulary.totals))
+    in_bucket = F.element_at(totals, bucket_of(F.col("word")) + 1)
+    share = F.coalesce(F.col("n") / in_bucket, 1 / (in_bucket + 1))
+    if vocabulary.counts is None:
+        counted = rare.withColumn("n", F.lit(None).cast("long"))
+    else:
+        counted = rare.join(vocabulary.counts, "word", "left")
+    more = counted.groupBy("row").agg(F.sum(F.col("times") * F.log(share)).alias("more"))
+    whole = scored.select("row", "doc_id", "n_words", "partly").join(more, "row", "left").select(
+        "doc_id", "n_words", (F.col("partly") + F.coalesce("more", F.lit(0.0))).alias("log_likelihood")
+    )
     mean = F.when(F.col("n_words") > 0, F.col("log_likelihood") / F.col("n_words"))
-    return scored.withColumn("mean_log", mean)
+    return whole.withColumn("mean_log", mean)

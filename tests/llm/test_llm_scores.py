@@ -120,6 +120,51 @@ def test_pseudo_likelihood_gradient_and_awkward_rows(spark):
     assert pseudo_likelihood.score_documents(frame(spark, []), empty).count() == 0
 
 
+def test_every_word_has_a_probability_of_its_own(spark, monkeypatch):
+    """Words of one bucket differ by their share of it, and a bucket's words share all of it."""
+    monkeypatch.setattr(pseudo_likelihood, "MOST_HOT", 2500)
+    # Two words of one bucket; 768 words are predicted by themselves.
+    usual = [(k, " ".join(f"w{j}" for j in range(1000))) for k in range(3)]
+    rare = [(10, " ".join(f"r{j}" for j in range(2000))), (11, "aaxyz bbxyz bbxyz é漢字")]
+    docs = frame(spark, usual + rare)
+    model = pseudo_likelihood.learn(docs)
+    counts = Counter(t for _, text in usual + rare for t in text.split())
+    assert {r.word: r.n for r in model[0].counts.collect()} == counts
+    texts = {1: "aaxyz", 2: "bbxyz", 4: "qqxyz", 5: "w1 aaxyz w2", 6: "w1 bbxyz w2"}
+    got = {r.doc_id: r.log_likelihood for r in pseudo_likelihood.score_documents(frame(spark, [*texts.items()]), model).collect()}
+    assert abs(got[2] - got[1] - np.log(2)) < 1e-6
+    assert abs(got[6] - got[5] - np.log(2)) < 1e-6
+    in_bucket = sum(n for w, n in counts.items() if w not in model[0].known and pseudo_likelihood.bucket(w) == pseudo_likelihood.bucket("aaxyz"))
+    assert abs(got[2] - got[4] - np.log(2 * (in_bucket + 1) / in_bucket)) < 1e-6
+    # The bucket's own log-probability plus the share, for every word of a document.
+    network = pseudo_likelihood.Network.of_vector(model[1], model[0].side)
+    for text in (*texts.values(), rare[1][1], usual[0][1]):
+        flat, at, _ = pseudo_likelihood.laid_out([text], model[0])
+        expected = float(network.forward(flat, at)[0].sum())
+        for w in text.split():
+            if w not in model[0].known:
+                total = sum(n for x, n in counts.items() if x not in model[0].known and pseudo_likelihood.bucket(x) == pseudo_likelihood.bucket(w))
+                expected += np.log(counts[w] / total if w in counts else 1 / (total + 1))
+        one = pseudo_likelihood.score_documents(frame(spark, [(1, text)]), model).first()
+        assert abs(one.log_likelihood - expected) < 1e-3
+
+
+def test_words_predicted_by_themselves_grow_with_the_corpus(spark):
+    few = " ".join(f"w{j}" for j in range(900))
+    small = pseudo_likelihood.learn_vocabulary(frame(spark, [(1, few)]))
+    large = pseudo_likelihood.learn_vocabulary(frame(spark, [(k, few) for k in range(900)]))
+    assert (small.side, len(small.known)) == (32, 768)
+    assert large.side == 40 and len(large.known) == 900
+    network = pseudo_likelihood.Network.random(3, large.side)
+    flat, at, _ = pseudo_likelihood.laid_out(["w1 w2 zz"], large)
+    total = 0.0
+    for entry in range(large.pad):
+        changed = flat.copy()
+        changed[at[1]] = entry
+        total += np.exp(network.forward(changed, at[1:2])[0][0])
+    assert abs(total - 1) < 1e-3
+
+
 def brute_counts(text):
     text = text or ""
     w = WORD.findall(text)
