@@ -1,4 +1,4 @@
-"""N-gram Jaccard join: all links of similar word-shingle sets, by universe partition.
+"""N-gram Jaccard join: link classes, or all links, of similar word-shingle sets, by universe partition.
 
 Sets that differ in at most H shingles agree in at least one of H + 1 parts of the
 hash universe (pigeonhole). For a similarity of t, sets of r and s shingles differ
@@ -18,7 +18,9 @@ and another one find each other by a whole part.
 Every link is verified on the sets themselves. Sets that are equal count once.
 Candidates go from each member of a bucket to its most central members first;
 components of these links leave only the pairs of different components to try, so
-groups of many near copies are not paired with one another. A parity sketch (one
+groups of many near copies are not paired with one another. That gives the classes;
+``all_links`` tries every pair of a bucket instead, so its work grows with the number
+of links, the square of a group of near copies. A parity sketch (one
 bit for each of ``CELLS`` cells: whether an odd number of shingles falls there) goes
 before the sets: sets differ in at least as many shingles as their sketches in bits.
 """
@@ -43,6 +45,8 @@ FILTER_WORDS = 1 << 17
 #: Words and bits of a parity sketch.
 SKETCH = 16
 CELLS = 64 * SKETCH
+#: The rows that take part.
+NAMED = "n > 0 AND doc_id IS NOT NULL"
 #: How many central members of a bucket all its members are tried with first.
 CENTRES = 1
 #: Sets a task remembers in order to send equal ones once.
@@ -283,7 +287,7 @@ def _side(sketches: DataFrame, side: str) -> DataFrame:
 
 
 def _links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs of nodes (a, b) whose sets link, as pairs of representatives."""
+    """The pairs whose sets link, as representatives (a, b) and as nodes (node_a, node_b)."""
     left = sets.select(F.col("node").alias("b"), F.col("rep").alias("rb"), F.col("shingles").alias("sb"))
     right = sets.select(F.col("node").alias("a"), F.col("rep").alias("ra"), F.col("shingles").alias("sa"))
     size = F.size
@@ -291,16 +295,16 @@ def _links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         100 * F.least(size("sa"), size("sb")) >= percent * F.greatest(size("sa"), size("sb"))
     )
     common = size(F.array_intersect("sa", "sb"))
-    linked = joined.select("ra", "rb", common.alias("i"), (size("sa") + size("sb")).alias("n"))
+    linked = joined.select("ra", "rb", "a", "b", common.alias("i"), (size("sa") + size("sb")).alias("n"))
     return linked.where(100 * F.col("i") >= percent * (F.col("n") - F.col("i"))).select(
-        F.col("ra").alias("a"), F.col("rb").alias("b")
+        F.col("ra").alias("a"), F.col("rb").alias("b"), F.col("a").alias("node_a"), F.col("b").alias("node_b")
     )
 
 
 def _verified(
     texts: DataFrame, pairs: DataFrame, reps: DataFrame, width: int, percent: int
 ) -> tuple[DataFrame, DataFrame]:
-    """The pairs that link, as (a, b) of representatives, and the sets they were verified on."""
+    """The pairs that link, as ``_links`` gives them, and the sets they were verified on."""
     nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
     bits = _filter_bits(nodes)
     sent = texts.mapInArrow(_sent(width, bits), "f long, g long, shingles array<long>")
@@ -313,31 +317,82 @@ def _verified(
     return pin(_links(pairs, sets, percent)), sets
 
 
-def similarity_join(
-    docs: DataFrame, width: int = 5, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text"
-) -> DataFrame:
-    """One row per row of ``docs``: doc_id, n_shingles, component_id, n_links, n_copies.
-
-    ``component_id`` is the smallest doc_id reachable by links, ``n_copies`` how many rows
-    have the same set (itself included), ``n_links`` the links of that set to other
-    sets that were needed to connect it. Texts without a word, null ones included,
-    link with nothing and are their own component. Rows without id take no part:
-    their component is null. Repeated rows are copies; further columns are left
-    behind.
-    """
+def _prepared(docs: DataFrame, width: int, percent: int, id_col: str, text_col: str) -> tuple[DataFrame, ...]:
+    """The texts, their descriptions, representatives of the different sets, buckets and sketches."""
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string"))
     described = pin(
         texts.mapInArrow(
             _described(width, percent), ", ".join(f"{name} long" for name in DESCRIBED)
         )
     )
-    named = described.where("n > 0 AND doc_id IS NOT NULL")
+    named = described.where(NAMED)
     reps = named.groupBy("f", "g").agg(F.min("doc_id").alias("rep"), F.count("*").alias("n_copies"))
     buckets = pin(_buckets(texts.where("doc_id IS NOT NULL"), named, width, percent))
     sketches = named.groupBy(F.shiftright("f", 1).alias("node")).agg(
         F.max("n").alias("n"), *(F.max(f"s{k}").alias(f"s{k}") for k in range(SKETCH))
     )
     sketches = pin(sketches.join(buckets.select("node").distinct(), "node", "left_semi"))
+    return texts, described, reps, buckets, sketches
+
+
+def _pairs_in_buckets(held: DataFrame, percent: int, further: Column | None = None) -> DataFrame:
+    """Each pair of different nodes that share a bucket and may link, once.
+
+    ``held``: (sig, label, node, n, sketch); ``further`` is a condition on the labels la and lb.
+    """
+    left = _side(held, "a").columns
+    one = held.select("sig", F.col("label").alias("la"), *(held[c].alias(x) for c, x in zip(["node", "n", *SKETCHES], left)))
+    right = _side(held, "b").columns
+    two = held.select("sig", F.col("label").alias("lb"), *(held[c].alias(x) for c, x in zip(["node", "n", *SKETCHES], right)))
+    on = (one["sig"] == two["sig"]) & (F.col("a") < F.col("b")) & _may_link(percent)
+    return one.join(two, on if further is None else on & further).select("a", "b").distinct()
+
+
+def all_links(
+    docs: DataFrame, width: int = 5, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """Every link between two different sets, once: a and b, the smallest doc_ids that have them, node_a and node_b.
+
+    The nodes are hashes of the sets. Copies of one set are no link. A bucket that
+    many sets hold is joined with itself, which AQE may split; a pair meets its
+    sketches before its sets.
+    """
+    texts, _, reps, buckets, sketches = _prepared(docs, width, percent, id_col, text_col)
+    held = pin(buckets.select("sig", "node", F.lit(0).alias("label")).join(sketches, "node"))
+    return _verified(texts, pin(_pairs_in_buckets(held, percent)), reps, width, percent)[0]
+
+
+def link_numbers(
+    docs: DataFrame, width: int = 5, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """One row per row of ``docs``: doc_id, n_links, how many different sets link with the row's set.
+
+    Unlike ``n_links`` of ``similarity_join`` this is the whole number. Rows without
+    id or without a word have none.
+    """
+    texts, described, reps, buckets, sketches = _prepared(docs, width, percent, id_col, text_col)
+    held = pin(buckets.select("sig", "node", F.lit(0).alias("label")).join(sketches, "node"))
+    links, _ = _verified(texts, pin(_pairs_in_buckets(held, percent)), reps, width, percent)
+    ends = links.select(F.col("node_a").alias("node")).union(links.select("node_b"))
+    degree = ends.groupBy("node").agg(F.count("*").alias("n_links"))
+    told = described.withColumn("node", F.when(F.expr(NAMED), F.shiftright("f", 1)))
+    return told.join(degree, "node", "left").select("doc_id", F.coalesce("n_links", F.lit(0)).alias("n_links"))
+
+
+def similarity_join(
+    docs: DataFrame, width: int = 5, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """One row per row of ``docs``: doc_id, n_shingles, component_id, n_links, n_copies.
+
+    ``component_id`` is the smallest doc_id reachable by links, ``n_copies`` how many rows
+    have the same set (itself included), ``n_links`` the links of that set to other
+    sets that were needed to connect it; ``link_numbers`` gives all of them. Texts without a word, null ones included,
+    link with nothing and are their own component. Rows without id take no part:
+    their component is null. Repeated rows are copies; further columns are left
+    behind.
+    """
+    texts, described, reps, buckets, sketches = _prepared(docs, width, percent, id_col, text_col)
+    named = described.where(NAMED)
     # The centres are picked per task before the shuffle, and the join may split a large bucket.
     central = F.row_number().over(Window.partitionBy("sig").orderBy(F.desc("weight"), "node"))
     centres = buckets.withColumn("place", central).where(F.col("place") <= CENTRES)
@@ -350,7 +405,7 @@ def similarity_join(
     )
     tried = tried.join(_side(sketches, "a"), "a").join(_side(sketches, "b"), "b").where(_may_link(percent))
     pairs = pin(tried.select("a", "b"))
-    star, _ = _verified(texts, pairs, reps, width, percent)
+    star = _verified(texts, pairs, reps, width, percent)[0].select("a", "b")
     labels = components(star)
     # Members of one bucket in different components: the pairs still to try.
     named_nodes = reps.select(F.shiftright("f", 1).alias("node"), "rep")
@@ -363,16 +418,12 @@ def similarity_join(
     held = buckets.select("sig", "node").join(of_node.select("node", "label"), "node")
     mixed = held.groupBy("sig").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high")
     held = pin(held.join(mixed.select("sig"), "sig", "left_semi").join(sketches, "node"))
-    left = _side(held, "a").columns
-    one = held.select("sig", F.col("label").alias("la"), *(held[c].alias(x) for c, x in zip(["node", "n", *SKETCHES], left)))
-    right = _side(held, "b").columns
-    two = held.select("sig", F.col("label").alias("lb"), *(held[c].alias(x) for c, x in zip(["node", "n", *SKETCHES], right)))
-    more = one.join(two, (one["sig"] == two["sig"]) & (F.col("a") < F.col("b")) & (F.col("la") != F.col("lb")) & _may_link(percent))
-    more = pin(more.select("a", "b").distinct().join(pairs, ["a", "b"], "left_anti"))
+    more = _pairs_in_buckets(held, percent, F.col("la") != F.col("lb"))
+    more = pin(more.join(pairs, ["a", "b"], "left_anti"))
     rest, _ = _verified(texts, more, reps, width, percent)
     links = star
     if not rest.isEmpty():
-        links = pin(star.unionByName(rest).distinct())
+        links = pin(star.unionByName(rest.select("a", "b")).distinct())
         labels = components(links)
     ends = links.select(F.col("a").alias("rep")).union(links.select("b"))
     degree = ends.groupBy("rep").agg(F.count("*").alias("n_links"))

@@ -101,6 +101,38 @@ def test_dense_group_is_not_paired_out(spark):
     assert sum(r.n_links for r in got) < 150 * 149 / 2  # all links, counted at both ends: twice as many
 
 
+def test_all_links_by_brute_force(spark):
+    """Near copies that all link, short texts, copies and an id of two texts: every link, once, and its number."""
+    rng = random.Random(4)
+    base = PROSE.split() * 2
+    rows = [r for r in AWKWARD if r[0] != 9] + [(9, PROSE), (14, PROSE)] + near_copies(12)
+    for k in range(40):
+        words = list(base)
+        for _ in range(rng.randint(0, 2)):
+            words[rng.randrange(len(words))] = f"w{k}"
+        rows.append((1000 + k, " ".join(words)))
+    for k in range(20):
+        short = rng.sample(PROSE.split(), rng.randint(8, 14))
+        rows += [(2000 + 2 * k, " ".join(short)), (2001 + 2 * k, " ".join([*short, "more"]))]
+    rows += [(3000, " ".join(base[:60])), (3000, " ".join([*base[:60], "end"]))]
+    sets = {}
+    for d, t in rows:
+        if d is not None and shingle_set(t):
+            sets[shingle_set(t)] = min(d, sets.get(shingle_set(t), d))
+    different = list(sets)
+    links = [(x, y) for i, x in enumerate(different) for y in different[:i] if 100 * len(x & y) >= 80 * len(x | y)]
+    degree = {x: sum(x in pair for pair in links) for x in different}
+    assert max(degree.values()) > 10
+    got = ngram_join.all_links(frame(spark, rows)).collect()
+    ids = sorted(tuple(sorted((sets[x], sets[y]))) for x, y in links)
+    assert sorted(tuple(sorted((r.a, r.b))) for r in got) == ids
+    assert len({(r.node_a, r.node_b) for r in got}) == len(got)
+    numbers = ngram_join.link_numbers(frame(spark, rows)).collect()
+    expected = [(d, degree[shingle_set(t)] if d is not None and shingle_set(t) else 0) for d, t in rows]
+    assert sorted(map(repr, ((r.doc_id, r.n_links) for r in numbers))) == sorted(map(repr, expected))
+    assert ngram_join.link_numbers(frame(spark, [])).count() == 0
+
+
 def test_components_of_chains_stars_and_loops(spark):
     links = [(k, k + 1) for k in range(1, 30)] + [(100, k) for k in range(101, 140)] + [(200, 200), (None, 3), (7, 7)]
     got = {r.node: r.label for r in spark_components(spark.createDataFrame(links, "a long, b long")).collect()}
