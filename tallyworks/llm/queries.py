@@ -11,11 +11,14 @@ from tallyworks.llm import (
     bpe_counts,
     chat_format,
     decontamination,
+    forced_boundary,
     html_content,
+    merkle,
     ngram_join,
     packing,
     pseudo_likelihood,
     quality_rules,
+    residue_gemm,
     secret_scan,
     toxicity,
     words,
@@ -223,3 +226,118 @@ def op9_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 def op10_html_content(spark: SparkSession, folder: str) -> DataFrame:
     pages = words.read(spark, folder, "pages")
     return html_content.extract_pages(pages, html_content.learn(pages))
+
+
+@query(r"""
+    WITH clean AS (
+        SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+               list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+        FROM embeddings
+        WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    scored AS (
+        SELECT a.vec_id AS anchor_id, r.vec_id, a.label = r.label AS same,
+               CAST(list_dot_product(a.v, r.v) AS BIGINT) AS score
+        FROM clean a JOIN clean r ON a.vec_id % 100 = 0 AND a.vec_id <> r.vec_id),
+    positives AS (
+        SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+        QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+    SELECT anchor_id, positive_id, positive_score, vec_id AS negative_id, score AS negative_score,
+           CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id)
+                AS INTEGER) AS rank
+    FROM positives JOIN scored USING (anchor_id)
+    WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+    QUALIFY rank <= 10
+""")
+def op11_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = words.read(spark, folder, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return residue_gemm.hard_negatives(
+        vectors.withColumn("label", moved), F.col("vec_id") % 100 == 0
+    )
+
+
+def _merkle_sql(levels: int = 7, levels_of_sources: int = 5) -> str:
+    """The tree and its proofs level by level; 16 ** 7 documents a source, 16 ** 5 sources."""
+    ctes = []
+
+    def grown(nodes: str, at: int) -> str:
+        return f"""
+            {nodes}{at + 1} AS (
+                SELECT *, len(kids) = 1 AND i = 0 AS alone,
+                       CASE WHEN alone THEN kids[1] ELSE sha256(array_to_string(kids, '')) END AS d
+                FROM (SELECT src, i // 16 AS i, list(d ORDER BY {nodes}{at}.i) AS kids
+                      FROM {nodes}{at} GROUP BY src, {nodes}{at}.i // 16))"""
+
+    def climbed(paths: str, nodes: str, at: int) -> str:
+        return f"""
+            {paths}{at + 1} AS (
+                SELECT p.doc_id, p.d, p.own_source, p.src, p.i // 16 AS i, n.d AS top,
+                       coalesce(array_to_string(n.kids[1:p.i % 16], ''), '') AS l{at},
+                       coalesce(array_to_string(n.kids[p.i % 16 + 2:], ''), '') AS r{at},
+                       CASE WHEN n.alone THEN p.proof ELSE p.proof || l{at} || r{at} END AS proof,
+                       CASE WHEN n.alone THEN p.cur ELSE sha256(l{at} || p.cur || r{at}) END AS cur
+                FROM {paths}{at} p JOIN {nodes}{at + 1} n
+                     ON n.src IS NOT DISTINCT FROM p.src AND n.i = p.i // 16)"""
+
+    def field(value: str) -> str:
+        return f"coalesce(strlen({value}) || ':' || {value}, '-')"
+
+    def leaf(text: str) -> str:
+        others = [field(f"CAST({c} AS VARCHAR)") for c in ("doc_id", "source", "lang", "n_chars")]
+        return f"sha256({' || '.join([*others, field(text)])})"
+
+    # One bit of a CRC-32 at a time over the digits of the id.
+    word = "(CASE WHEN k % 8 = 0 THEN xor(x, ascii(substr(CAST(doc_id AS VARCHAR), k // 8 + 1, 1))) ELSE x END)"
+    crc = (
+        "xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), range(0, 8 * len(CAST(doc_id AS VARCHAR)))), "
+        f"lambda x, k: xor({word} >> 1, ({word} & 1) * 3988292384)), 4294967295)"
+    )
+    lowered = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    ctes.append(f"""
+        l0 AS (
+            SELECT doc_id, source AS src, {leaf("text")} AS d,
+                   CASE WHEN {crc} % 5 = 0 THEN {leaf(lowered)} ELSE {leaf("text")} END AS cur,
+                   row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, d) - 1 AS i
+            FROM documents),
+        p0 AS (SELECT doc_id, d, src AS own_source, src, i, cur, '' AS proof FROM l0)""")
+    for at in range(levels):
+        ctes += [grown("l", at), climbed("p", "l", at)]
+    ctes.append(f"""
+        s0 AS (SELECT 0 AS src, src AS name, d, row_number() OVER (ORDER BY src NULLS FIRST) - 1 AS i
+               FROM l{levels}),
+        q0 AS (SELECT p.doc_id, p.d, p.own_source, 0 AS src, s.i, p.proof, p.cur
+               FROM p{levels} p JOIN s0 s ON s.name IS NOT DISTINCT FROM p.src)""")
+    for at in range(levels_of_sources):
+        ctes += [grown("s", at), climbed("q", "s", at)]
+    return f"""
+        WITH {",".join(ctes)}
+        SELECT q.doc_id, q.d AS leaf, s.d AS subroot, q.top AS root, sha256(q.proof) AS proof_sha256,
+               q.cur AS folded_root, q.cur = q.top AS verified
+        FROM q{levels_of_sources} q JOIN s0 s ON s.name IS NOT DISTINCT FROM q.own_source"""
+
+
+@query(_merkle_sql())
+def op12_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    docs = words.read(spark, folder, "documents")
+    fields = [F.col(c) for c in ("doc_id", "source", "lang", "n_chars")]
+    lowered = merkle.leaf([*fields, words.ascii_lower(F.col("text"))])
+    tampered = F.when(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0, lowered)
+    proved = merkle.manifest_documents(docs, tampered)
+    return proved.select(
+        "doc_id", "leaf", "subroot", "root",
+        merkle.digest(merkle.above(F.col("path"))).alias("proof_sha256"),
+        "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"),
+    )
+
+
+@query()
+def op13_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    coded = forced_boundary.encode_documents(
+        words.read(spark, folder, "documents"), vocabulary("byte_bpe_50k.json")
+    )
+    return coded.select(
+        "doc_id", "n_tokens",
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
