@@ -47,7 +47,7 @@ def primes_for(dims: int, largest: int) -> list[int]:
         if (p // 2) ** 2 * dims <= EXACT and all(p % q for q in range(2, int(p**0.5) + 1)):
             primes.append(p)
             product *= p
-    if product <= bound or product >= 1 << 55:
+    if product <= bound or bound >= 1 << 55:
         raise ValueError(f"scores of {dims} components up to {largest} do not fit 55 bits")
     return primes
 
