@@ -25,8 +25,9 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, LongType, StringType, StructField, StructType
 
 from tallyworks.llm import words
 from tallyworks.llm.bpe_counts import byte_symbols
@@ -173,49 +174,64 @@ def codec(path: str) -> Codec:
     return Codec(path)
 
 
-def encode(text: Column, vocabulary: str) -> Column:
-    """Ids of a text column as bytes, four to an id, little-endian; null counts as empty.
-
-    ``vocabulary``: the JSON file of a byte-level BPE, at a path on every machine.
-    """
-
-    @F.arrow_udf("binary")
-    def ids(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        coder = codec(vocabulary)
-        for texts in batches:
-            raw = texts.cast(pa.binary())
-            yield pa.array([coder.encode(t.as_py() or b"") for t in raw], type=pa.binary())
-
-    return ids(text)
-
-
-def decode(ids: Column, vocabulary: str) -> Column:
-    """The text of encoded ids; null counts as none. Special ids are spelled out."""
-
-    @F.arrow_udf("string")
-    def text(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        coder = codec(vocabulary)
-        for coded in batches:
-            yield pa.array([coder.decode(c.as_py() or b"") for c in coded], type=pa.string())
-
-    return text(ids)
+def sliced(batches: Iterator[pa.RecordBatch], rows: int = 250) -> Iterator[pa.RecordBatch]:
+    """The batches a few rows at a time, which bounds what is in memory beside them."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
 
 
 def encode_documents(
     docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """One row per row of ``docs``: document, ``n_tokens``, ``ids`` (see ``encode``), ``decoded``.
+    """One row per row of ``docs``: doc_id, ``n_tokens``, ``ids``, and ``decoded`` from the ids.
 
-    A null or empty text has no ids and the empty text; repeated rows and null ids stay,
-    each with its own row; further columns are left behind. No shuffle. A text of n bytes
-    takes O(n log n), also if it is one fragment.
+    ``ids`` are little-endian unsigned 32-bit numbers. ``vocabulary``: the JSON file of a
+    byte-level BPE, at a path on every machine. A null or empty text has no ids and the empty
+    text; repeated rows and null ids stay, each with its own row; further columns are left
+    behind. No shuffle. A text of n bytes takes O(n log n), also if it is one fragment.
     """
-    coded = docs.select(
-        F.col(id_col).alias("doc_id"), encode(words.text_or_empty(text_col), vocabulary).alias("ids")
-    )
-    return coded.select(
-        "doc_id",
-        F.expr("octet_length(ids) div 4").cast("long").alias("n_tokens"),
-        "ids",
-        decode(F.col("ids"), vocabulary).alias("decoded"),
+    id_type = docs.schema[id_col].dataType
+    schema = StructType(
+        [
+            StructField("doc_id", id_type),
+            StructField("n_tokens", LongType()),
+            StructField("ids", BinaryType()),
+            StructField("decoded", StringType()),
+        ]
     )
+
+    def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        coder = codec(vocabulary)
+        for some in sliced(batches):
+            ids = [coder.encode(text.as_py()) for text in some.column(1)]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    some.column(0),
+                    pa.array([len(i) // ID.itemsize for i in ids], type=pa.int64()),
+                    pa.array(ids, type=pa.binary()),
+                    pa.array(map(coder.decode, ids), type=pa.string()),
+                ],
+                names=schema.names,
+            )
+
+    text = words.text_or_empty(text_col).cast("binary")
+    return docs.select(F.col(id_col), text.alias("text")).mapInArrow(code, schema)
+
+
+def decode_documents(
+    coded: DataFrame, vocabulary: str, id_col: str = "doc_id", ids_col: str = "ids"
+) -> DataFrame:
+    """doc_id and ``text`` of every row of encoded documents, as ``encode_documents`` gives them.
+
+    Null ids give the empty text; special ids are spelled out, unknown ones left out.
+    """
+    schema = StructType([StructField("doc_id", coded.schema[id_col].dataType), StructField("text", StringType())])
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        coder = codec(vocabulary)
+        for some in sliced(batches):
+            texts = [coder.decode(ids.as_py() or b"") for ids in some.column(1)]
+            yield pa.RecordBatch.from_arrays([some.column(0), pa.array(texts, type=pa.string())], names=schema.names)
+
+    return coded.select(id_col, ids_col).mapInArrow(read, schema)

@@ -99,7 +99,10 @@ def test_bpe_query(spark, tmp_path, library):
         raw = np.array(ids, dtype="<u4").tobytes()
         expected[doc, len(ids), hashlib.sha256(raw).hexdigest(), hashlib.sha256(back.encode()).hexdigest()] += 1
     assert got == expected
-    assert frame(spark, []).transform(lambda d: forced_boundary.encode_documents(d, BPE)).count() == 0
+    assert forced_boundary.encode_documents(frame(spark, []), BPE).count() == 0
+    coded = forced_boundary.encode_documents(frame(spark, rows), BPE)
+    back = Counter(map(tuple, forced_boundary.decode_documents(coded, BPE).collect()))
+    assert back == Counter((doc, text or "") for doc, text in rows)
 
 
 # Merkle manifest
