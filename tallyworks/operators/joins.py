@@ -13,7 +13,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 
 def lookup(
     facts: DataFrame, dimension: DataFrame, on: str | Sequence[str], how: str = "inner"
@@ -32,6 +32,27 @@ def large_join(left: DataFrame, right: DataFrame, on: str | Sequence[str]) -> Da
     return left.join(right.hint("merge"), on)
 
 
+def bucketing(spark: SparkSession, table: str) -> tuple[int, tuple[str, ...]]:
+    """The number of buckets of a stored table and their columns; (0, ()) without buckets."""
+    facts = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE EXTENDED {table}").collect()}
+    columns = facts.get("Bucket Columns", "[]").strip("[]").replace("`", "")
+    return int(facts.get("Num Buckets", 0)), tuple(c.strip() for c in columns.split(",") if c)
+
+
+def co_bucketed(spark: SparkSession, left: str, right: str, on: str) -> DataFrame:
+    """Inner join of two stored tables that share their buckets: neither side is shuffled.
+
+    Both must be bucketed by ``on`` alone, with the same number of buckets, or it is an
+    error: the join would still be right, but shuffle both. What follows may group by
+    ``on`` without a shuffle, too. A value of ``on`` that fills a bucket fills a task;
+    ``large_join`` of unbucketed tables is the way for such keys.
+    """
+    stored = {name: bucketing(spark, name) for name in (left, right)}
+    if len(set(stored.values())) != 1 or stored[left][1] != (on,):
+        raise ValueError(f"not bucketed alike by {on}: {stored}")
+    return spark.table(left).join(spark.table(right).hint("merge"), on)
+
+
 def matched(left: DataFrame, right: DataFrame, on: str | Sequence[str]) -> DataFrame:
     """Rows of ``left`` whose key occurs in ``right``."""
     return _key_test(left, right, on, "left_semi")

@@ -13,12 +13,13 @@ from pyspark.sql import functions as F
 
 from tallyworks import schemas, session, sinks
 from tallyworks.functions import dates, rules, text
-from tallyworks.operators import aggregates, joins, shaping
+from tallyworks.operators import aggregates, joins, sampling, shaping, sketches, windows
 from tallyworks.plans import (
     brazil,
     census,
     consular,
     grocery,
+    history,
     olist,
     rental,
     restaurants,
@@ -28,7 +29,7 @@ from tallyworks.plans import (
 )
 from tallyworks.sources import exif, files
 from tallyworks.stand_ins import Tables, written
-from tallyworks.streaming import clicks
+from tallyworks.streaming import batches, clicks
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -146,18 +147,18 @@ def category_running_total(t: Tables) -> DataFrame:
     )
 
 
-@query("SELECT count(*) AS rows, true AS ids_differ, true AS adds_up FROM lineitem")
+SPLITS = 12
+
+
+@query(f"""
+    SELECT CAST(l_orderkey % {SPLITS} AS INTEGER) AS partition_id, count(*) AS count
+    FROM lineitem GROUP BY 1
+""")
 def partition_profile(t: Tables) -> DataFrame:
-    """How many partitions there are is the cluster's choice; what must hold of them is not."""
-    lines = t.read("lineitem")
-    profile = aggregates.partition_profile(lines)
-    summed = profile.agg(
-        F.sum("count").alias("rows"),
-        (F.count_distinct("partition_id") == F.count("*")).alias("ids_differ"),
-    )
-    total = aggregates.row_count(lines.select("l_orderkey"), "_all")
-    return summed.join(total, F.col("rows") == F.col("_all"), "left").select(
-        "rows", "ids_differ", F.col("_all").isNotNull().alias("adds_up")
+    """Rows in each partition of lines that were dealt out by their order's number."""
+    split = F.pmod("l_orderkey", F.lit(SPLITS)).cast("int")
+    return aggregates.partition_profile(
+        t.read("lineitem").select("l_orderkey").repartitionById(SPLITS, F.coalesce(split, F.lit(0)))
     )
 
 
@@ -1020,3 +1021,224 @@ def first_last_set(t: Tables) -> DataFrame:
 """)
 def cube_counts(t: Tables) -> DataFrame:
     return aggregates.cube_counts(t.read("orders"), "o_orderstatus", "o_orderpriority")
+
+
+# --- groups, partitions and streams of any size -----------------------------------------------
+
+
+@query("""
+    SELECT l_returnflag, l_orderkey, l_linenumber, cents,
+           CAST(sum(cents) OVER (
+               PARTITION BY l_returnflag
+               ORDER BY l_shipdate, l_orderkey, l_linenumber, l_partkey, l_suppkey
+               ROWS UNBOUNDED PRECEDING) AS BIGINT) AS balance,
+           CAST(sum(cents) OVER (
+               PARTITION BY l_returnflag ORDER BY l_shipdate) AS BIGINT) AS day_balance
+    FROM (SELECT *, CAST(round(l_extendedprice * 100) AS BIGINT) AS cents FROM lineitem)
+""")
+def running_balances(t: Tables) -> DataFrame:
+    """Over all lines, of which a flag has a third: row by row, and by whole days."""
+    key, day = ["l_returnflag"], ["l_shipdate"]
+    tie = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
+    lines = t.read("lineitem").select(
+        *key, *day, *tie, F.round(F.col("l_extendedprice") * 100).cast("long").alias("cents")
+    )
+    rows = windows.running_balance(lines, "cents", key, day, tie, "balance")
+    days = windows.running_balance(rows, "cents", key, day, tie, "day_balance", "range")
+    return days.select(*key, "l_orderkey", "l_linenumber", "cents", "balance", "day_balance")
+
+
+MANY = 15_000
+
+
+@query(f"""
+    SELECT l_returnflag, l_orderkey, l_linenumber, l_extendedprice,
+           row_number() OVER (
+               PARTITION BY l_returnflag
+               ORDER BY l_extendedprice DESC, l_orderkey, l_linenumber, l_partkey, l_suppkey) AS rank
+    FROM lineitem QUALIFY rank <= {MANY}
+""")
+def top_lines_per_flag(t: Tables) -> DataFrame:
+    """The dearest lines of each flag, many more than Spark's limit per task keeps."""
+    rest = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
+    lines = t.read("lineitem").select("l_returnflag", "l_extendedprice", *rest)
+    order = [F.desc("l_extendedprice"), *map(F.asc, rest)]
+    return windows.first_rows(lines, ["l_returnflag"], order, MANY).drop("l_partkey", "l_suppkey")
+
+
+@query("""
+    SELECT o_orderkey AS order_id, o_orderstatus AS status, count(*) AS lines,
+           CAST(sum(CAST(l_quantity AS BIGINT)) AS BIGINT) AS units
+    FROM orders JOIN lineitem ON l_orderkey = o_orderkey GROUP BY ALL
+""")
+def bucketed_join(t: Tables) -> DataFrame:
+    """Orders and their lines stored with the same buckets, joined and grouped in place."""
+    heads = t.read("orders").select(
+        F.col("o_orderkey").alias("order_id"), F.col("o_orderstatus").alias("status")
+    )
+    lines = t.read("lineitem").select(
+        F.col("l_orderkey").alias("order_id"), F.col("l_quantity").cast("long").alias("units")
+    )
+    for df, table in ((heads, "order_heads"), (lines, "order_lines")):
+        sinks.write_bucketed(df, table, "order_id", 8, session.new_shared_folder(t.spark, table))
+    joined = joins.co_bucketed(t.spark, "order_heads", "order_lines", "order_id")
+    return joined.groupBy("order_id", "status").agg(
+        F.count("*").alias("lines"), F.sum("units").alias("units")
+    )
+
+
+@query("""
+    SELECT CAST(year(o_orderdate) AS INTEGER) AS year,
+           CASE WHEN year(o_orderdate) IN (1996, 1998) THEN 'X' ELSE o_orderstatus END AS status,
+           count(*) AS sales
+    FROM orders WHERE year(o_orderdate) <> 2001 GROUP BY 1, 2
+""")
+def rerun_years(t: Tables) -> DataFrame:
+    """Two years of the stored orders are corrected and one turns out empty, twice over."""
+    orders = t.read("orders").select("o_orderdate", F.col("o_orderstatus").alias("status"))
+    path = session.new_shared_folder(t.spark, "orders-by-year")
+    stored = history.store_years(orders, "o_orderdate", path)
+    corrected = history.by_year(orders, "o_orderdate").withColumn("status", F.lit("X"))
+    for _ in range(2):
+        sinks.rerun_partitions(corrected.where("year <> 2001"), path, "year", [1996, 1998, 2001])
+    again = t.spark.read.schema(stored.schema).parquet(path)
+    return again.groupBy("year", "status").agg(F.count("*").alias("sales"))
+
+
+@query("""
+    SELECT CAST(year(o_orderdate) AS INTEGER) AS year, 366 AS days, count(*) AS sales,
+           CAST(sum(CAST(round(o_totalprice * 100) AS BIGINT)) AS BIGINT) AS cents
+    FROM orders WHERE year(o_orderdate) % 4 = 0 GROUP BY 1
+""")
+def leap_year_sales(t: Tables) -> DataFrame:
+    """Orders stored by year; only the folders of the calendar's long years are read."""
+    path = session.new_shared_folder(t.spark, "orders-by-year")
+    orders = t.read("orders").select("o_orderdate", "o_totalprice")
+    stored = history.store_years(orders, "o_orderdate", path)
+    years = session.pin(history.calendar(stored))
+    cents = F.round(F.col("o_totalprice") * 100).cast("long")
+    return history.sales_in_years(stored, years, F.col("days") == 366, cents)
+
+
+SPANS_SQL = """
+    SELECT kind, span, count(DISTINCT o_custkey) AS customers, true AS is_close
+    FROM (SELECT o_custkey, unnest([
+              {'kind': 'all', 'span': 'all'},
+              {'kind': 'year', 'span': strftime(o_orderdate, '%Y')},
+              {'kind': 'quarter', 'span': strftime(o_orderdate, '%Y') || '-' || quarter(o_orderdate)}
+          ], recursive := true) FROM orders)
+    GROUP BY kind, span
+"""
+
+
+@query(SPANS_SQL)
+def mergeable_counts(t: Tables) -> DataFrame:
+    """Customers per quarter, year and in all from stored monthly sketches, beside exact counts."""
+    month = F.trunc("o_orderdate", "month").alias("month")
+    orders = t.read("orders").select(month, "o_custkey")
+    year = F.date_format("month", "yyyy")
+    spans = F.inline(
+        F.array(
+            F.struct(F.lit("all").alias("kind"), F.lit("all").alias("span")),
+            F.struct(F.lit("year").alias("kind"), year.alias("span")),
+            F.struct(
+                F.lit("quarter").alias("kind"),
+                F.concat(year, F.lit("-"), F.quarter("month")).alias("span"),
+            ),
+        )
+    )
+    monthly = session.pin(sketches.sketched(orders, ["month"], "o_custkey"))
+    estimated = sketches.merged(monthly.select("sketch", spans), ["kind", "span"], into="_estimate")
+    exact = orders.distinct().select("o_custkey", spans).groupBy("kind", "span").agg(
+        F.count_distinct("o_custkey").alias("customers")
+    )
+    close = sketches.within(F.col("_estimate"), F.col("customers")).alias("is_close")
+    return exact.join(estimated, ["kind", "span"]).select("kind", "span", "customers", close)
+
+
+@query("""
+    SELECT lang, doc_id, n_chars FROM documents
+    QUALIFY row_number() OVER (
+        PARTITION BY lang ORDER BY sha256('tally' || doc_id), doc_id) <= 25
+""")
+def exact_size_sample(t: Tables) -> DataFrame:
+    docs = t.read("documents").select("lang", "doc_id", "n_chars")
+    return sampling.bottom_k(docs, ["lang"], "doc_id", 25, "tally")
+
+
+@query(f"""
+    SELECT o_orderstatus AS status, count(*) AS lines,
+           CAST(sum(CAST(l_quantity AS BIGINT)) AS BIGINT) AS units
+    FROM lineitem JOIN orders ON o_orderkey = l_orderkey
+    JOIN customer ON c_custkey = o_custkey JOIN nation ON n_nationkey = c_nationkey
+    WHERE n_name = '{COUNTRY}' GROUP BY 1
+""")
+def chain_by_statistics(t: Tables) -> DataFrame:
+    """Four stored and analysed tables, joined from the largest down as written.
+
+    Their statistics turn the chain round: the one nation first, then its customers.
+    """
+    sister = session.cost_based(t.spark)
+    tables = Tables(sister, t.base)
+    columns = {
+        "lineitem": [F.col("l_orderkey"), F.col("l_quantity").cast("long").alias("units")],
+        "orders": [F.col("o_orderkey").alias("l_orderkey"), "o_custkey", F.col("o_orderstatus").alias("status")],
+        "customer": [F.col("c_custkey").alias("o_custkey"), "c_nationkey"],
+        "nation": [F.col("n_nationkey").alias("c_nationkey"), "n_name"],
+    }
+    stored = []
+    for name, chosen in columns.items():
+        path = session.new_shared_folder(sister, f"analysed-{name}")
+        df = tables.read(name).select(*chosen)
+        stored.append(session.analysed(sister, df, f"analysed_{name}", df.columns, path))
+    lines, orders, customers, nations = stored
+    chain = lines.join(orders, "l_orderkey").join(customers, "o_custkey").join(nations, "c_nationkey")
+    return chain.where(F.col("n_name") == COUNTRY).groupBy("status").agg(
+        F.count("*").alias("lines"), F.sum("units").alias("units")
+    )
+
+
+@query("""
+    SELECT user_id, user_id || '-' || strftime(ts, '%Y%m%d') AS session_id,
+           strftime(ts, '%Y-%m-%d %H:%M:%S') AS event_time, event_type AS event_name,
+           json_extract_string(props, '$.k') AS user_query,
+           CAST(user_id % 2 AS BIGINT) AS batch
+    FROM events
+""")
+def replayed_stream(t: Tables) -> DataFrame:
+    """Events arrive twice; the second batch is written, not committed, and run again."""
+    root = session.new_shared_folder(t.spark, "replayed")
+    events = t.clicks()
+    for arrival in range(2):
+        sinks.append_json(events.where(F.col("user_id") % 2 == arrival), f"{root}/in")
+        run_batches(t.spark, root)
+    batches.forget_last_commit(t.spark, f"{root}/checkpoint")
+    run_batches(t.spark, root)
+    projected = clicks.project_clicks(t.spark.createDataFrame([], schemas.CLICK_EVENT)).schema
+    return batches.read_batches(t.spark, f"{root}/out", batches.GOOD, projected).drop(
+        "ip", "channel", "metadata"
+    )
+
+
+def run_batches(spark: SparkSession, root: str) -> None:
+    lines = batches.read_lines(spark, f"{root}/in", schemas.CLICK_EVENT)
+    batches.start(lines, "batches", f"{root}/out", f"{root}/checkpoint", True).awaitTermination()
+
+
+@query("""
+    SELECT CASE WHEN user_id % 10 IN (3, 7) THEN 'dead' ELSE 'good' END AS kind,
+           count(*) AS lines, CAST(sum(user_id) AS BIGINT) AS users
+    FROM events GROUP BY 1
+""")
+def dead_letters(t: Tables) -> DataFrame:
+    """Events as lines, of which some lack their end and some hold a name for a number."""
+    root = session.new_shared_folder(t.spark, "letters")
+    t.click_lines().write.text(f"{root}/in")
+    run_batches(t.spark, root)
+    good = batches.read_batches(t.spark, f"{root}/out", batches.GOOD, "user_id BIGINT")
+    dead = batches.read_batches(t.spark, f"{root}/out", batches.DEAD, "line STRING")
+    user = F.regexp_extract("line", r'"user_id":"?x?(\d+)', 1).cast("long").alias("user_id")
+    kinds = good.select(F.lit("good").alias("kind"), "user_id").unionByName(
+        dead.select(F.lit("dead").alias("kind"), user)
+    )
+    return kinds.groupBy("kind").agg(F.count("*").alias("lines"), F.sum("user_id").alias("users"))

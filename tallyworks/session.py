@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import math
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -61,6 +62,31 @@ def query_shared_view(df: DataFrame, view: str, predicate: str) -> DataFrame:
     return df.sparkSession.sql(f"SELECT * FROM global_temp.`{view}` WHERE {predicate}")
 
 
+def cost_based(spark: SparkSession) -> SparkSession:
+    """A sister session that orders joins by column statistics.
+
+    It shares the catalog, so tables stored and analysed by either are known to both; the
+    given session keeps its settings.
+    """
+    sister = spark.newSession()
+    for key, value in {
+        **RECOMMENDED_CONF,
+        "spark.sql.cbo.enabled": "true",
+        "spark.sql.cbo.joinReorder.enabled": "true",
+        "spark.sql.statistics.histogram.enabled": "true",
+        "spark.sql.shuffle.partitions": spark.conf.get("spark.sql.shuffle.partitions"),
+    }.items():
+        sister.conf.set(key, value)
+    return sister
+
+
+def analysed(spark: SparkSession, df: DataFrame, table: str, columns: Sequence[str], path: str) -> DataFrame:
+    """Store ``df`` as a table at ``path`` and gather its row count and column statistics."""
+    df.write.mode("overwrite").option("path", path).saveAsTable(table)
+    spark.sql(f"ANALYZE TABLE {table} COMPUTE STATISTICS FOR COLUMNS {', '.join(columns)}")
+    return spark.table(table)
+
+
 def shared_root(spark: SparkSession) -> str:
     """A folder every executor can reach: ``spark.checkpoint.dir``, else below the warehouse.
 

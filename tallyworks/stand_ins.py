@@ -354,6 +354,14 @@ class Tables:
             F.struct(F.get_json_object("props", "$.k").alias("query")).alias("metadata"),
         )
 
+    def click_lines(self) -> DataFrame:
+        """Clicks as JSON lines; some lack their end, some hold a name where a number belongs."""
+        kind, line = F.col("user_id") % 10, F.col("value")
+        cut = F.substring(line, F.lit(1), F.length(line) - 9)
+        named = F.regexp_replace(line, r'"user_id":(\d+)', r'"user_id":"x$1"')
+        lines = self.clicks().withColumn("value", F.to_json(F.struct("*")))
+        return lines.select(F.when(kind == 3, cut).when(kind == 7, named).otherwise(line).alias("value"))
+
     def supplier_photos(self) -> DataFrame:
         """One JPEG start per supplier; every tenth has five long colour profiles in front."""
         profile = F.concat(F.unhex(F.lit("FFE2FFFF")), F.unhex(F.repeat(F.lit("00"), 65533)))
