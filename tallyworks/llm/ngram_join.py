@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyworks.llm import hashing
+from tallyworks.llm import hashing, lean
 from tallyworks.llm.components import components
 from tallyworks.session import pin
 
@@ -49,8 +49,6 @@ CELLS = 64 * SKETCH
 NAMED = "n > 0 AND doc_id IS NOT NULL"
 #: How many central members of a bucket all its members are tried with first.
 CENTRES = 1
-#: Sets a task remembers in order to send equal ones once.
-REMEMBERED = 500_000
 
 
 def most_differences(total: np.ndarray | int, percent: int = PERCENT):
@@ -132,6 +130,7 @@ SKETCHES = DESCRIBED[-SKETCH:]
 def _described(width: int, percent: int) -> Callable:
     """Per document: id, size of its set, its two hashes, and what it may leave out by role."""
 
+    @lean.released
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row, sets in hashing.shingle_sets(batch.column(1), width):
@@ -160,18 +159,16 @@ def _described(width: int, percent: int) -> Callable:
 def _signed(width: int, percent: int) -> Callable:
     """Signature rows of every different set a task meets: (sig, node), the role in node's last bit."""
 
+    @lean.released
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[int] = set()
+        seen = lean.Recent()
         for batch in batches:
             for _, sets in hashing.shingle_sets(batch.column(1), width):
-                f, _ = fingerprints(sets)
+                f, g = fingerprints(sets)
                 sigs, nodes = [], []
-                for own, node in zip(sets, f.tolist()):
-                    if not len(own) or node in seen:
+                for own, node, new in zip(sets, f.tolist(), seen.new(f, g).tolist()):
+                    if not len(own) or not new:
                         continue
-                    if len(seen) >= REMEMBERED:
-                        seen.clear()
-                    seen.add(node)
                     for band, role, need in Roles(len(own), percent).all:
                         whole, _, near = signatures(own, band, need, percent)
                         both = np.concatenate([whole, near]) if len(near) else whole
@@ -188,8 +185,9 @@ def _signed(width: int, percent: int) -> Callable:
 def _sent(width: int, bits: np.ndarray) -> Callable:
     """The sets whose hash the filter knows, each once a task: (f, g, shingles)."""
 
+    @lean.released
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[tuple[int, int]] = set()
+        seen = lean.Recent()
         kind = pa.list_(pa.int64())
         for batch in batches:
             for _, sets in hashing.shingle_sets(batch.column(1), width):
@@ -197,14 +195,8 @@ def _sent(width: int, bits: np.ndarray) -> Callable:
                 key = f >> _U(1)
                 at = (key % _U(FILTER_WORDS * 64)).astype(np.int64)
                 known = (bits[at >> 6] >> (at & 63).astype(_U)) & _U(1)
-                out = []
-                for k in np.flatnonzero(known).tolist():
-                    pair = (int(f[k]), int(g[k]))
-                    if len(sets[k]) and pair not in seen:
-                        if len(seen) >= REMEMBERED:
-                            seen.clear()
-                        seen.add(pair)
-                        out.append(k)
+                at = np.array([k for k in np.flatnonzero(known) if len(sets[k])], dtype=np.int64)
+                out = at[seen.new(f[at], g[at])].tolist()
                 if out:
                     yield pa.RecordBatch.from_arrays(
                         [

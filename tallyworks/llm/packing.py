@@ -23,6 +23,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, LongType, StructField, StructType
 
+from tallyworks.llm import lean
+
 # Fixed value: how texts are cut before byte pairs are merged.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 END_OF_TEXT = "<|endoftext|>"
@@ -137,6 +139,7 @@ def pack_documents(
         ]
     )
 
+    @lean.released
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, packer = encoder(ranks_path), Packer(capacity)
         sequence = (TaskContext.get().partitionId() << 33) - 1
@@ -163,7 +166,7 @@ def pack_documents(
         for incoming in batches:
             id_type = incoming.schema.field(0).type
             # Texts become Python strings a few at a time.
-            parts = (incoming.slice(at, 250) for at in range(0, incoming.num_rows, 250))
+            parts = lean.sliced(incoming)
             pairs = (zip(p.column(0).to_pylist(), p.column(1).to_pylist()) for p in parts)
             for doc, text in chain.from_iterable(pairs):
                 coded = encode(text) if text else []

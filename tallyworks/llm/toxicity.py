@@ -12,18 +12,20 @@ phrases are two-word contexts in which an entry stands in clean documents only.
 
 from __future__ import annotations
 
+import functools
 import re
 import unicodedata
-from collections.abc import Iterator
+from collections import Counter
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import ahocorasick
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyworks.llm import words
+from tallyworks.llm import lean, words
 from tallyworks.session import pin
 
 # Characters that look like Latin letters, and the letters.
@@ -201,15 +203,11 @@ def learn(
     if n_toxic in (0, n_all):
         return Lexicon({}, bias=float(np.log((n_toxic + 0.5) / (n_all - n_toxic + 0.5))))
 
-    @F.pandas_udf("array<string>")
-    def terms(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: sorted(candidate_terms(t)))
-
     n_clean = n_all - n_toxic
     counted = (
-        rows.select(F.explode(terms("text")).alias("term"), "label")
+        _counted(rows, candidate_terms)
         .groupBy("term")
-        .agg(F.sum("label").alias("pos"), F.sum(1 - F.col("label")).alias("neg"))
+        .agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
         .where(F.col("pos") >= least_docs)
         .where((F.col("pos") + 0.5) * (n_clean + 1) > (F.col("neg") + 0.5) * (n_toxic + 1) * least_odds)
         .orderBy(F.desc(F.col("pos") - 2 * F.col("neg")), "term")
@@ -218,14 +216,10 @@ def learn(
     weights = choose([tuple(r) for r in counted.collect()], n_toxic, n_clean, size)
     plain = Lexicon(weights)
 
-    @F.pandas_udf("array<string>")
-    def contexts(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: sorted(two_word_contexts(plain, t)))
-
     phrases = (
-        rows.select(F.explode(contexts("text")).alias("phrase"), "label")
-        .groupBy("phrase")
-        .agg(F.sum("label").alias("pos"), F.count("*").alias("all"))
+        _counted(rows, functools.partial(two_word_contexts, plain))
+        .groupBy(F.col("term").alias("phrase"))
+        .agg(F.sum("pos").alias("pos"), F.sum(F.col("pos") + F.col("neg")).alias("all"))
         .where((F.col("pos") == 0) & (F.col("all") >= least_docs))
         .orderBy(F.desc("all"), "phrase")
         .limit(size)
@@ -237,6 +231,26 @@ def learn(
     return Lexicon(lexicon.weights, lexicon.exceptions, bias, slopes)
 
 
+def _counted(rows: DataFrame, terms_of: Callable[[str], set[str]]) -> DataFrame:
+    """(term, pos, neg): in how many toxic and other texts of a slice of rows a term is."""
+
+    @lean.released
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for some in lean.sliced(batch):
+                seen: tuple[Counter, Counter] = Counter(), Counter()
+                for text, label in zip(some.column(0), some.column(1)):
+                    seen[1 if label.as_py() else 0].update(terms_of(text.as_py()))
+                terms = sorted(seen[0].keys() | seen[1].keys())
+                numbers = ([seen[k][t] for t in terms] for k in (1, 0))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(terms, type=pa.string()), *(pa.array(n, type=pa.int64()) for n in numbers)],
+                    names=["term", "pos", "neg"],
+                )
+
+    return rows.select("text", "label").mapInArrow(count, "term string, pos long, neg long")
+
+
 def two_word_contexts(lexicon: Lexicon, text: str) -> set[str]:
     best, line, _ = lexicon.hits(text)
     found = set()
@@ -251,9 +265,12 @@ def two_word_contexts(lexicon: Lexicon, text: str) -> set[str]:
 
 
 def _features(text: Column, lexicon: Lexicon) -> Column:
-    @F.pandas_udf("a double, b double")
-    def features(texts: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([lexicon.features(t or "") for t in texts], columns=["a", "b"])
+    @F.arrow_udf("struct<a: double, b: double>")
+    @lean.released
+    def features(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for texts in batches:
+            found = [lexicon.features(t.as_py() or "") for t in texts]
+            yield pa.array([{"a": a, "b": b} for a, b in found], type=pa.struct([("a", pa.float64()), ("b", pa.float64())]))
 
     return features(text)
 
@@ -261,10 +278,11 @@ def _features(text: Column, lexicon: Lexicon) -> Column:
 def toxicity(text: Column, lexicon: Lexicon) -> Column:
     """The score of a text column, 0 to 1; null counts as empty."""
 
-    @F.pandas_udf("double")
-    def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("double")
+    @lean.released
+    def score(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for texts in batches:
-            yield pd.Series([lexicon.score(t or "") for t in texts], dtype="float64")
+            yield pa.array((lexicon.score(t.as_py() or "") for t in texts), type=pa.float64())
 
     return score(text)
 
