@@ -8,7 +8,10 @@ fingerprint within the radius. Exact weighted-shingle similarity then decides.
 
 Only windows that share a shingle with some item are made: without one the
 similarity is zero. They start where that shingle puts the item's first word, one
-window for each run of matching shingles.
+window for each run of matching shingles, however many items have it there. The join on
+blocks holds to that anchor: a window meets the items that have its first matching
+shingle at that place, not all items of its length, so what items with a common
+beginning cost grows with their number, not with its square.
 
 Shingles are ``width`` lower-cased words, in items with fewer words all of them;
 the weight of a shingle is its number of letters. The similarity of a window and
@@ -23,7 +26,7 @@ from pyspark.sql import functions as F
 from tallyworks.llm import words
 from tallyworks.session import pin
 
-#: Items with more shingles than this are joined by a shuffle instead of a broadcast.
+#: More different anchors than this are joined by a shuffle instead of a broadcast.
 MOST_BROADCAST = 200_000
 BITS = 64
 
@@ -109,11 +112,20 @@ def item_table(benchmark: DataFrame, width: int) -> DataFrame:
     return items.withColumn("shingles", weighted(F.col("w"), F.col("k")))
 
 
-def windows(docs: DataFrame, items: DataFrame, width: int, id_col: str, text_col: str) -> DataFrame:
-    """doc_id, start, n, k and the words of each window that shares a shingle with an item."""
-    keys = items.select(
-        "n", "k", F.col("w").alias("item_w"), F.posexplode_outer(grams(F.col("w"), F.col("k"))).alias("q", "h")
-    ).select("n", "k", "q", "h", F.get("item_w", F.col("q") - 1).alias("before"))
+#: What a window shares with the items that it is compared with.
+ANCHOR = ["n", "k", "q", "h", "before"]
+
+
+def anchors(items: DataFrame) -> DataFrame:
+    """Every shingle h of every item: its place q and the word before it, empty for the first."""
+    placed = F.posexplode_outer(grams(F.col("w"), F.col("k"))).alias("q", "h")
+    before = F.coalesce(F.get("w", F.col("q") - 1), F.lit("")).alias("before")
+    return items.select("*", placed).select("*", before)
+
+
+def windows(docs: DataFrame, items: DataFrame, width: int, id_col: str, text_col: str) -> DataFrame | None:
+    """doc_id, start, the anchor and the words of each window that shares a shingle with an item."""
+    keys = anchors(items).select(*ANCHOR).distinct()
     # At most ``width`` shingle widths, nearly always one.
     sizes = sorted(r.k for r in items.select("k").distinct().collect())
     small = keys.count() <= MOST_BROADCAST
@@ -121,17 +133,18 @@ def windows(docs: DataFrame, items: DataFrame, width: int, id_col: str, text_col
     # The outer form of explode: the plain one adds a filter on the array's size, which
     # is moved below and there computed anew for every element.
     texts = docs.select(F.col(id_col).alias("doc_id"), words.text_or_empty(text_col).alias("t"))
-    texts = texts.select("doc_id", lower_words(F.col("t")).alias("d"))
+    # Where a text is joined back, null and repeated ids are told apart by a hash of the row.
+    texts = texts.select("doc_id", lower_words(F.col("t")).alias("d"), F.xxhash64("doc_id", "t").alias("row"))
     for k in sizes:
         of_width = keys.where(F.col("k") == k)
-        made = texts.select("doc_id", "d", grams(F.col("d"), k).alias("g"))
+        made = texts.select("doc_id", "row", "d", grams(F.col("d"), k).alias("g"))
         if small:
             found = made.select("doc_id", "d", F.posexplode_outer("g").alias("p", "h")).join(
                 F.broadcast(of_width), "h"
             )
         else:
-            found = made.select("doc_id", F.posexplode_outer("g").alias("p", "h")).join(of_width, "h")
-            found = found.join(texts.where("doc_id IS NOT NULL"), "doc_id")
+            found = made.select("row", F.posexplode_outer("g").alias("p", "h")).join(of_width, "h")
+            found = found.join(texts.dropDuplicates(["row"]), "row").drop("row")
         parts.append(found)
     if not parts:
         return None
@@ -144,8 +157,7 @@ def windows(docs: DataFrame, items: DataFrame, width: int, id_col: str, text_col
     return found.where(~inside).select(
         "doc_id",
         start.alias("start"),
-        "n",
-        "k",
+        *ANCHOR,
         F.slice("d", F.greatest(start, F.lit(0)) + 1, F.col("n") + F.least(start, F.lit(0))).alias("w"),
     )
 
@@ -166,10 +178,10 @@ def contaminated(
     similarity of ``percent`` fingerprints differ in 10 bits on average; ``radius`` lies
     more than three standard deviations above.
 
-    Null and empty texts and items hold nothing; repeated rows give one row; further
-    columns are left behind. The items are broadcast if they have at most
-    ``MOST_BROADCAST`` shingles; beyond that shingles are joined by a shuffle, and
-    rows without id, which no such join can follow, are left out there.
+    Null and empty texts and items hold nothing; repeated rows give one row, and so do all
+    rows without id; further columns are left behind. The different anchors are broadcast
+    if there are at most ``MOST_BROADCAST``; beyond that they are joined by a shuffle, with
+    the same result.
     """
     items = pin(item_table(benchmark, width))
     views = windows(docs, items, width, id_col, text_col)
@@ -180,13 +192,15 @@ def contaminated(
     count = radius + 1
     # Few rows are left here; written, no later condition can move below the scan.
     views = pin(views).withColumn("shingles", weighted(F.col("w"), F.col("k")))
-    views = views.select("doc_id", "start", "n", "shingles", simhash(F.col("shingles")).alias("bits"))
+    views = views.select("doc_id", "start", *ANCHOR, "shingles", simhash(F.col("shingles")).alias("bits"))
     views = views.withColumn("blocks", blocks(F.col("bits"), count))
     views = views.select("*", F.posexplode_outer("blocks").alias("block", "value"))
-    known = items.select("item_id", "n", F.col("shingles").alias("s"), simhash(F.col("shingles")).alias("b"))
+    known = items.select("item_id", "n", "k", "w", F.col("shingles").alias("s"), simhash(F.col("shingles")).alias("b"))
     known = known.withColumn("item_blocks", blocks(F.col("b"), count))
+    # Written, so that fingerprints are made once per item, not once per anchor.
+    known = anchors(pin(known)).drop("w")
     known = known.select("*", F.posexplode_outer("item_blocks").alias("block", "value"))
-    pairs = views.join(known, ["n", "block", "value"])
+    pairs = views.join(known, [*ANCHOR, "block", "value"])
     # A pair may meet in several blocks; the first one counts.
     met = F.zip_with("blocks", "item_blocks", lambda x, y: x == y)
     pairs = pairs.where(F.array_position(met, F.lit(True)) == F.col("block") + 1)

@@ -5,8 +5,9 @@ begin of a secret, inside one, or outside; its weights cover a token's shape, th
 two words before and the one after it, and how much of the file looks like
 settings. It is trained in numpy on windows around base spans (weak labels, with
 the neighbouring words and the shape each hidden at random, so that either alone
-suffices) and on windows without any. Viterbi decoding runs over all texts of a
-batch at once. Tagged runs that touch no base span are added as kind ``crf``.
+suffices), on copies of them in which value and key word are replaced by others that no
+base pattern knows, and on windows without any. Viterbi decoding runs over many texts at
+once. What a tagged run has outside the base spans is added as kind ``crf``.
 """
 
 from __future__ import annotations
@@ -19,11 +20,11 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyworks.llm import words
+from tallyworks.llm import lean, words
 
 KINDS = ("assign", "access", "hex", "crf")
 ASSIGN = re.compile(
@@ -36,6 +37,7 @@ HEX = re.compile(r"[0-9a-f]{24,}")
 KEYWORD = re.compile(r"passw|secret|token|api_?key", re.IGNORECASE | re.ASCII)
 
 TOKEN = re.compile(r"[\w+/.\-]+={0,2}|[^\w\s]")
+WORD = re.compile(r"[^\W_]")
 OUT, BEGIN, INSIDE = 0, 1, 2
 #: Buckets for the identity of a neighbouring word.
 BUCKETS = 1024
@@ -217,6 +219,18 @@ class Tagger:
         return [(a, b) for a, b in spans if b - a >= least]
 
 
+    def spans(self, text: str, tags: np.ndarray) -> list[Span]:
+        """The base spans, and what tagged runs have outside them where a word character is."""
+        base = base_spans(text)
+        more = [
+            (x, y, "crf")
+            for a, b in self.extra_spans(text, tags)
+            for x, y in beside(a, b, base)
+            if WORD.search(text, x, y)
+        ]
+        return sorted([*base, *more], key=lambda s: (s[0], KINDS.index(s[2])))
+
+
 def viterbi(emissions: list[np.ndarray], moves: np.ndarray) -> list[np.ndarray]:
     """Best paths of many chains at once; of equal paths the one with the lower tags."""
     lengths = np.array([len(e) for e in emissions], dtype=np.int64)
@@ -253,30 +267,92 @@ def viterbi(emissions: list[np.ndarray], moves: np.ndarray) -> list[np.ndarray]:
     return paths
 
 
-def training_windows(text: str, reach: int = 10) -> list[tuple[list[str], list[int], int]]:
-    """Token windows around each secret value, and one from the middle of the text."""
-    values = secret_values(text)
+Window = tuple[list[str], list[int], int]
+#: Windows taken from one row at most, those whose hashes are lowest.
+PER_ROW = 32
+
+
+def training_windows(text: str, reach: int = 10) -> list[Window]:
+    """Token windows around each secret value, one from the middle of the text and one around
+    its longest token outside the values, which is most like a secret.
+
+    Of a text with more than ``PER_ROW`` values those windows that hash lowest.
+    """
+    values = sorted(secret_values(text))
+    starts = [a for a, _ in values]
     tokens, tags, centres = [], [], []
     for m in TOKEN.finditer(text):
         tag = OUT
-        for a, b in values:
-            if m.start() < b and m.end() > a:
-                first = m.start() <= a
-                tag = BEGIN if first else INSIDE
-                if first:
+        # The values that begin before the token ends; the last of them reaches furthest or all overlap.
+        for a, b in values[max(0, bisect_right(starts, m.end() - 1) - 3) : bisect_right(starts, m.end() - 1)]:
+            if m.start() < b:
+                tag = BEGIN if m.start() <= a else INSIDE
+                if tag == BEGIN:
                     centres.append(len(tokens))
                 break
         tokens.append(m[0])
         tags.append(tag)
     feature = file_feature(text)
-    centres = [*centres[:4], len(tokens) // 2] if tokens else []
-    return [
-        (tokens[max(0, c - reach) : c + reach], tags[max(0, c - reach) : c + reach], feature)
-        for c in centres
-    ]
+
+    def window(centre: int) -> Window:
+        part = slice(max(0, centre - reach), centre + reach)
+        return tokens[part], tags[part], feature
+
+    found = [window(c) for c in centres]
+    if len(found) > PER_ROW:
+        found = sorted(found, key=lambda w: (zlib.crc32(" ".join(w[0]).encode()), w))[:PER_ROW]
+    if not tokens:
+        return []
+    longest = max(range(len(tokens)), key=lambda k: (tags[k] == OUT) * len(tokens[k]))
+    return [*found, window(len(tokens) // 2), window(longest)]
 
 
-def fit(windows: list[tuple[list[str], list[int], int]], rounds: int = 150, seed: int = 7) -> Field:
+# Words that announce a secret and that no base pattern knows.
+KEY_WORDS = ("passphrase", "pwd", "pin", "bearer", "auth", "credential", "credentials", "apikey", "private_key", "client_key", "session_key", "signature")
+ALPHANUMERIC = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+#: Starts of issued keys, and how many characters follow.
+ISSUED = (("sk_live_", 24), ("ghp_", 36), ("xoxb-", 28), ("", 40), ("", 22), ("rk_", 30))
+
+
+def varied(windows: list[Window], copies: int = 2, seed: int = 11) -> list[Window]:
+    """Copies of the windows that hold one secret, each with another value and key word.
+
+    Values are issued keys, passphrases of known words joined by hyphens, and random text;
+    key words stand before them with a sign between. A third of the copies of keys keep no
+    announcing word at all, so that their shape alone must do.
+    """
+    random = np.random.default_rng(seed)
+    plain = sorted({t.lower() for tokens, tags, _ in windows for t, g in zip(tokens, tags) if g == OUT and t.isalpha() and 3 <= len(t) <= 9})
+    made = []
+    for tokens, tags, feature in windows * copies:
+        begin = [k for k, tag in enumerate(tags) if tag == BEGIN]
+        if len(begin) != 1 or not plain:
+            continue
+        first = begin[0]
+        last = first + 1
+        while last < len(tags) and tags[last] == INSIDE:
+            last += 1
+        words_only = random.random() < 0.3
+        if words_only:
+            value = "-".join(random.choice(plain, int(random.integers(3, 6))))
+        else:
+            start, length = ISSUED[int(random.integers(len(ISSUED)))]
+            value = start + "".join(random.choice(list(ALPHANUMERIC), length))
+        if words_only or random.random() < 0.67:
+            key = str(random.choice(KEY_WORDS))
+            lead = [key.upper() if random.random() < 0.2 else key] + ([] if key == "bearer" else [str(random.choice([":", "="]))])
+        else:
+            lead = list(map(str, random.choice(plain, 2)))
+        parts = TOKEN.findall(value)
+        before = [t for t in tokens[: max(0, first - 3)]]
+        kept = list(zip(before, tags)) + [(t, OUT) for t in lead]
+        kept += [(t, INSIDE if k else BEGIN) for k, t in enumerate(parts)]
+        kept += list(zip(tokens[last:], tags[last:]))
+        made.append(([t for t, _ in kept][:24], [g for _, g in kept][:24], feature))
+    return made
+
+
+def fit(windows: list[Window], rounds: int = 150, seed: int = 7) -> Field:
     """Trains by gradient ascent on the log-likelihood, with a quadratic penalty.
 
     The gradient is the difference of observed and expected feature counts, the
@@ -362,32 +438,51 @@ def expectations(e: np.ndarray, moves: np.ndarray, real: np.ndarray) -> tuple[np
 def learn(
     docs: DataFrame, max_rows: int = 60_000, clean_every: int = 30, id_col: str = "doc_id", text_col: str = "text"
 ) -> Field:
-    """A field from about ``max_rows`` rows, chosen by a hash of the id.
+    """A field from about ``max_rows`` rows, chosen by a hash of id and text.
 
-    Of rows with base spans the windows around them are used, of the others one
-    window of every ``clean_every``-th row. Only windows reach the driver.
+    Of rows with base spans the windows around them are used (``PER_ROW`` of a row at most),
+    of the others one window of every ``clean_every``-th row. Rows that are equal in both
+    are chosen together and give their windows once, so what reaches the driver has a bound.
     """
 
-    @F.pandas_udf("array<struct<tokens: array<string>, tags: array<int>, file: int>>")
-    def windows(texts: pd.Series, clean: pd.Series) -> pd.Series:
-        return pd.Series(
-            [
-                [{"tokens": a, "tags": b, "file": c} for a, b, c in training_windows(t)]
-                if use or base_spans(t)
-                else []
-                for t, use in zip(texts, clean)
-            ]
-        )
+    kind = "tokens array<string>, tags array<int>, file int"
+
+    @lean.released
+    def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for some in lean.sliced(batch):
+                found: list[Window] = []
+                for text, use in zip(some.column(0), some.column(1)):
+                    text = text.as_py()
+                    if use.as_py() or base_spans(text):
+                        found += training_windows(text)
+                columns = ([w[k] for w in found] for k in range(3))
+                types = (pa.list_(pa.string()), pa.list_(pa.int32()), pa.int32())
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c, type=t) for c, t in zip(columns, types)], names=["tokens", "tags", "file"]
+                )
 
     share = int(1_000_000 * min(1.0, max_rows / max(docs.count(), 1)))
-    number = F.xxhash64(F.col(id_col).cast("string"))
+    text = words.text_or_empty(text_col)
+    number = F.xxhash64(F.col(id_col).cast("string"), text)
     rows = docs.where(F.pmod(number, F.lit(1_000_000)) < share).select(
-        words.text_or_empty(text_col).alias("text"),
-        (F.pmod(F.shiftright(number, 20), F.lit(clean_every)) == 0).alias("clean"),
+        text.alias("text"), (F.pmod(F.shiftright(number, 20), F.lit(clean_every)) == 0).alias("clean")
     )
-    taken = rows.select(F.explode(windows("text", "clean")).alias("w")).select("w.*")
-    order = sorted((list(r.tokens), list(r.tags), r.file) for r in taken.collect())
-    return fit(order)
+    taken = rows.mapInArrow(windows, kind).distinct().collect()
+    order = sorted((list(r.tokens), list(r.tags), r.file) for r in taken)
+    return fit(order + varied(order))
+
+
+def beside(a: int, b: int, base: list[Span]) -> list[tuple[int, int]]:
+    """What the characters from a to b have outside the base spans, which come in order."""
+    parts = []
+    for x, y, _ in base:
+        if y <= a or x >= b:
+            continue
+        if a < x:
+            parts.append((a, x))
+        a = max(a, y)
+    return [*parts, (a, b)] if a < b else parts
 
 
 def spans(text: Column, crf: Field) -> Column:
@@ -396,22 +491,21 @@ def spans(text: Column, crf: Field) -> Column:
     An array of (start, end, kind) by start, then kind; code points, end exclusive.
     """
 
-    @F.pandas_udf("array<struct<start: bigint, end: bigint, kind: string>>")
-    def scan(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("kind", pa.string())]))
+
+    @F.arrow_udf("array<struct<start: bigint, end: bigint, kind: string>>")
+    @lean.released
+    def scan(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         tagger = Tagger(crf)
         for texts in batches:
-            results: list[list[dict]] = []
-            values = [t or "" for t in texts]
-            for first in range(0, len(values), 250):
-                part = values[first : first + 250]
-                for text, tags in zip(part, tagger.tag(part)):
-                    found = base_spans(text)
-                    for a, b in tagger.extra_spans(text, tags):
-                        if not any(a < y and x < b for x, y, k in found if k != "crf"):
-                            found.append((a, b, "crf"))
-                    found.sort(key=lambda s: (s[0], KINDS.index(s[2])))
-                    results.append([{"start": a, "end": b, "kind": k} for a, b, k in found])
-            yield pd.Series(results)
+            results: list[pa.Array] = []
+            for some in lean.sliced(texts):
+                part = [t or "" for t in some.to_pylist()]
+                rows = [tagger.spans(text, tags) for text, tags in zip(part, tagger.tag(part))]
+                results.append(
+                    pa.array([[{"start": a, "end": b, "kind": k} for a, b, k in r] for r in rows], type=kind)
+                )
+            yield pa.concat_arrays(results) if results else pa.array([], type=kind)
 
     return scan(text)
 

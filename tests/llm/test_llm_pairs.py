@@ -195,3 +195,29 @@ def test_leaks_without_broadcast_and_empty(spark, monkeypatch):
     assert [r.doc_id for r in decontamination.contaminated(docs, benchmark).collect()] == [1]
     assert decontamination.contaminated(docs, benchmark.limit(0)).count() == 0
     assert decontamination.contaminated(docs.limit(0), benchmark).count() == 0
+
+
+def test_items_with_one_beginning_stay_linear(spark):
+    """A window is made once, and meets each item that begins like it once a block."""
+    rng = random.Random(3)
+    start = "question answer the following about the text with one letter only please".split()
+    words = [f"w{k}" for k in range(500)]
+    texts = [(k, " ".join(rng.choices(words, k=9) + start + rng.choices(words, k=9))) for k in range(8)]
+    leak = " ".join(start + rng.choices(words, k=10))
+    docs = frame(spark, [*texts, (50, "so " + leak + " end")])
+    for n in (30, 60):
+        items = [(k, " ".join(start + rng.choices(words, k=10))) for k in range(n)] + [(1000, leak), (1001, leak)]
+        benchmark = spark.createDataFrame(items, "item_id long, text string")
+        made = decontamination.windows(docs, decontamination.item_table(benchmark, 5), 5, "doc_id", "text")
+        assert made.count() == 9
+        got = decontamination.contaminated(docs, benchmark).collect()
+        assert sorted((r.doc_id, r.item_id, r.similarity) for r in got) == [(50, 1000, 1.0), (50, 1001, 1.0)]
+
+
+@pytest.mark.parametrize("most", [0, 200_000])
+def test_null_and_shared_ids_leak_alike(spark, monkeypatch, most):
+    monkeypatch.setattr(decontamination, "MOST_BROADCAST", most)
+    benchmark = spark.createDataFrame([(1, PROSE)], "item_id long, text string")
+    docs = frame(spark, [(None, "x " + PROSE), (None, "y"), (5, "clean"), (5, "z " + PROSE), (5, "z " + PROSE)])
+    got = decontamination.contaminated(docs, benchmark).collect()
+    assert sorted(((r.doc_id, r.item_id, r.start) for r in got), key=str) == [(5, 1, 1), (None, 1, 1)]

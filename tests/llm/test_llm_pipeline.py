@@ -78,8 +78,43 @@ def test_leaks_go_and_secrets_are_blotted_out(spark, folder):
     assert all(r.n_chars == len(r.text or "") for r in blotted)
 
 
+def test_rows_are_judged_by_their_own_text(spark, folder):
+    """Ids shared by different texts, rows without id, copies with other columns."""
+    other = " ".join(f"plain{k}" for k in range(40))
+    rows = [
+        (1, PROSE, "a"), (1, other, "a"), (1, ITEM + " " + other, "a"), (2, PROSE, "b"), (3, other, "c"), (4, "one", "d"),
+        (4, "one", "d"), (4, "two", "d"), (7, PROSE, "z"), (7, PROSE, "y"), (None, PROSE, "n"), (None, "x " + ITEM, "n"), (None, None, "n"),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    kept = stage("ngram_join")(spark, docs, folder).collect()
+    assert sorted(map(tuple, kept), key=str) == sorted([
+        (1, PROSE, "a"), (1, other, "a"), (1, ITEM + " " + other, "a"), (4, "one", "d"), (4, "two", "d"),
+        (None, PROSE, "n"), (None, "x " + ITEM, "n"), (None, None, "n"),
+    ], key=str)
+    seven = [r for r in stage("ngram_join")(spark, docs.where("doc_id = 7"), folder).collect()]
+    assert [tuple(r) for r in seven] == [(7, PROSE, "y")]
+    clean = stage("decontamination")(spark, docs, folder).collect()
+    assert sorted(map(tuple, clean), key=str) == sorted([r for r in rows if ITEM not in (r[1] or "")], key=str)
+
+
 def test_run_packs_what_is_left(spark, folder):
+    """The whole run, against the stages by brute force: every document, every token count."""
+    import tiktoken  # noqa: F401  the encoder's library
+
+    from tallyworks.llm import packing
+    from tallyworks.llm.queries import vocabulary
+
     packed = corpus_pipeline.run(spark, folder)
     assert {"doc_id", "start", "length", "ids_crc32", "sequence_id", "offset"} <= set(packed.columns)
-    kept = {r.doc_id for r in packed.select("doc_id").distinct().collect()}
-    assert 5000 in kept and 1000 not in kept and 1001 not in kept and 101 not in kept and 100 in kept
+    rows = [(r.doc_id, r.text) for r in read(spark, folder).collect()]
+    rows = list(dict.fromkeys(r for r in rows if not any(b in (r[1] or "") for b in BAD)))
+    group = components([r for r in rows if r[0] is not None])
+    rows = [r for r in rows if (r[0] is None or group[r[0]] == r[0]) and ITEM not in (r[1] or "")]
+    got = {}
+    for r in packed.collect():
+        got[r.doc_id] = got.get(r.doc_id, 0) + r.length
+    assert got.keys() == {d for d, _ in rows}
+    encode = packing.encoder(vocabulary("byte_bpe_50k.tiktoken"))
+    for doc, text in rows:
+        if not secret_scan.base_spans(text or ""):
+            assert got[doc] == len(encode(text or "")) + 1, doc

@@ -155,10 +155,10 @@ def test_base_spans_by_the_plain_patterns():
         assert secret_scan.base_spans(text) == oracle_spans(text), text
 
 
-def secret_docs():
+def secret_docs(n=300):
     rng = random.Random(12)
     docs = []
-    for k in range(300):
+    for k in range(n):
         text = rng.sample(PROSE.split(), 30)
         value = "".join(rng.choices("0123456789abcdef", k=40))
         if k % 3 == 0:
@@ -183,6 +183,64 @@ def test_field_finds_what_the_patterns_miss(spark):
     assert secret_scan.scan_documents(frame(spark, AWKWARD), nothing).count() == len(AWKWARD)
 
 
+def test_field_finds_planted_keys_no_pattern_knows(spark):
+    """Issued keys, also of a start not trained on, bearer tokens and passphrases; prose stays."""
+    crf = secret_scan.learn(frame(spark, secret_docs(1200)), clean_every=2)
+    tagger, rng = secret_scan.Tagger(crf), random.Random(77)
+    letters = secret_scan.ALPHANUMERIC
+    forms = {
+        "issued": lambda: ("", "sk_live_" + "".join(rng.choices(letters, k=24))),
+        "unknown start": lambda: ("", "glpat-" + "".join(rng.choices(letters, k=20))),
+        "bearer": lambda: ("Authorization: Bearer ", "".join(rng.choices(letters, k=32))),
+        "passphrase": lambda: ("passphrase: ", "-".join(rng.sample(PROSE.split(), 4))),
+    }
+    for name, form in forms.items():
+        found = 0
+        for _ in range(60):
+            words, (lead, value) = rng.sample(PROSE.split(), 20), form()
+            assert not secret_scan.base_spans(f"{lead}{value}")
+            text = " ".join(words[:10]) + f" {lead}"
+            a, text = len(text), text + value + " " + " ".join(words[10:])
+            spans = tagger.spans(text, tagger.tag([text])[0])
+            found += any(x <= a and a + len(value) <= y and k == "crf" for x, y, k in spans)
+        assert found >= (30 if name == "unknown start" else 50), (name, found)
+    prose = [" ".join(rng.sample(PROSE.split(), 40)) for _ in range(200)]
+    assert sum(bool(tagger.spans(t, g)) for t, g in zip(prose, tagger.tag(prose))) <= 2
+
+
+def test_tagged_runs_keep_what_base_spans_leave(spark):
+    hexed = "0123456789abcdef0123456789"
+    text = f"see prefix_{hexed}XYZtail now"
+    base = secret_scan.base_spans(text)
+    assert base == [(11, 37, "hex")]
+    assert secret_scan.beside(4, 44, base) == [(4, 11), (37, 44)]
+    assert secret_scan.beside(11, 37, base) == [] and secret_scan.beside(0, 5, base) == [(0, 5)]
+    assert secret_scan.beside(2, 9, [(0, 3, "hex"), (5, 6, "hex"), (8, 20, "hex")]) == [(3, 5), (6, 8)]
+    tags = np.array([0, 1, 0], dtype=np.int8)
+    spans = secret_scan.Tagger(secret_scan.fit([])).spans(text, tags)
+    assert spans == [(4, 11, "crf"), (11, 37, "hex"), (37, 44, "crf")]
+    made = spark.createDataFrame([(text, [dict(zip(("start", "end", "kind"), s)) for s in spans])], "text string, spans array<struct<start: bigint, end: bigint, kind: string>>")
+    assert made.select(secret_scan.redacted(made.text, made.spans, "#").alias("t")).first().t == "see ### now"
+
+
+def test_training_windows_of_long_settings():
+    many = "\n".join(f"token = {k:04d}{'0a1b2c3d' * 4}" for k in range(200))
+    windows = secret_scan.training_windows(many)
+    assert len(windows) == secret_scan.PER_ROW + 2
+    few = secret_scan.training_windows("token = aaaaaa1 and secret: bbbbbb2 and api_key=cccccc3 then passwd = dddddd4, token: eeeeee5")
+    assert sum(secret_scan.BEGIN in tags for _, tags, _ in few) >= 5
+    assert secret_scan.training_windows("") == []
+    copies = secret_scan.varied(few)
+    assert copies and all(len(a) == len(b) and secret_scan.BEGIN in b for a, b, _ in copies)
+
+
+def test_repeated_and_null_ids_give_their_windows_once(spark):
+    rows = [(None, t) for _, t in secret_docs()] * 3 + [(7, secret_docs()[0][1])] * 500
+    once = secret_scan.learn(frame(spark, [(None, t) for _, t in secret_docs()]), clean_every=2)
+    again = secret_scan.learn(frame(spark, rows), clean_every=2)
+    assert again.shapes.shape == once.shapes.shape and np.abs(again.shapes - once.shapes).max() < 1.0
+
+
 def test_viterbi_by_all_paths():
     from itertools import product
 
