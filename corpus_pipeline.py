@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from tallyworks.llm import decontamination, ngram_join, packing, secret_scan, toxicity, words
 from tallyworks.llm.queries import vocabulary
+from tallyworks.operators import aggregates
 from tallyworks.session import new_shared_folder, pin
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -28,29 +29,45 @@ def without_toxic(spark: SparkSession, docs: DataFrame, folder: str) -> DataFram
     return scored.where(scored[score] < 0.5).drop(score)
 
 
+def keyed(docs: DataFrame) -> tuple[DataFrame, str]:
+    """The rows with a key of their own: rows that differ in id or text differ in it."""
+    key = words.unused("key")
+    return docs.withColumn(key, F.xxhash64("doc_id", F.col("text").isNull(), "text")), key
+
+
 def one_of_each_group(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """Of each group of near copies the document with the smallest id.
+    """Of each group of near copies the row with the smallest id stays.
 
-    Texts without a word are in no group and stay. Of rows that share an id one
-    stays, if any of them is the one its group keeps. Rows without id stay.
+    Rows without id and texts without a word are in no group and stay. Rows that share an
+    id are judged each by its own text; of rows with the same id and text one stays.
     """
-    grouped = ngram_join.similarity_join(docs.select("doc_id", "text"))
-    judged = grouped.where("doc_id IS NOT NULL").groupBy("doc_id").agg(
-        F.bool_and(F.col("doc_id") != F.col("component_id")).alias("goes"), F.count("*").alias("rows")
-    )
-    judged = pin(judged.where("goes OR rows > 1"))
-    # Without the ids that go or repeat, which are far fewer than those that stay.
-    kept = docs.join(judged.select("doc_id"), "doc_id", "left_anti")
-    repeated = docs.join(judged.where("NOT goes").select("doc_id"), "doc_id", "left_semi")
-    return kept.unionByName(repeated.dropDuplicates(["doc_id"])).select(*docs.columns)
+    rows, key = keyed(docs)
+    named = rows.where("doc_id IS NOT NULL").select(F.col(key).alias("doc_id"), "text", F.col("doc_id").alias("id"))
+    grouped = ngram_join.similarity_join(named).where("n_shingles > 0")
+    members = grouped.groupBy("doc_id").agg(F.min("component_id").alias("group"), F.count("*").alias("rows"))
+    groups = members.groupBy("group").agg(F.sum("rows").alias("size")).where("size > 1").select("group")
+    # Members of groups of more than one row are far fewer than all rows.
+    members = pin(members.join(groups, "group", "left_semi"))
+    ids = named.select("doc_id", "id").distinct()
+    first = members.join(ids, "doc_id").groupBy("group").agg(F.min(F.struct("id", "doc_id"))["doc_id"].alias("doc_id"))
+    first = pin(first.select("doc_id"))
+    again = members.where("rows > 1").join(first, "doc_id", "left_semi").select("doc_id")
+    goes = members.join(first, "doc_id", "left_anti").select("doc_id").unionByName(again)
+    # Rows without id have keys, but those of no member.
+    kept = rows.join(goes.withColumnRenamed("doc_id", key), key, "left_anti")
+    repeated = rows.join(again.withColumnRenamed("doc_id", key), key, "left_semi")
+    return kept.unionByName(aggregates.one_per_key(repeated, [key])).select(*docs.columns)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """Documents that hold no item of the benchmark. Rows without id stay."""
-    found = decontamination.contaminated(docs.select("doc_id", "text"), words.read(spark, folder, "benchmark"))
+    """Documents that hold no item of the benchmark, each judged by its own text."""
+    rows, key = keyed(docs)
+    found = decontamination.contaminated(
+        rows.select(F.col(key).alias("doc_id"), "text"), words.read(spark, folder, "benchmark")
+    )
     # Written, so that the planner knows how small it is.
-    leaks = pin(found.where("doc_id IS NOT NULL").select("doc_id").distinct())
-    return docs.join(leaks, "doc_id", "left_anti").select(*docs.columns)
+    leaks = pin(found.select(F.col("doc_id").alias(key)).distinct())
+    return rows.join(leaks, key, "left_anti").select(*docs.columns)
 
 
 def without_secrets(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
