@@ -191,19 +191,22 @@ def contaminated(
         )
     count = radius + 1
     # Few rows are left here; written, no later condition can move below the scan.
-    views = pin(views).withColumn("shingles", weighted(F.col("w"), F.col("k")))
-    views = views.select("doc_id", "start", *ANCHOR, "shingles", simhash(F.col("shingles")).alias("bits"))
-    views = views.withColumn("blocks", blocks(F.col("bits"), count))
-    views = views.select("*", F.posexplode_outer("blocks").alias("block", "value"))
+    views = pin(views.withColumn("view", F.monotonically_increasing_id()))
+    views = views.withColumn("shingles", weighted(F.col("w"), F.col("k")))
+    signed = views.select("view", "doc_id", "start", *ANCHOR, "shingles", simhash(F.col("shingles")).alias("bits"))
+    signed = pin(signed.withColumn("blocks", blocks(F.col("bits"), count)))
     known = items.select("item_id", "n", "k", "w", F.col("shingles").alias("s"), simhash(F.col("shingles")).alias("b"))
     known = known.withColumn("item_blocks", blocks(F.col("b"), count))
     # Written, so that fingerprints are made once per item, not once per anchor.
-    known = anchors(pin(known)).drop("w")
-    known = known.select("*", F.posexplode_outer("item_blocks").alias("block", "value"))
-    pairs = views.join(known, [*ANCHOR, "block", "value"])
-    # A pair may meet in several blocks; the first one counts.
-    met = F.zip_with("blocks", "item_blocks", lambda x, y: x == y)
-    pairs = pairs.where(F.array_position(met, F.lit(True)) == F.col("block") + 1)
+    known = pin(known.withColumn("item", F.monotonically_increasing_id()))
+    # Only numbers meet on the blocks; each pair once, whatever blocks it meets in.
+    ours = signed.select("view", *ANCHOR, F.posexplode_outer("blocks").alias("block", "value"))
+    theirs = anchors(known.select("item", "n", "k", "w", "item_blocks")).select(
+        "item", *ANCHOR, F.posexplode_outer("item_blocks").alias("block", "value")
+    )
+    met = ours.join(theirs, [*ANCHOR, "block", "value"]).select("view", "item").distinct()
+    pairs = met.join(signed.select("view", "doc_id", "start", "shingles", "bits"), "view")
+    pairs = pairs.join(known.select("item", "item_id", "s", "b"), "item")
     pairs = pairs.withColumn("distance", distance(F.col("bits"), F.col("b"))).where(
         F.col("distance") <= radius
     )

@@ -13,11 +13,12 @@ Counts of the ``MOST_HOT`` most frequent words go to every task. The other words
 are counted per document and meet the table of counts in a join; none of them can
 be more than one in ``MOST_HOT`` of all words, so no key of that join is hot.
 
-Training covers every document: each task starts from the same weights, takes
-gradient steps over the rows it reads, and gives its weights with its number of
-words; Spark averages them, weight by weight. A first, short round over one
-document in sixteen starts from random weights, the second over all starts from
-its mean.
+Training covers every document: rows are dealt by a hash of id and text into shares of
+about ``SHARE`` words, in the order of that hash, so neither files nor splits matter. A
+task starts from the same weights as all, takes gradient steps over its share, and gives
+its weights with its number of words; Spark averages them, weight by weight. A first,
+short round over one document in sixteen starts from random weights, the second over all
+starts from its mean.
 """
 
 from __future__ import annotations
@@ -32,14 +33,16 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyworks.llm import words
+from tallyworks.llm import lean
 from tallyworks.session import pin
 
 GROUPS = SIZE = 32  # at least so many entries: GROUPS x SIZE
 ENDINGS = 256
 REACH, WIDTH, HIDDEN = 2, 8, 16
 PAD = GROUPS * SIZE
-BLOCK = 16_384
+#: Words of a gradient step, and of the share of the corpus that one task trains on.
+BLOCK = 8_192
+SHARE = 4_000_000
 #: Words whose counts every task holds, at most.
 MOST_HOT = 200_000
 #: Words and characters a task counts before it hands its counts on.
@@ -75,6 +78,7 @@ class Vocabulary:
     inside: dict[str, float] = field(default_factory=dict)
     counts: DataFrame | None = None
     totals: np.ndarray = field(default_factory=lambda: np.zeros(ENDINGS))
+    n_words: int = 0
     seen: dict[str, int] = field(default_factory=dict)
 
     def __reduce__(self):
@@ -122,6 +126,7 @@ class Network:
     def __init__(self, weights: dict[str, np.ndarray]):
         self.w = weights
         self.side = len(weights["word"])
+        self.tables: list[np.ndarray] = []
         self.squares = {k: np.full(v.shape, 1e-3, dtype=np.float32) for k, v in weights.items()}
 
     @classmethod
@@ -141,71 +146,124 @@ class Network:
     def vector(self) -> np.ndarray:
         return np.concatenate([self.w[name].ravel() for name in shapes(self.side)])
 
+    def hidden(self, context: np.ndarray) -> np.ndarray:
+        """The hidden layer and a one, for the entries around each place.
+
+        Entries times their slice of the weights are made once a call for the whole table,
+        so a place gathers and adds narrow rows.
+        """
+        h = np.ones((len(context), HIDDEN + 1), dtype=np.float32)
+        total = np.broadcast_to(self.w["hidden"][-1], (len(context), HIDDEN)).copy()
+        for d in range(2 * REACH):
+            table = self.tables[d] if self.tables else self._table(d)
+            total += table.take(context[:, d], axis=0)
+        np.maximum(total, 0, out=h[:, :-1])
+        return h
+
+    def _table(self, d: int) -> np.ndarray:
+        return self.w["embed"] @ self.w["hidden"][d * WIDTH : (d + 1) * WIDTH]
+
+    def fixed(self) -> Network:
+        """This network with its tables kept; its weights must not change any more."""
+        self.tables = [self._table(d) for d in range(2 * REACH)]
+        return self
+
+    def _by_group(self, h: np.ndarray, group: np.ndarray):
+        order = np.argsort(group.astype(np.int16), kind="stable")
+        edges = np.searchsorted(group[order], np.arange(self.side + 1)).tolist()
+        scores = np.empty((len(group), self.side), dtype=np.float32)
+        sorted_h = h.take(order, axis=0)
+        for g, (a, b) in enumerate(zip(edges, edges[1:])):
+            if a < b:
+                np.matmul(sorted_h[a:b], self.w["word"][g], out=scores[a:b])
+        return order, edges, sorted_h, scores
+
+    def log_probability(self, flat: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """Log-probability of the entry at each place."""
+        h = self.hidden(around(flat, at))
+        group, place = np.divmod(flat[at], self.side)
+        log_group = log_softmax(h @ self.w["group"], group)
+        order, _, _, scores = self._by_group(h, group)
+        log_group[order] += log_softmax(scores, place[order])
+        return log_group
+
     def forward(self, flat: np.ndarray, at: np.ndarray):
         """Log-probability of the entry at each place, and what a gradient step needs."""
-        around = [d for d in range(-REACH, REACH + 1) if d]
-        context = np.stack([flat[at + d] for d in around], axis=1)
-        x = np.ones((len(at), 2 * REACH * WIDTH + 1), dtype=np.float32)
-        x[:, :-1] = self.w["embed"][context].reshape(len(at), -1)
-        h = np.ones((len(at), HIDDEN + 1), dtype=np.float32)
-        np.maximum(x @ self.w["hidden"], 0, out=h[:, :-1])
-        target = flat[at]
-        group, place = target // self.side, target % self.side
+        context = around(flat, at)
+        h = self.hidden(context)
+        group, place = np.divmod(flat[at], self.side)
         p_group, log_group = softmax(h @ self.w["group"], group)
-        order = np.argsort(group, kind="stable")
-        edges = np.searchsorted(group[order], np.arange(self.side + 1))
-        scores = np.empty((len(at), self.side), dtype=np.float32)
-        sorted_h = h[order]
-        for g in range(self.side):
-            a, b = edges[g], edges[g + 1]
-            if a < b:
-                scores[a:b] = sorted_h[a:b] @ self.w["word"][g]
-        p_word, log_sorted = softmax(scores, place[order])
-        log_word = np.empty_like(log_sorted)
-        log_word[order] = log_sorted
-        return log_group + log_word, (context, x, h, group, place, p_group, order, edges, sorted_h, p_word)
+        order, edges, sorted_h, scores = self._by_group(h, group)
+        place = place[order]
+        p_word, log_sorted = softmax(scores, place)
+        log_group[order] += log_sorted
+        return log_group, (context, h, group, place, p_group, order, edges, sorted_h, p_word)
 
     def step(self, flat: np.ndarray, at: np.ndarray, rate: float) -> None:
         """One step of ascent on the mean log-probability of these places."""
-        _, (context, x, h, group, place, p_group, order, edges, sorted_h, p_word) = self.forward(flat, at)
+        _, (context, h, group, place, p_group, order, edges, sorted_h, p_word) = self.forward(flat, at)
         n = len(at)
         rows = np.arange(n)
-        d_group = -p_group
-        d_group[rows, group] += 1
-        d_word = -p_word
-        d_word[rows, place[order]] += 1
-        d_h = d_group @ self.w["group"].T
-        grads = {"group": h.T @ d_group, "word": np.zeros_like(self.w["word"])}
+        # The gradients of the scores, less one at the entry that was there, with the sign turned.
+        p_group[rows, group] -= 1
+        p_word[rows, place] -= 1
+        grads = {"group": -(h.T @ p_group), "word": np.zeros_like(self.w["word"])}
+        d_h = p_group @ self.w["group"].T
         d_sorted = np.empty_like(sorted_h)
-        for g in range(self.side):
-            a, b = edges[g], edges[g + 1]
+        for g, (a, b) in enumerate(zip(edges, edges[1:])):
             if a < b:
-                grads["word"][g] = sorted_h[a:b].T @ d_word[a:b]
-                d_sorted[a:b] = d_word[a:b] @ self.w["word"][g].T
+                np.matmul(sorted_h[a:b].T, p_word[a:b], out=grads["word"][g])
+                np.matmul(p_word[a:b], self.w["word"][g].T, out=d_sorted[a:b])
+        np.negative(grads["word"], out=grads["word"])
         d_h[order] += d_sorted
-        d_hidden = d_h[:, :-1] * (h[:, :-1] > 0)
-        grads["hidden"] = x.T @ d_hidden
-        d_x = (d_hidden @ self.w["hidden"].T)[:, :-1].reshape(n * 2 * REACH, WIDTH)
-        embed = np.empty_like(self.w["embed"])
-        flat_context = context.ravel()
-        for j in range(WIDTH):
-            embed[:, j] = np.bincount(flat_context, weights=d_x[:, j], minlength=self.side * self.side + 1)
-        grads["embed"] = embed
+        d_hidden = -d_h[:, :-1]
+        d_hidden *= h[:, :-1] > 0
+        # The sum of gradients by entry and side, then through the products of the tables.
+        embed, hidden = np.zeros_like(self.w["embed"]), np.empty_like(self.w["hidden"])
+        hidden[-1] = d_hidden.sum(axis=0)
+        columns = np.ascontiguousarray(d_hidden.T)
+        for d in range(2 * REACH):
+            part = slice(d * WIDTH, (d + 1) * WIDTH)
+            summed = np.stack(
+                [np.bincount(context[:, d], weights=c, minlength=len(embed)) for c in columns], axis=1
+            ).astype(np.float32)
+            hidden[part] = self.w["embed"].T @ summed
+            embed += summed @ self.w["hidden"][part].T
+        grads |= {"hidden": hidden, "embed": embed}
         for name, g in grads.items():
             g /= n
             self.squares[name] += g * g
             self.w[name] += rate * g / np.sqrt(self.squares[name])
 
 
+def around(flat: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """The entries beside each place, those before it first."""
+    return np.stack([flat[at + d] for d in range(-REACH, REACH + 1) if d], axis=1)
+
+
 def softmax(scores: np.ndarray, target: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    scores -= scores.max(axis=1, keepdims=True)
-    chosen = scores[np.arange(len(scores)), target].copy()
-    np.exp(scores, out=scores)
+    chosen = exponentials(scores, target)
     total = scores.sum(axis=1)
     scores /= total[:, None]
     return scores, chosen - np.log(total)
 
 
+def log_softmax(scores: np.ndarray, target: np.ndarray) -> np.ndarray:
+    return exponentials(scores, target) - np.log(scores.sum(axis=1))
+
+
+def exponentials(scores: np.ndarray, target: np.ndarray) -> np.ndarray:
+    """Makes scores their exponentials, and gives the score of the target before.
+
+    float32 has room for scores up to 80 beside each other; only larger ones are shifted.
+    """
+    if len(scores) and (scores.max() > 60 or scores.min() < -60):
+        scores -= scores.max(axis=1, keepdims=True)
+    chosen = scores[np.arange(len(scores)), target]
+    np.exp(scores, out=scores)
+    return chosen
+
+
 def laid_out(texts: list[str | None], vocabulary: Vocabulary) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """All words in one line with padding around each text, where the words are, words per text."""
     return laid_out_tokens([tokens_of(t) for t in texts], vocabulary)
@@ -224,11 +282,13 @@ def laid_out_tokens(texts: list[list[str]], vocabulary: Vocabulary) -> tuple[np.
 def count_words(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """(word, n) of all words; counted in the tasks, by the same rule as when scoring."""
 
+    @lean.released
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: Counter[str] = Counter()
         read = 0
         for batch in batches:
-            for text in batch.column(0).to_pylist():
+            for text in batch.column(0):
+                text = text.as_py()
                 counts.update(tokens_of(text))
                 read += len(text or "")
                 if len(counts) > COUNTED or read > READ:
@@ -276,18 +336,18 @@ def learn_vocabulary(docs: DataFrame, text_col: str = "text") -> Vocabulary:
         totals[bucket(r.word)] -= r.n
     inside = {r.word: 0.0 for r in top[: len(known)]}
     inside |= {r.word: float(np.log(r.n / totals[bucket(r.word)])) for r in top[len(known) :]}
-    return Vocabulary(known, side, inside, counts, totals)
+    return Vocabulary(known, side, inside, counts, totals, total)
 
 
 def train_round(texts: DataFrame, vocabulary: Vocabulary, start: np.ndarray, rate: float) -> np.ndarray:
     """The mean, by number of words, of the weights of all tasks; ``start`` if there is no word."""
 
+    @lean.released
     def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         network, trained = Network.of_vector(start, vocabulary.side), 0
         for batch in batches:
-            values = batch.column(0).to_pylist()
-            for first in range(0, len(values), 500):
-                flat, at, _ = laid_out(values[first : first + 500], vocabulary)
+            for some in lean.sliced(batch, 500):
+                flat, at, _ = laid_out(some.column(0).to_pylist(), vocabulary)
                 for a in range(0, len(at), BLOCK):
                     network.step(flat, at[a : a + BLOCK], rate)
                 trained += len(at)
@@ -311,12 +371,22 @@ def train_round(texts: DataFrame, vocabulary: Vocabulary, start: np.ndarray, rat
 
 
 def learn(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> tuple[Vocabulary, np.ndarray]:
-    """Vocabulary and weights from all documents."""
+    """Vocabulary and weights from all documents, the same for the same rows in any files.
+
+    Rows that are equal in id and text are in one share; a table that repeats one such row
+    very often makes a long task.
+    """
     vocabulary = learn_vocabulary(docs, text_col)
-    text = F.col(text_col).cast("string").alias("text")
-    first = docs.where(F.pmod(F.xxhash64(id_col), F.lit(16)) == 0).select(text)
-    weights = train_round(first, vocabulary, Network.random(side=vocabulary.side).vector(), 0.1)
-    return vocabulary, train_round(docs.select(text), vocabulary, weights, 0.05)
+    text = F.col(text_col).cast("string")
+    rows = docs.select(text.alias("text"), F.xxhash64(F.col(id_col), text).alias("h"))
+
+    def dealt(some: DataFrame, part: int) -> DataFrame:
+        shares = -(-vocabulary.n_words // (SHARE * part)) or 1
+        return some.repartition(shares, "h").sortWithinPartitions("h", "text").select("text")
+
+    start = Network.random(side=vocabulary.side).vector()
+    weights = train_round(dealt(rows.where(F.pmod("h", F.lit(16)) == 0), 16), vocabulary, start, 0.1)
+    return vocabulary, train_round(dealt(rows, 1), vocabulary, weights, 0.05)
 
 
 def score_documents(
@@ -331,14 +401,15 @@ def score_documents(
     vocabulary, weights = model
     side = vocabulary.side
 
+    @lean.released
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        network = Network.of_vector(weights, side)
+        network = Network.of_vector(weights, side).fixed()
         for batch in batches:
             for first in range(0, batch.num_rows, 500):
                 part = batch.slice(first, 500)
                 texts = [tokens_of(t) for t in part.column(1).to_pylist()]
                 flat, at, counts = laid_out_tokens(texts, vocabulary)
-                logs = [network.forward(flat, at[a : a + BLOCK])[0] for a in range(0, len(at), BLOCK)]
+                logs = [network.log_probability(flat, at[a : a + BLOCK]) for a in range(0, len(at), BLOCK)]
                 sums = np.concatenate([[0.0], np.cumsum(np.concatenate(logs), dtype=np.float64)]) if logs else np.zeros(1)
                 ends = np.cumsum(counts)
                 shares = [vocabulary.shares(t) for t in texts]

@@ -397,12 +397,16 @@ def fit(windows: list[Window], rounds: int = 150, seed: int = 7) -> Field:
         e = np.where(real[:, :, None], e, 0.0)
         marginal, expected_pair = expectations(e, moves, real)
         difference = (gold - marginal) * real[:, :, None]
-        grads = [np.zeros((SHAPES + 1, 3)), np.zeros((3, BUCKETS + 1, 3)), np.zeros((FILE, 3)), None]
-        np.add.at(grads[0], o, difference[:, :, None, :].repeat(o.shape[2], axis=2))
-        for role in range(3):
-            np.add.at(grads[1][role], v[:, :, role], difference)
-        np.add.at(grads[2], kind, difference.sum(axis=1))
-        grads = [grads[0][:-1], grads[1][:, :-1], grads[2], pair - expected_pair]
+        each = [np.ascontiguousarray(difference[:, :, tag]).ravel() for tag in range(3)]
+        repeated = [np.repeat(d, o.shape[2]) for d in each]
+        grads = [
+            np.stack([np.bincount(o.ravel(), r, SHAPES + 1) for r in repeated], axis=1)[:-1],
+            np.stack(
+                [np.stack([np.bincount(v[:, :, role].ravel(), d, BUCKETS + 1) for d in each], axis=1)[:-1] for role in range(3)]
+            ),
+            np.stack([np.bincount(kind, difference[:, :, tag].sum(axis=1), FILE) for tag in range(3)], axis=1),
+            pair - expected_pair,
+        ]
         for p, g, s in zip(params, grads, speed):
             g = g / n - 1e-3 * p
             s += g * g

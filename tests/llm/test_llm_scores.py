@@ -120,6 +120,44 @@ def test_pseudo_likelihood_gradient_and_awkward_rows(spark):
     assert pseudo_likelihood.score_documents(frame(spark, []), empty).count() == 0
 
 
+def test_gradients_by_small_differences():
+    rng = np.random.default_rng(5)
+    network = pseudo_likelihood.Network.random(3, 8)
+    flat = rng.integers(0, 64, 60)
+    at = np.arange(2, 58)
+    fixed = pseudo_likelihood.Network.of_vector(network.vector(), 8).fixed()
+    assert np.allclose(fixed.log_probability(flat, at), network.forward(flat, at)[0], atol=1e-5)
+    before = {k: v.astype(np.float64) for k, v in network.w.items()}
+    network.squares = {k: np.full(v.shape, 1.0, dtype=np.float32) for k, v in network.w.items()}
+    stepped = pseudo_likelihood.Network.of_vector(network.vector(), 8)
+    stepped.squares = {k: np.full(v.shape, 1e12, dtype=np.float32) for k, v in network.w.items()}
+    stepped.step(flat, at, 1e8)  # so large a start of the squares leaves the gradient itself, times 100
+    for name, weights in before.items():
+        for place in rng.integers(0, weights.size, 12):
+            means = []
+            for change in (0.01, -0.01):
+                moved = {k: v.copy() for k, v in before.items()}
+                moved[name].ravel()[place] += change
+                tried = pseudo_likelihood.Network({k: v.astype(np.float64) for k, v in moved.items()})
+                means.append(tried.forward(flat, at)[0].mean(dtype=np.float64))
+            expected = (means[0] - means[1]) / 0.02
+            got = (stepped.w[name].ravel()[place] - weights.ravel()[place]) / 100
+            assert abs(got - expected) < 2e-4 + 0.05 * abs(expected), (name, place)
+
+
+def test_scores_do_not_depend_on_files(spark, monkeypatch):
+    monkeypatch.setattr(pseudo_likelihood, "SHARE", 3000)
+    rng = random.Random(6)
+    rows = [(k, " ".join(rng.choices(PROSE.split(), k=60))) for k in range(150)]
+    rows += [(None, PROSE), (3, PROSE), (3, PROSE)]
+    scores = []
+    for parts in (1, 13):
+        docs = frame(spark, rows).repartition(parts, "doc_id", "text") if parts > 1 else frame(spark, rows).coalesce(1)
+        got = pseudo_likelihood.score_documents(docs, pseudo_likelihood.learn(docs)).collect()
+        scores.append(sorted((str(r.doc_id), r.n_words, round(r.log_likelihood, 2)) for r in got))
+    assert scores[0] == scores[1]
+
+
 def test_every_word_has_a_probability_of_its_own(spark, monkeypatch):
     """Words of one bucket differ by their share of it, and a bucket's words share all of it."""
     monkeypatch.setattr(pseudo_likelihood, "MOST_HOT", 2500)
