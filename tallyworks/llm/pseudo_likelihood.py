@@ -45,6 +45,8 @@ BLOCK = 8_192
 SHARE = 4_000_000
 #: Words whose counts every task holds, at most.
 MOST_HOT = 200_000
+#: Other words whose bucket a task remembers, at most.
+REMEMBERED = 300_000
 #: Words and characters a task counts before it hands its counts on.
 COUNTED, READ = 300_000, 1 << 26
 Shapes = dict[str, tuple[int, ...]]
@@ -79,7 +81,7 @@ class Vocabulary:
     counts: DataFrame | None = None
     totals: np.ndarray = field(default_factory=lambda: np.zeros(ENDINGS))
     n_words: int = 0
-    seen: dict[str, int] = field(default_factory=dict)
+    seen: Codes | None = None
 
     def __reduce__(self):
         return Vocabulary, (self.known, self.side, self.inside)
@@ -88,27 +90,44 @@ class Vocabulary:
     def pad(self) -> int:
         return self.side * self.side
 
-    def numbers(self, tokens: list[str]) -> list[int]:
-        seen = self.seen
-        if len(seen) > 500_000:
-            seen.clear()
-        if not seen:
-            seen.update(self.known)
-        found = [seen.get(t) for t in tokens]
-        if None in found:
-            for i, number in enumerate(found):
-                if number is None:
-                    found[i] = self.pad - ENDINGS + bucket(tokens[i])
-                    if len(tokens[i]) <= 64:  # longer ones are not remembered
-                        seen[tokens[i]] = found[i]
+    def numbers(self, line: list[str]) -> np.ndarray:
+        """A number for every word: its place among the hot words, or below zero its bucket."""
+        if self.seen is None:
+            self.hot = sorted(self.known.keys() | self.inside.keys())
+            self.seen = Codes((w, i) for i, w in enumerate(self.hot))
+            self.seen.most = len(self.hot) + REMEMBERED
+            other = self.pad - ENDINGS
+            self.entry_of = np.array(
+                [self.known[w] if w in self.known else other + bucket(w) for w in self.hot], dtype=np.int64
+            )
+            self.inside_of = np.array([self.inside.get(w, np.nan) for w in self.hot])
+        return np.fromiter(map(self.seen.__getitem__, line), dtype=np.int64, count=len(line))
+
+    def entries(self, codes: np.ndarray) -> np.ndarray:
+        """The entry of each word, by its number."""
+        found = self.pad - ENDINGS - 1 - codes
+        hot = codes >= 0
+        found[hot] = self.entry_of[codes[hot]]
+        return found
+
+    def shares(self, codes: np.ndarray) -> np.ndarray:
+        """``inside`` of each word, by its number; NaN where it has none."""
+        found = np.full(len(codes), np.nan)
+        hot = codes >= 0
+        found[hot] = self.inside_of[codes[hot]]
         return found
 
-    def shares(self, tokens: list[str]) -> tuple[float, Counter[str]]:
-        """The sum of ``inside`` over the words that have it, and the other words."""
-        found = [self.inside.get(t) for t in tokens]
-        if None not in found:
-            return sum(found), Counter()
-        return sum(x for x in found if x is not None), Counter(t for t, x in zip(tokens, found) if x is None)
+
+class Codes(dict):
+    """Numbers of words; those of other words are made from their ending, some are remembered."""
+
+    most = 0
+
+    def __missing__(self, word: str) -> int:
+        code = -1 - bucket(word)
+        if len(word) <= 64 and len(self) < self.most:
+            self[word] = code
+        return code
 
 
 def bucket(word: str) -> int:
@@ -265,20 +284,36 @@ def exponentials(scores: np.ndarray, target: np.ndarray) -> np.ndarray:
 
 
 def laid_out(texts: list[str | None], vocabulary: Vocabulary) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """All words in one line with padding around each text, where the words are, words per text."""
-    return laid_out_tokens([tokens_of(t) for t in texts], vocabulary)
+    """All entries in one line with padding around each text, where they are, words per text."""
+    line, counts = lined_up(texts)
+    return padded(vocabulary.entries(vocabulary.numbers(line)), counts, vocabulary.pad)
 
 
-def laid_out_tokens(texts: list[list[str]], vocabulary: Vocabulary) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    numbers = [vocabulary.numbers(t) if t else [] for t in texts]
-    counts = np.array([len(n) for n in numbers], dtype=np.int64)
-    flat = np.full(int(counts.sum()) + 2 * REACH * (len(texts) + 1), vocabulary.pad, dtype=np.int64)
+def lined_up(texts: list[str | None]) -> tuple[list[str], np.ndarray]:
+    """All words one after the other, and the number of each text's."""
+    line: list[str] = []
+    counts = np.zeros(len(texts), dtype=np.int64)
+    for k, text in enumerate(texts):
+        tokens = tokens_of(text)
+        counts[k] = len(tokens)
+        line += tokens
+    return line, counts
+
+
+def padded(entries: np.ndarray, counts: np.ndarray, pad: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    flat = np.full(len(entries) + 2 * REACH * (len(counts) + 1), pad, dtype=np.int64)
     starts = np.cumsum(counts + 2 * REACH) - counts
-    at = np.repeat(starts - np.cumsum(counts) + counts, counts) + np.arange(int(counts.sum()))
-    flat[at] = np.concatenate([np.array(n, dtype=np.int64) for n in numbers]) if len(at) else at
+    at = np.repeat(starts - np.cumsum(counts) + counts, counts) + np.arange(len(entries))
+    flat[at] = entries
     return flat, at, counts
 
 
+def padded_column(column: pa.ListArray, pad: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``padded`` for a column of entries."""
+    ends = column.offsets.to_numpy()
+    return padded(column.values.to_numpy()[ends[0] : ends[-1]], np.diff(ends).astype(np.int64), pad)
+
+
 def count_words(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """(word, n) of all words; counted in the tasks, by the same rule as when scoring."""
 
@@ -339,15 +374,63 @@ def learn_vocabulary(docs: DataFrame, text_col: str = "text") -> Vocabulary:
     return Vocabulary(known, side, inside, counts, totals, total)
 
 
-def train_round(texts: DataFrame, vocabulary: Vocabulary, start: np.ndarray, rate: float) -> np.ndarray:
+def coded_documents(
+    docs: DataFrame, vocabulary: Vocabulary, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """One stored row per row of ``docs``: ``row``, doc_id, ``h``, ``entries`` and shares of its words.
+
+    ``h`` is a hash of id and text, ``inside`` the sum of what the vocabulary knows of the
+    words' shares of their entries, ``rare`` and ``times`` the other words and how often
+    they occur. Texts are split into words here once for training and scoring.
+    """
+
+    @lean.released
+    def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for some in lean.sliced(batch):
+                line, counts = lined_up(some.column(2).to_pylist())
+                numbers = vocabulary.numbers(line)
+                shares = vocabulary.shares(numbers)
+                ends = np.concatenate([[0], np.cumsum(counts)])
+                sums = np.concatenate([[0.0], np.cumsum(np.nan_to_num(shares))])[ends]
+                # The words whose share of their bucket only the table of counts knows.
+                rare = np.flatnonzero(np.isnan(shares))
+                edges = np.searchsorted(rare, ends).tolist()
+                others = [Counter(line[k] for k in rare[a:b].tolist()) for a, b in zip(edges, edges[1:])]
+                entries = pa.ListArray.from_arrays(
+                    pa.array(ends, type=pa.int32()), pa.array(vocabulary.entries(numbers), type=pa.int32())
+                )
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        some.column(0),
+                        some.column(1),
+                        entries,
+                        pa.array(np.diff(sums)),
+                        pa.array([list(c) for c in others], type=pa.list_(pa.string())),
+                        pa.array([list(c.values()) for c in others], type=pa.list_(pa.int64())),
+                    ],
+                    names=["doc_id", "h", "entries", "inside", "rare", "times"],
+                )
+
+    kind = docs.schema[id_col].dataType.simpleString()
+    text = F.col(text_col).cast("string")
+    chosen = docs.select(F.col(id_col), F.xxhash64(F.col(id_col), text), text)
+    made = chosen.mapInArrow(
+        code,
+        f"doc_id {kind}, h long, entries array<int>, inside double, rare array<string>, times array<long>",
+    )
+    return pin(made.withColumn("row", F.monotonically_increasing_id()))
+
+
+def train_round(entries: DataFrame, side: int, start: np.ndarray, rate: float) -> np.ndarray:
     """The mean, by number of words, of the weights of all tasks; ``start`` if there is no word."""
 
     @lean.released
     def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        network, trained = Network.of_vector(start, vocabulary.side), 0
+        network, trained = Network.of_vector(start, side), 0
         for batch in batches:
             for some in lean.sliced(batch, 500):
-                flat, at, _ = laid_out(some.column(0).to_pylist(), vocabulary)
+                flat, at, _ = padded_column(some.column(0), side * side)
                 for a in range(0, len(at), BLOCK):
                     network.step(flat, at[a : a + BLOCK], rate)
                 trained += len(at)
@@ -362,7 +445,7 @@ def train_round(texts: DataFrame, vocabulary: Vocabulary, start: np.ndarray, rat
                 names=["place", "total", "words"],
             )
 
-    rows = texts.mapInArrow(train, "place int, total double, words double")
+    rows = entries.mapInArrow(train, "place int, total double, words double")
     mean = rows.groupBy("place").agg((F.sum("total") / F.sum("words")).alias("value")).collect()
     vector = start.copy()
     for r in mean:
@@ -370,23 +453,27 @@ def train_round(texts: DataFrame, vocabulary: Vocabulary, start: np.ndarray, rat
     return vector
 
 
-def learn(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> tuple[Vocabulary, np.ndarray]:
-    """Vocabulary and weights from all documents, the same for the same rows in any files.
+def train(coded: DataFrame, vocabulary: Vocabulary) -> np.ndarray:
+    """Weights from all coded documents, the same for the same rows in any files.
 
     Rows that are equal in id and text are in one share; a table that repeats one such row
     very often makes a long task.
     """
-    vocabulary = learn_vocabulary(docs, text_col)
-    text = F.col(text_col).cast("string")
-    rows = docs.select(text.alias("text"), F.xxhash64(F.col(id_col), text).alias("h"))
 
     def dealt(some: DataFrame, part: int) -> DataFrame:
         shares = -(-vocabulary.n_words // (SHARE * part)) or 1
-        return some.repartition(shares, "h").sortWithinPartitions("h", "text").select("text")
+        return some.repartition(shares, "h").sortWithinPartitions("h", "entries").select("entries")
 
+    rows = coded.select("h", "entries")
     start = Network.random(side=vocabulary.side).vector()
-    weights = train_round(dealt(rows.where(F.pmod("h", F.lit(16)) == 0), 16), vocabulary, start, 0.1)
-    return vocabulary, train_round(dealt(rows, 1), vocabulary, weights, 0.05)
+    first = dealt(rows.where(F.pmod("h", F.lit(16)) == 0), 16)
+    return train_round(dealt(rows, 1), vocabulary.side, train_round(first, vocabulary.side, start, 0.1), 0.05)
+
+
+def learn(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> tuple[Vocabulary, np.ndarray]:
+    """Vocabulary and weights from all documents."""
+    vocabulary = learn_vocabulary(docs, text_col)
+    return vocabulary, train(coded_documents(docs, vocabulary, id_col, text_col), vocabulary)
 
 
 def score_documents(
@@ -398,6 +485,18 @@ def score_documents(
     null ids stay; further columns are left behind. A word that was not counted when
     the model was learned has the share of one more word of its bucket.
     """
+    return score_coded(coded_documents(docs, model[0], id_col, text_col), model)
+
+
+def learn_and_score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The scores of documents under the model learned from them, which are coded once."""
+    vocabulary = learn_vocabulary(docs, text_col)
+    coded = coded_documents(docs, vocabulary, id_col, text_col)
+    return score_coded(coded, (vocabulary, train(coded, vocabulary)))
+
+
+def score_coded(coded: DataFrame, model: tuple[Vocabulary, np.ndarray]) -> DataFrame:
+    """``score_documents`` for coded documents."""
     vocabulary, weights = model
     side = vocabulary.side
 
@@ -405,33 +504,22 @@ def score_documents(
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         network = Network.of_vector(weights, side).fixed()
         for batch in batches:
-            for first in range(0, batch.num_rows, 500):
-                part = batch.slice(first, 500)
-                texts = [tokens_of(t) for t in part.column(1).to_pylist()]
-                flat, at, counts = laid_out_tokens(texts, vocabulary)
+            for some in lean.sliced(batch, 500):
+                flat, at, counts = padded_column(some.column(3), side * side)
                 logs = [network.log_probability(flat, at[a : a + BLOCK]) for a in range(0, len(at), BLOCK)]
-                sums = np.concatenate([[0.0], np.cumsum(np.concatenate(logs), dtype=np.float64)]) if logs else np.zeros(1)
+                sums = np.concatenate([[0.0], np.cumsum(np.concatenate([*logs, np.empty(0)]))])
                 ends = np.cumsum(counts)
-                shares = [vocabulary.shares(t) for t in texts]
+                partly = sums[ends] - sums[ends - counts] + some.column(2).to_numpy()
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        part.column(0),
-                        pa.array(counts),
-                        pa.array(sums[ends] - sums[ends - counts] + np.array([x for x, _ in shares], dtype=np.float64)),
-                        pa.array([list(rare) for _, rare in shares], type=pa.list_(pa.string())),
-                        pa.array([list(rare.values()) for _, rare in shares], type=pa.list_(pa.int64())),
-                    ],
-                    names=["doc_id", "n_words", "partly", "rare", "times"],
+                    [some.column(0), some.column(1), pa.array(counts), pa.array(partly)],
+                    names=["row", "doc_id", "n_words", "partly"],
                 )
 
-    kind = docs.schema[id_col].dataType.simpleString()
-    chosen = docs.select(F.col(id_col), F.col(text_col).cast("string"))
-    scored = chosen.mapInArrow(
-        score, f"doc_id {kind}, n_words long, partly double, rare array<string>, times array<long>"
+    kind = coded.schema["doc_id"].dataType.simpleString()
+    scored = coded.select("row", "doc_id", "inside", "entries").mapInArrow(
+        score, f"row long, doc_id {kind}, n_words long, partly double"
     )
-    # Written with a number of its own for every row, which both branches see.
-    scored = pin(scored.withColumn("row", F.monotonically_increasing_id()))
-    rare = scored.select("row", F.explode(F.arrays_zip("rare", "times")).alias("x")).select(
+    rare = coded.select("row", F.explode(F.arrays_zip("rare", "times")).alias("x")).select(
         "row", F.col("x.rare").alias("word"), F.col("x.times").alias("times")
     )
     totals = F.array(*(F.lit(float(x)) for x in vocabulary.totals))
@@ -442,7 +530,7 @@ def score_documents(
     else:
         counted = rare.join(vocabulary.counts, "word", "left")
     more = counted.groupBy("row").agg(F.sum(F.col("times") * F.log(share)).alias("more"))
-    whole = scored.select("row", "doc_id", "n_words", "partly").join(more, "row", "left").select(
+    whole = scored.join(more, "row", "left").select(
         "doc_id", "n_words", (F.col("partly") + F.coalesce("more", F.lit(0.0))).alias("log_likelihood")
     )
     mean = F.when(F.col("n_words") > 0, F.col("log_likelihood") / F.col("n_words"))

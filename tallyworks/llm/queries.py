@@ -202,8 +202,7 @@ def op5_chat_format(spark: SparkSession, folder: str) -> DataFrame:
 
 @query()
 def op8_pseudo_likelihood(spark: SparkSession, folder: str) -> DataFrame:
-    docs = words.read(spark, folder, "documents")
-    return pseudo_likelihood.score_documents(docs, pseudo_likelihood.learn(docs))
+    return pseudo_likelihood.learn_and_score(words.read(spark, folder, "documents"))
 
 
 @query()
