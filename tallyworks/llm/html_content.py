@@ -12,8 +12,11 @@ from __future__ import annotations
 
 import html
 import re
+from bisect import bisect_left, bisect_right
+from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import accumulate
 
 import numpy as np
 import pandas as pd
@@ -77,14 +80,47 @@ DEFAULT = Weights({"word": 1.0, "link": -1.0, "never": -4.0, "other": -2.0})
 
 @dataclass
 class Block:
-    """A run of text between block borders, its place in the line and its elements."""
+    """A run of text between block borders, its place in the line and its innermost block element."""
 
     text: list[str]
-    path: tuple[int, ...]
+    element: int
     never: bool
     at: int
 
 
+class Elements:
+    """The elements of a page, numbered as they begin, so that each holds a range of numbers.
+
+    ``parent``: the block element around each; ``last``: the last number inside it, known
+    once it has ended. What encloses what is then told without a walk.
+    """
+
+    def __init__(self):
+        self.parent, self.last = [0], [0]
+
+    def begin(self, parent: int) -> int:
+        self.parent.append(parent)
+        self.last.append(0)
+        return len(self.parent) - 1
+
+    def end(self, number: int) -> None:
+        self.last[number] = len(self.parent) - 1
+
+    def holds(self, outer: int, inner: int) -> bool:
+        return outer <= inner <= self.last[outer]
+
+    def around(self, inner: int) -> Iterator[int]:
+        """The block elements around one, itself first, without the page."""
+        while inner:
+            yield inner
+            inner = self.parent[inner]
+
+    def shared(self, inner: list[int]) -> list[int]:
+        """The block elements around all of these, the outermost first."""
+        low, high = min(inner), max(inner)
+        return [e for e in self.around(low) if self.holds(e, high)][::-1]
+
+
 def is_never(name: str, attributes: str, inside_container: bool) -> bool:
     if name in NEVER or name == "header" and not inside_container:
         return True
@@ -101,20 +137,23 @@ def is_never(name: str, attributes: str, inside_container: bool) -> bool:
 
 
 def read_page(page: str):
-    """Features of the line of tags and words, the blocks, and the containers.
+    """Features of the line of tags and words, the blocks, the containers and all elements.
 
-    Gives (features, counts, inside, blocks, containers): the feature and number of
-    words at each place, whether it lies in a container, and element numbers of
-    the containers.
+    Gives (features, counts, inside, blocks, containers, elements): the feature and number of
+    words at each place, whether it lies in a container, and element numbers of the
+    containers. Linear in the page, however deep it is and whatever is left open.
     """
     features: list[str] = []
     counts: list[int] = []
     inside: list[bool] = []
     blocks: list[Block] = []
     containers: set[int] = set()
+    elements = Elements()
     stack: list[tuple[str, int, bool]] = []  # name, number, never
-    number = held = links = 0
-    never = 0
+    # Where in the stack the open elements of each name are, and those that are blocks.
+    open_at: dict[str, list[int]] = defaultdict(list)
+    blocks_at: list[int] = []
+    held = links = never = 0
     open_block: Block | None = None
 
     def note(feature: str, count: int = 1) -> None:
@@ -122,6 +161,9 @@ def read_page(page: str):
         counts.append(count)
         inside.append(held > 0)
 
+    def innermost() -> int:
+        return stack[blocks_at[-1]][1] if blocks_at else 0
+
     def text(raw: str) -> None:
         nonlocal open_block
         if not raw:
@@ -130,19 +172,24 @@ def read_page(page: str):
         if open_block is None:
             if not value.strip():
                 return
-            open_block = Block([], tuple(s[1] for s in stack if s[0] in BLOCKS), never > 0, len(features))
+            open_block = Block([], innermost(), never > 0, len(features))
             blocks.append(open_block)
         open_block.text.append(value)
         n = len(value.split())
         if n:
             note("never" if never else "link" if links else "word", n)
 
-    def pop() -> None:
+    def pop_to(size: int) -> None:
         nonlocal never, held, links
-        name, own, hidden = stack.pop()
-        never -= hidden
-        held -= own in containers
-        links -= name == "a"
+        while len(stack) > size:
+            name, own, hidden = stack.pop()
+            open_at[name].pop()
+            if name in BLOCKS:
+                blocks_at.pop()
+            elements.end(own)
+            never -= hidden
+            held -= own in containers
+            links -= name == "a"
 
     position, end = 0, len(page)
     while position < end:
@@ -165,47 +212,38 @@ def read_page(page: str):
             open_block.text.append(" ")
         if m[1]:
             note(name if name not in CONTAINERS else "other")
-            if any(s[0] == name for s in stack):
-                while stack[-1][0] != name:
-                    pop()
-                pop()
+            if open_at[name]:
+                pop_to(open_at[name][-1])
             continue
         if name in RAW and not m[3].endswith("/"):
             close = re.compile(rf"</{re.escape(name)}(?=[\s/>])[^>]*>?", re.IGNORECASE).search(page, position)
             note(name)
             position = close.end() if close else end
             continue
-        if border and stack and stack[-1][0] == "p":
-            pop()
-        elif border:
-            # A paragraph also ends when only inline elements are open in it.
-            k = len(stack) - 1
-            while k >= 0 and stack[k][0] not in BLOCKS:
-                k -= 1
-            if k >= 0 and stack[k][0] == "p":
-                while len(stack) > k:
-                    pop()
+        if border and blocks_at and stack[blocks_at[-1]][0] == "p":
+            # A paragraph ends where another block begins, with what is open in it.
+            pop_to(blocks_at[-1])
         for ended, by in ENDED_BY.items():
-            if name in by:
-                k = len(stack) - 1
-                stops = INSIDE_LIST.get(ended, set())
-                while k >= 0 and stack[k][0] != ended and stack[k][0] not in stops:
-                    k -= 1
-                if k >= 0 and stack[k][0] == ended:
-                    while len(stack) > k:
-                        pop()
+            if name in by and open_at[ended]:
+                stops = max((open_at[stop][-1] for stop in INSIDE_LIST.get(ended, ()) if open_at[stop]), default=-1)
+                if open_at[ended][-1] > stops:
+                    pop_to(open_at[ended][-1])
         note(name if name not in CONTAINERS else "other")
         if name in VOID or m[3].endswith("/") and name not in BLOCKS:
             continue
-        number += 1
+        own = elements.begin(innermost())
         hidden = is_never(name, m[3], held > 0)
-        stack.append((name, number, hidden))
+        open_at[name].append(len(stack))
+        if border:
+            blocks_at.append(len(stack))
+        stack.append((name, own, hidden))
         never += hidden
         links += name == "a"
         if name in CONTAINERS and not never:
-            containers.add(number)
+            containers.add(own)
             held += 1
-    return features, counts, inside, blocks, containers
+    pop_to(0)
+    return features, counts, inside, blocks, containers, elements
 
 
 def best_region(scores: np.ndarray) -> tuple[int, int]:
@@ -222,7 +260,7 @@ def best_region(scores: np.ndarray) -> tuple[int, int]:
 
 def main_text(page: str, weights: Weights = DEFAULT) -> str:
     """The main text of a page; empty if no region scores above zero."""
-    features, counts, _, blocks, containers = read_page(page)
+    features, counts, _, blocks, containers, elements = read_page(page)
     if not blocks:
         return ""
     scores = np.array([weights.score(f) * n for f, n in zip(features, counts)])
@@ -230,35 +268,33 @@ def main_text(page: str, weights: Weights = DEFAULT) -> str:
     chosen = [b for b in blocks if not b.never and first <= b.at < end]
     if not chosen:
         return ""
-    shared = chosen[0].path
-    for b in chosen[1:]:
-        k = 0
-        while k < min(len(shared), len(b.path)) and shared[k] == b.path[k]:
-            k += 1
-        shared = shared[:k]
+    shared = elements.shared([b.element for b in chosen])
     # The innermost container around the region, else the element around all its
     # blocks unless that is the page itself.
     held = [e for e in shared if e in containers]
-    around = held[-1] if held else most_common_container(chosen, containers)
+    around = held[-1] if held else most_common_container(chosen, containers, elements)
     if around is None and len(shared) > 2:
         around = shared[-1] if len(chosen) > 1 else shared[-2]
     if around is not None:
-        chosen = [b for b in blocks if not b.never and around in b.path]
+        chosen = [b for b in blocks if not b.never and elements.holds(around, b.element)]
     texts = (" ".join("".join(b.text).split()) for b in chosen)
     return "\n".join(t for t in texts if t)
 
 
-def most_common_container(chosen: list[Block], containers: set[int]) -> int | None:
+def most_common_container(chosen: list[Block], containers: set[int], elements: Elements) -> int | None:
     """The container that holds most of the region's characters, if over half of them."""
-    size = {}
-    for b in chosen:
-        for e in b.path:
-            if e in containers:
-                size[e] = size.get(e, 0) + sum(map(len, b.text))
+    lengths = [(b.element, sum(map(len, b.text))) for b in chosen]
+    # Blocks come in the order of their elements' numbers only on tidy pages.
+    lengths.sort()
+    numbers, sums = [e for e, _ in lengths], [0, *accumulate(n for _, n in lengths)]
+    size = {
+        c: sums[bisect_right(numbers, elements.last[c])] - sums[bisect_left(numbers, c)] for c in containers
+    }
+    size = {c: n for c, n in size.items() if n}
     if not size:
         return None
     most = max(size, key=lambda e: (size[e], e))
-    return most if 2 * size[most] > sum(sum(map(len, b.text)) for b in chosen) else None
+    return most if 2 * size[most] > sums[-1] else None
 
 
 def learn(pages: DataFrame, html_col: str = "html") -> Weights:
@@ -273,7 +309,7 @@ def learn(pages: DataFrame, html_col: str = "html") -> Weights:
     def counts(values: pd.Series) -> pd.Series:
         made = []
         for value in values:
-            features, numbers, inside, _, containers = read_page(value or "")
+            features, numbers, inside, _, containers, _ = read_page(value or "")
             found: dict[str, list[int]] = {}
             if len(containers) == 1:
                 for f, n, held in zip(features, numbers, inside):
