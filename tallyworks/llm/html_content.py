@@ -1,11 +1,11 @@
 """HTML extraction: the best contiguous region of words against tags.
 
-A page is read as a line of tags and words. Words score above zero, tags below,
-words in links or in boilerplate elements below; the weights are log-odds from
-labelled pages (those with an article element, whose label is that element). One
-linear scan finds the contiguous region of the highest sum. The region's blocks,
-completed to the element that encloses them all, are the main text, without
-elements that are never content.
+A page is read as a line of tags and words. Words score by the block element they stand
+in, above zero where content is, tags below zero, words in links or in boilerplate
+elements below; the weights are log-odds from labelled pages (those with an article
+element, whose label is that element; its own tag is withheld). One linear scan finds the
+contiguous region of the highest sum. The blocks that overlap it, completed to the element
+that encloses them all, are the main text, without elements that are never content.
 """
 
 from __future__ import annotations
@@ -19,11 +19,11 @@ from dataclasses import dataclass
 from itertools import accumulate
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyworks.llm import words
+from tallyworks.llm import lean, words
 
 PIECE = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
@@ -65,14 +65,22 @@ CONTAINERS = ("article", "main")
 KNOWN = sorted((BLOCKS | VOID | NEVER | {"a", "b", "i", "em", "strong", "span", "td", "th"}) - {"article", "main"})
 
 
+#: Features of words begin so; the name of the block element around them follows.
+WORD = "word:"
+
+
 @dataclass(frozen=True)
 class Weights:
-    """Scores by feature: ``word``, ``link``, ``never``, ``other`` and the tags."""
+    """Scores by feature: ``word``, ``word:`` by element, ``link``, ``never``, ``other`` and the tags."""
 
     of: dict[str, float]
 
     def score(self, feature: str) -> float:
-        return self.of.get(feature, self.of["other"])
+        found = self.of.get(feature)
+        if found is None:
+            # A word in an element that was not learned.
+            return self.of["word" if feature.startswith(WORD) else "other"]
+        return found
 
 
 DEFAULT = Weights({"word": 1.0, "link": -1.0, "never": -4.0, "other": -2.0})
@@ -86,6 +94,7 @@ class Block:
     element: int
     never: bool
     at: int
+    stop: int = 0
 
 
 class Elements:
@@ -177,7 +186,10 @@ def read_page(page: str):
         open_block.text.append(value)
         n = len(value.split())
         if n:
-            note("never" if never else "link" if links else "word", n)
+            around = stack[blocks_at[-1]][0] if blocks_at else "body"
+            place = WORD + (around if around not in CONTAINERS else "other")
+            note("never" if never else "link" if links else place, n)
+            open_block.stop = len(features)
 
     def pop_to(size: int) -> None:
         nonlocal never, held, links
@@ -265,7 +277,7 @@ def main_text(page: str, weights: Weights = DEFAULT) -> str:
         return ""
     scores = np.array([weights.score(f) * n for f, n in zip(features, counts)])
     first, end = best_region(scores)
-    chosen = [b for b in blocks if not b.never and first <= b.at < end]
+    chosen = [b for b in blocks if not b.never and b.at < end and b.stop > first]
     if not chosen:
         return ""
     shared = elements.shared([b.element for b in chosen])
@@ -303,43 +315,50 @@ def learn(pages: DataFrame, html_col: str = "html") -> Weights:
     Counted per feature, inside and outside the container, by Spark; only one row
     per known feature reaches the driver. Without such pages: ``DEFAULT``.
     """
-    known = {*KNOWN, "word", "link", "never"}
-
-    @F.pandas_udf("array<struct<feature: string, inside: bigint, outside: bigint>>")
-    def counts(values: pd.Series) -> pd.Series:
-        made = []
-        for value in values:
-            features, numbers, inside, _, containers, _ = read_page(value or "")
-            found: dict[str, list[int]] = {}
-            if len(containers) == 1:
-                for f, n, held in zip(features, numbers, inside):
-                    found.setdefault(f if f in known else "other", [0, 0])[not held] += n
-            made.append([{"feature": f, "inside": a, "outside": b} for f, (a, b) in found.items()])
-        return pd.Series(made)
-
-    rows = (
-        pages.select(F.explode(counts(F.col(html_col).cast("string"))).alias("c"))
-        .groupBy("c.feature")
-        .agg(F.sum("c.inside").alias("a"), F.sum("c.outside").alias("b"))
-        .collect()
-    )
-    n_in, n_out = sum(r.a for r in rows), sum(r.b for r in rows)
-    if not n_in or not n_out:
+    known = {*KNOWN, "link", "never", WORD + "other", *(WORD + name for name in BLOCKS)}
+
+    @lean.released
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found: dict[str, list[int]] = defaultdict(lambda: [0, 0])
+            for page in batch.column(0):
+                features, numbers, inside, _, containers, _ = read_page(page.as_py() or "")
+                if len(containers) == 1:
+                    for f, n, held in zip(features, numbers, inside):
+                        found[f if f in known else "other"][not held] += n
+            columns = ([*found], [a for a, _ in found.values()], [b for _, b in found.values()])
+            types = (pa.string(), pa.int64(), pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, type=t) for c, t in zip(columns, types)], names=["feature", "a", "b"]
+            )
+
+    counted = pages.select(F.col(html_col).cast("string")).mapInArrow(count, "feature string, a long, b long")
+    rows = counted.groupBy("feature").agg(F.sum("a").alias("a"), F.sum("b").alias("b")).collect()
+    spoken = [r for r in rows if r.feature.startswith(WORD) or r.feature in ("link", "never")]
+    tags = [r for r in rows if r not in spoken]
+
+    def odds(some: list) -> dict[str, float]:
+        n_in, n_out = sum(r.a for r in some), sum(r.b for r in some)
+        if not n_in or not n_out:
+            return {}
+        return {r.feature: float(np.log((r.a + 1) / (n_in + 1) * (n_out + 1) / (r.b + 1))) for r in some}
+
+    of_words, of_tags = odds(spoken), odds(tags)
+    if not of_words or not of_tags:
         return DEFAULT
-    odds = {r.feature: float(np.log((r.a + 1) / (n_in + 1) * (n_out + 1) / (r.b + 1))) for r in rows}
-    weights = {f: min(-0.5, v) for f, v in odds.items() if f not in ("word", "link", "never")}
-    weights |= {
-        "word": max(0.5, odds.get("word", 1.0)),
-        "link": min(-0.5, odds.get("link", -1.0)) if odds.get("link", -1) < 0 else 0.1,
-        "never": -4.0,
-    }
-    return Weights({"other": -2.0, **weights})
+    # A word counts half at most, so that a few words behind two borders outside stay outside.
+    weights = {f: min(-0.5, v) for f, v in of_tags.items()}
+    weights |= {f: float(np.clip(v, -0.5, 0.5)) for f, v in of_words.items() if f not in ("link", "never")}
+    weights["link"] = min(-0.5, of_words.get("link", -1.0)) if of_words.get("link", -1) < 0 else 0.1
+    return Weights({"other": -2.0, **weights, "word": 0.5, "never": -4.0})
 
 
 def extracted(page: Column, weights: Weights) -> Column:
-    @F.pandas_udf("string")
-    def extract(values: pd.Series) -> pd.Series:
-        return pd.Series([main_text(v or "", weights) for v in values], dtype="object")
+    @F.arrow_udf("string")
+    @lean.released
+    def extract(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for pages in batches:
+            yield pa.array((main_text(p.as_py() or "", weights) for p in pages), type=pa.string())
 
     return extract(page)
 

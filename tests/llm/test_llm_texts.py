@@ -327,3 +327,51 @@ def test_deep_and_broken_pages_do_not_fail():
     assert html_content.main_text(deep).startswith("words in the deep")
     for page in ("<", "<<<>>>", "</p></p>", "<a href='", "<script>never ends", "&#xfffffff; &bogus; text"):
         html_content.main_text(page)
+
+
+def varied_pages(n=60):
+    """Pages with one article among menus, adverts, comments and notices; (page, stripped page, text)."""
+    rng = random.Random(31)
+    made = []
+    for k in range(n):
+        def prose(low, high, rng=rng):
+            return " ".join(rng.choices(PROSE.split(), k=rng.randint(low, high)))
+
+        paragraphs = [prose(8, 60) for _ in range(rng.randint(3, 9))]
+        article = f"<h1>{paragraphs[0][:40].strip()}</h1>" + "".join(f"<p>{p}</p>" for p in paragraphs)
+        menu = "".join(f"<li><a href=/{j}>{w}</a></li>" for j, w in enumerate(rng.sample(PROSE.split(), 6)))
+        page = (
+            f"<html><head><title>t</title></head><body><nav><ul>{menu}</ul></nav><div class='ad'>{prose(3, 8)}</div>"
+            f"<article>{article}</article><div id=comments><p>{prose(3, 10)}</p></div><footer>{prose(3, 8)}</footer></body></html>"
+        )
+        bare = re.sub(r"<(/?)(article|nav|footer)\b", r"<\1div", page)
+        bare = re.sub(r" (class|id)=('[^']*'|\w+)", "", bare)
+        made.append((page, bare, "\n".join([paragraphs[0][:40].strip(), *paragraphs])))
+    return made
+
+
+def test_the_scan_decides_where_no_tag_tells(spark):
+    pages = varied_pages()
+    learned = html_content.learn(spark.createDataFrame([(p,) for p, _, _ in pages], "html string"))
+    assert all(html_content.main_text(p, learned) == t for p, _, t in pages)
+    # Without the article's tag and without class and id the learned scores find it, equal scores do not.
+    right = sum(html_content.main_text(b, learned) == t for _, b, t in pages)
+    equal = html_content.Weights({k: 1.0 for k in learned.of})
+    assert right >= 0.9 * len(pages)
+    assert sum(html_content.main_text(b, equal) == t for _, b, t in pages) <= 0.2 * len(pages)
+
+
+def test_blocks_that_overlap_the_region_are_whole():
+    weights = html_content.Weights({"word": 1.0, "link": -9.0, "never": -4.0, "other": -0.1})
+    assert html_content.main_text("<p><a href=x>far away</a> words that stay in the block</p>", weights) == "far away words that stay in the block"
+
+
+def test_pages_are_read_in_linear_time():
+    import time
+
+    n = 100_000
+    hard = ["<div>a " * n, "<b>" * n + "x" + "</i>" * n, "<b>" * (n // 2) + "<p>x</p>" * (n // 2), "<tr><table>" + "<b>" * (n // 2) + "<tr></tr>" * (n // 2)]
+    begun = time.time()
+    for page in hard:
+        html_content.main_text(page)
+    assert time.time() - begun < 30
