@@ -46,6 +46,39 @@ def test_lexicon_is_learned_and_marks_held_out_rows(spark):
     assert [r.predicted for r in toxicity.score_documents(extra, lexicon).orderBy("doc_id").collect()] == [1, 0]
 
 
+def test_signs_beside_each_other_are_undone():
+    lexicon = toxicity.Lexicon({"ass ": 2.0, "idiot ": 3.0, "thoner ": 1.0, "blor": 2.5})
+    for text, weight in (("a$$", 2.0), ("1d!0t", 3.0), ("1D10T!", 3.0), ("thoner$$$", 1.0), ("b|0rt!$h", 0.0), ("bl0rt!$h", 2.5), ("pass! as!", 0.0), ("costs 5$ or $10!", 0.0)):
+        assert sum(w for w, _ in lexicon.hits(text)[0].values()) == weight, text
+    assert toxicity.fold("1d!0t") == "idiot" and toxicity.fold("thoner$$$") == "thoner$$$"
+
+
+def naive_hits(lexicon, text):
+    """Every entry tried at every word, exceptions by plain search."""
+    found = lexicon.hits(text)[1]  # the folded words, joined by blanks
+    best, covered = {}, []
+    for start in range(1, len(found)):
+        if found[start - 1] != " ":
+            continue
+        held = [w for e, w in lexicon.weights.items() if found.startswith(e, start)]
+        if held:
+            best[start] = max(held)
+        covered += [(start, start + len(p)) for p in lexicon.exceptions if found.startswith(f"{p} ", start)]
+    return {s: w for s, w in best.items() if not any(a <= s < b for a, b in covered)}
+
+
+def test_automaton_equals_a_naive_matcher():
+    rng = random.Random(9)
+    parts = ["blor", "tish", "grum", "pfer", "river", "the", "mill", "sn", "ivel"]
+    words_made = ["".join(rng.choices(parts, k=rng.randint(1, 3))) for _ in range(60)]
+    for _ in range(60):
+        entries = {w + " ": rng.random() for w in rng.sample(words_made, 12)} | {w[: rng.randint(4, 8)]: rng.random() for w in rng.sample(words_made, 8)}
+        phrases = tuple(" ".join(rng.choices(words_made, k=2)) for _ in range(10))
+        lexicon = toxicity.Lexicon(entries, phrases)
+        text = " ".join(rng.choices([*words_made, "gr!m", "bl0rt1sh", "RIVER!", "x"], k=80))
+        assert {s: w for s, (w, _) in lexicon.hits(text)[0].items()} == naive_hits(lexicon, text)
+
+
 def test_exception_phrases_cancel_entries():
     lexicon = toxicity.Lexicon({"trash ": 5.0}, ("trash can",), -3.0, (1.0, 1.0))
     assert lexicon.score("a trash can stood there") < 0.5 < lexicon.score("you trash there")
