@@ -20,7 +20,12 @@ Candidates go from each member of a bucket to its most central members first;
 components of these links leave only the pairs of different components to try, so
 groups of many near copies are not paired with one another. That gives the classes;
 ``all_links`` tries every pair of a bucket instead, so its work grows with the number
-of links, the square of a group of near copies. A parity sketch (one
+of links, the square of a group of near copies.
+
+*Hot keys*: a part that very many sets hold is dealt out by the sets, not by the part,
+and sets of very many copies are told by a broadcast. Both are the keys above a fixed
+share of all rows, so there are fewer than ``HOT`` of them in a table of any size, and
+the answer is the same whichever way a key goes. A parity sketch (one
 bit for each of ``CELLS`` cells: whether an odd number of shingles falls there) goes
 before the sets: sets differ in at least as many shingles as their sketches in bits.
 """
@@ -49,6 +54,10 @@ CELLS = 64 * SKETCH
 NAMED = "n > 0 AND doc_id IS NOT NULL"
 #: How many central members of a bucket all its members are tried with first.
 CENTRES = 1
+#: A key with more than one in so many rows is hot, so fewer than this many are.
+HOT = 10_000
+#: One row in so many tells which parts are hot; it decides nothing else.
+SEEN_FOR_HOT = 64
 
 
 def most_differences(total: np.ndarray | int, percent: int = PERCENT):
@@ -225,14 +234,33 @@ def _filter_bits(nodes: DataFrame) -> np.ndarray:
     return bits.view(_U)
 
 
+def _hot_parts(texts: DataFrame, width: int, percent: int) -> DataFrame:
+    """(sig, about): parts that a share of all sets holds, and about how many; fewer than ``HOT``.
+
+    Counted on the rows that a hash picks, so copies are picked one by one.
+    """
+    picked = texts.where(F.pmod(F.xxhash64(*texts.columns), F.lit(SEEN_FOR_HOT)) == 0)
+    signed = picked.mapInArrow(_signed(width, percent), "sig long, node long")
+    counted = pin(signed.groupBy("sig").agg(F.count("*").alias("seen")))
+    rows = counted.agg(F.coalesce(F.sum("seen"), F.lit(0))).first()[0]
+    # Seen twice, a part is shared for certain.
+    hot = counted.where((F.col("seen") > 1) & (F.col("seen") * HOT > rows))
+    return pin(hot.select("sig", (F.col("seen") * SEEN_FOR_HOT).alias("about")))
+
+
 def _buckets(texts: DataFrame, described: DataFrame, width: int, percent: int) -> DataFrame:
     """(sig, node, weight): the cheapest parts each set needs, as far as another set holds them too.
 
     ``weight`` sums over a set's shared parts how many sets hold them: how central it is.
+    The order of the parts may be any that is the same for every set, so a hot part goes
+    by the number it was estimated at, and its rows need not meet to be counted.
     """
-    signed = texts.mapInArrow(_signed(width, percent), "sig long, node long")
-    held = F.count("*").over(Window.partitionBy("sig"))
-    shared = signed.withColumn("held", held).where("held > 1")
+    hot = F.broadcast(_hot_parts(texts, width, percent))
+    signed = texts.mapInArrow(_signed(width, percent), "sig long, node long").join(hot, "sig", "left")
+    dealt = signed.select("sig", "node", F.when(F.col("about").isNotNull(), F.col("node")).alias("spread"))
+    held = F.count("*").over(Window.partitionBy("sig", "spread"))
+    counted = dealt.withColumn("held", held).where("held > 1 OR spread IS NOT NULL")
+    shared = counted.join(hot, "sig", "left").select("sig", "node", F.coalesce("about", "held").alias("held"))
     spare = described.where("n > 0").groupBy("f").agg(
         F.max("spare_own").alias("own"), F.max("spare_below").alias("below")
     )
@@ -359,7 +387,7 @@ def link_numbers(
 ) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_links, how many different sets link with the row's set.
 
-    Unlike ``n_links`` of ``similarity_join`` this is the whole number. Rows without
+    Unlike ``n_connecting`` of ``similarity_join`` this is the whole number. Rows without
     id or without a word have none.
     """
     texts, described, reps, buckets, sketches = _prepared(docs, width, percent, id_col, text_col)
@@ -374,11 +402,12 @@ def link_numbers(
 def similarity_join(
     docs: DataFrame, width: int = 5, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """One row per row of ``docs``: doc_id, n_shingles, component_id, n_links, n_copies.
+    """One row per row of ``docs``: doc_id, n_shingles, component_id, n_connecting, n_copies.
 
     ``component_id`` is the smallest doc_id reachable by links, ``n_copies`` how many rows
-    have the same set (itself included), ``n_links`` the links of that set to other
-    sets that were needed to connect it; ``link_numbers`` gives all of them. Texts without a word, null ones included,
+    have the same set (itself included), ``n_connecting`` how many links of that set to
+    other sets were found on the way to the classes; it is not the number of its links,
+    which ``link_numbers`` gives. Texts without a word, null ones included,
     link with nothing and are their own component. Rows without id take no part:
     their component is null. Repeated rows are copies; further columns are left
     behind.
@@ -418,18 +447,29 @@ def similarity_join(
         links = pin(star.unionByName(rest.select("a", "b")).distinct())
         labels = components(links)
     ends = links.select(F.col("a").alias("rep")).union(links.select("b"))
-    degree = ends.groupBy("rep").agg(F.count("*").alias("n_links"))
-    told = (
+    degree = ends.groupBy("rep").agg(F.count("*").alias("n_connecting"))
+    told = pin(
         reps.join(labels.withColumnRenamed("node", "rep"), "rep", "left")
         .join(degree, "rep", "left")
-        .select("f", "g", F.coalesce("label", "rep").alias("label"), "n_copies", F.coalesce("n_links", F.lit(0)).alias("n_links"))
+        .select(
+            "f", "g", F.coalesce("label", "rep").alias("label"), "n_copies",
+            F.coalesce("n_connecting", F.lit(0)).alias("n_connecting"),
+        )
     )
-    # Copies of one set may be a third of all rows: an equi-join that may be split.
-    full = named.join(told, ["f", "g"]).select(
-        "doc_id", F.col("n").alias("n_shingles"), F.col("label").alias("component_id"), "n_links", "n_copies"
+    full = _told(named, told).select(
+        "doc_id", F.col("n").alias("n_shingles"), F.col("label").alias("component_id"), "n_connecting", "n_copies"
     )
     alone = described.where("n = 0 OR doc_id IS NULL").select(
         "doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"),
-        F.lit(0).cast("long").alias("n_links"), F.lit(1).cast("long").alias("n_copies"),
+        F.lit(0).cast("long").alias("n_connecting"), F.lit(1).cast("long").alias("n_copies"),
     )
     return full.unionByName(alone)
+
+
+def _told(named: DataFrame, told: DataFrame) -> DataFrame:
+    """Every row with what ``told`` says of its set; rows of sets with very many copies are not shuffled."""
+    rows = named.select("doc_id", "n", "f", "g")
+    many = F.col("n_copies") * HOT > rows.count()
+    hot = F.broadcast(told.where(many))
+    rare = rows.join(hot, ["f", "g"], "left_anti").join(told.where(~many), ["f", "g"])
+    return rows.join(hot, ["f", "g"]).unionByName(rare)

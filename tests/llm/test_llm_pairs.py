@@ -98,7 +98,38 @@ def test_dense_group_is_not_paired_out(spark):
     expected = components(rows)
     got = ngram_join.similarity_join(frame(spark, rows)).collect()
     assert {r.doc_id: r.component_id for r in got} == expected
-    assert sum(r.n_links for r in got) < 150 * 149 / 2  # all links, counted at both ends: twice as many
+    assert sum(r.n_connecting for r in got) < 150 * 149 / 2  # all links, counted at both ends: twice as many
+
+
+@pytest.mark.parametrize("share", [1, 10_000])
+def test_hot_keys_change_no_class(spark, monkeypatch, share):
+    """Nothing is hot, or everything: the classes are those of the brute force."""
+    monkeypatch.setattr(ngram_join, "HOT", share)
+    monkeypatch.setattr(ngram_join, "SEEN_FOR_HOT", 1)
+    rng = random.Random(12)
+    rows = near_copies(30) + [(5000 + k, PROSE) for k in range(20)]
+    for k in range(30):  # one passage in texts that are unlike otherwise
+        own = " ".join(f"x{k}y{j}" for j in range(rng.randint(5, 60)))
+        rows.append((6000 + k, f"{PROSE[:300]} {own}"))
+    hot = ngram_join._hot_parts(frame(spark, rows), 5, ngram_join.PERCENT).collect()
+    assert bool(hot) == (share > 1) and all(r.about > 1 for r in hot)
+    got = ngram_join.similarity_join(frame(spark, rows)).collect()
+    assert len(got) == len(rows)
+    assert {r.doc_id: r.component_id for r in got} == components(rows)
+    assert {r.n_copies for r in got if 5000 <= r.doc_id < 5020} == {max(r.n_copies for r in got)}
+
+
+def test_a_hot_part_is_dealt_out_by_its_sets(spark, monkeypatch, plan):
+    """Rows of a hot part meet by part and set, and neither they nor copies of a set are counted in one place."""
+    rows = [(k, PROSE) for k in range(50)] + near_copies(10)
+    docs = frame(spark, rows)
+    monkeypatch.setattr(ngram_join, "SEEN_FOR_HOT", 1)
+    described = ngram_join.pin(
+        docs.mapInArrow(ngram_join._described(5, 80), ", ".join(f"{n} long" for n in ngram_join.DESCRIBED))
+    )
+    text = plan(ngram_join._buckets(docs, described, 5, 80))
+    assert "hashpartitioning(sig" in text and ", spread#" in text
+    assert text.count("BroadcastHashJoin") >= 2
 
 
 def test_all_links_by_brute_force(spark):
