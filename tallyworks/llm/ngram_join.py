@@ -257,10 +257,16 @@ def _buckets(texts: DataFrame, described: DataFrame, width: int, percent: int) -
     """
     hot = F.broadcast(_hot_parts(texts, width, percent))
     signed = texts.mapInArrow(_signed(width, percent), "sig long, node long").join(hot, "sig", "left")
-    dealt = signed.select("sig", "node", F.when(F.col("about").isNotNull(), F.col("node")).alias("spread"))
-    held = F.count("*").over(Window.partitionBy("sig", "spread"))
-    counted = dealt.withColumn("held", held).where("held > 1 OR spread IS NOT NULL")
-    shared = counted.join(hot, "sig", "left").select("sig", "node", F.coalesce("about", "held").alias("held"))
+    is_hot = F.col("about").isNotNull()
+    dealt = signed.select(
+        F.when(is_hot, F.xxhash64("sig", "node")).otherwise(F.col("sig")).alias("spread"),
+        "node",
+        F.when(is_hot, F.col("sig")).alias("hot"),
+    )
+    held = F.count("*").over(Window.partitionBy("spread"))
+    counted = dealt.withColumn("held", held).where("held > 1 OR hot IS NOT NULL")
+    shared = counted.select(F.coalesce("hot", "spread").alias("sig"), "node", "held").join(hot, "sig", "left")
+    shared = shared.select("sig", "node", F.coalesce("about", "held").alias("held"))
     spare = described.where("n > 0").groupBy("f").agg(
         F.max("spare_own").alias("own"), F.max("spare_below").alias("below")
     )

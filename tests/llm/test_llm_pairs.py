@@ -120,7 +120,7 @@ def test_hot_keys_change_no_class(spark, monkeypatch, share):
 
 
 def test_a_hot_part_is_dealt_out_by_its_sets(spark, monkeypatch, plan):
-    """Rows of a hot part meet by part and set, and neither they nor copies of a set are counted in one place."""
+    """The rows of parts are counted by a key that holds the set, too, where the part is hot."""
     rows = [(k, PROSE) for k in range(50)] + near_copies(10)
     docs = frame(spark, rows)
     monkeypatch.setattr(ngram_join, "SEEN_FOR_HOT", 1)
@@ -128,7 +128,9 @@ def test_a_hot_part_is_dealt_out_by_its_sets(spark, monkeypatch, plan):
         docs.mapInArrow(ngram_join._described(5, 80), ", ".join(f"{n} long" for n in ngram_join.DESCRIBED))
     )
     text = plan(ngram_join._buckets(docs, described, 5, 80))
-    assert "hashpartitioning(sig" in text and ", spread#" in text
+    assert "hashpartitioning(spread#" in text and "hashpartitioning(sig#" in text
+    dealt = text[text.index("hashpartitioning(spread#") :]
+    assert "xxhash64(sig#" in dealt
     assert text.count("BroadcastHashJoin") >= 2
 
 
