@@ -44,10 +44,10 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, folder: str) -> Data
     rows, key = keyed(docs)
     named = rows.where("doc_id IS NOT NULL").select(F.col(key).alias("doc_id"), "text", F.col("doc_id").alias("id"))
     grouped = ngram_join.similarity_join(named).where("n_shingles > 0")
-    members = grouped.groupBy("doc_id").agg(F.min("component_id").alias("group"), F.count("*").alias("rows"))
-    groups = members.groupBy("group").agg(F.sum("rows").alias("size")).where("size > 1").select("group")
-    # Members of groups of more than one row are far fewer than all rows.
-    members = pin(members.join(groups, "group", "left_semi"))
+    # Rows with a copy or a link are those of groups of more than one row, far fewer than all.
+    # Told row by row: a group, however large, need not meet.
+    grouped = grouped.where("n_copies > 1 OR n_connecting > 0")
+    members = pin(grouped.groupBy("doc_id").agg(F.min("component_id").alias("group"), F.count("*").alias("rows")))
     ids = named.select("doc_id", "id").distinct()
     first = members.join(ids, "doc_id").groupBy("group").agg(F.min(F.struct("id", "doc_id"))["doc_id"].alias("doc_id"))
     first = pin(first.select("doc_id"))
