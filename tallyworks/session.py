@@ -6,8 +6,11 @@ Nothing here picks a master: the caller's session (or ``spark-submit``) does.
 from __future__ import annotations
 
 import math
+import os
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -90,12 +93,19 @@ def analysed(spark: SparkSession, df: DataFrame, table: str, columns: Sequence[s
 def shared_root(spark: SparkSession) -> str:
     """A folder every executor can reach: ``spark.checkpoint.dir``, else below the warehouse.
 
-    The session is only read, never changed.
+    The session is only read, never changed. A cluster that names neither has no such
+    folder: the warehouse is then below the driver's working folder, and this fails.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_shared"
-    return root.rstrip("/")
+    if root:
+        return root.rstrip("/")
+    warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+    unset = warehouse.removeprefix("file:") == f"{os.getcwd()}/spark-warehouse"
+    if unset and not spark.conf.get("spark.master", "local").startswith("local"):
+        raise RuntimeError(
+            "Set spark.checkpoint.dir, or spark.sql.warehouse.dir, to a folder that all executors share"
+        )
+    return f"{warehouse}/_shared"
 
 
 def new_shared_folder(spark: SparkSession, purpose: str) -> str:
@@ -103,13 +113,43 @@ def new_shared_folder(spark: SparkSession, purpose: str) -> str:
     return f"{shared_root(spark)}/{purpose}-{uuid.uuid4().hex}"
 
 
+# The paths that are to be deleted when the block around them ends.
+_PASSING: ContextVar[list[str] | None] = ContextVar("passing", default=None)
+
+
+@contextmanager
+def passing_pins(spark: SparkSession) -> Iterator[None]:
+    """Deletes at its end, also after a failure, what ``pin`` wrote inside.
+
+    For a block that writes its own result: no frame built inside may be read after it.
+    A block inside another one deletes only its own files.
+    """
+    paths: list[str] = []
+    outer = _PASSING.set(paths)
+    try:
+        yield
+    finally:
+        _PASSING.reset(outer)
+        for path in paths:
+            delete_folder(spark, path)
+
+
+def delete_folder(spark: SparkSession, path: str) -> bool:
+    """Deletes a folder and all in it, wherever it is stored; false if it was not there."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def pin(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared folder and continue from there.
 
     Used where two branches must see the very same rows in the very same
     slices, also after executors are lost. The files are columnar, so a branch
-    reads only its columns, and their size is known to the planner.
+    reads only its columns, and their size is known to the planner. The files stay,
+    unless ``passing_pins`` is around.
     """
     path = new_shared_folder(df.sparkSession, "pinned")
+    if (passing := _PASSING.get()) is not None:
+        passing.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -1,3 +1,4 @@
+import os
 import struct
 
 import pytest
@@ -259,3 +260,50 @@ def test_sized_conf():
     assert small["spark.sql.shuffle.partitions"] == "16"
     assert session.sized_conf(10**12, 1000)["spark.sql.shuffle.partitions"] == "5000"
     assert session.sized_conf(10**14, 4000)["spark.sql.shuffle.partitions"] == "500000"
+
+
+class Settings(dict):
+    """Stands in for a session's settings."""
+
+    @property
+    def conf(self):
+        return self
+
+
+def test_shared_root_of_a_cluster_is_named():
+    unset = f"file:{os.getcwd()}/spark-warehouse"
+    cluster = Settings({"spark.master": "spark://host:7077", "spark.sql.warehouse.dir": unset})
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.shared_root(cluster)
+    assert session.shared_root(Settings({**cluster, "spark.checkpoint.dir": "hdfs:///c/"})) == "hdfs:///c"
+    named = Settings({**cluster, "spark.sql.warehouse.dir": "file:/shared/warehouse"})
+    assert session.shared_root(named) == "file:/shared/warehouse/_shared"
+    local = Settings({**cluster, "spark.master": "local[8]"})
+    assert session.shared_root(local) == f"{unset}/_shared"
+
+
+def files_of(df):
+    return [name for name in df.inputFiles() if os.path.exists(name.removeprefix("file://"))]
+
+
+def test_passing_pins_go_with_their_block(spark):
+    stays = session.pin(spark.range(10))
+    with session.passing_pins(spark):
+        outer = session.pin(spark.range(10))
+        with session.passing_pins(spark):
+            inner = session.pin(outer)
+            inner_files = inner.inputFiles()
+            assert files_of(inner) == inner_files
+        assert not any(os.path.exists(f.removeprefix("file://")) for f in inner_files)
+        assert outer.count() == 10
+        outer_files = outer.inputFiles()
+    assert not any(os.path.exists(f.removeprefix("file://")) for f in outer_files)
+    assert stays.count() == 10
+
+
+def test_passing_pins_go_after_a_failure(spark):
+    with pytest.raises(ValueError), session.passing_pins(spark):
+        files = session.pin(spark.range(3)).inputFiles()
+        raise ValueError
+    assert files and not any(os.path.exists(f.removeprefix("file://")) for f in files)
+    assert files_of(session.pin(spark.range(3)))
