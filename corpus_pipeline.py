@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from tallyworks.llm import decontamination, ngram_join, packing, secret_scan, toxicity, words
 from tallyworks.llm.queries import vocabulary
 from tallyworks.operators import aggregates
-from tallyworks.session import new_shared_folder, pin
+from tallyworks.session import new_shared_folder, passing_pins, pin
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -102,10 +102,14 @@ ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, folder: str) -> DataFrame:
-    """The last stage's rows; every stage's result is written to the shared folder."""
+    """The last stage's rows; every stage's result is written to the shared folder.
+
+    What a stage wrote on the way is deleted when its result is there.
+    """
     docs = words.read(spark, folder, "documents")
     for name, stage in STAGES:
         path = new_shared_folder(spark, f"corpus-{name}")
-        stage(spark, docs, folder).write.parquet(path)
+        with passing_pins(spark):
+            stage(spark, docs, folder).write.parquet(path)
         docs = spark.read.parquet(path)
     return docs

@@ -1,5 +1,6 @@
 """The corpus pipeline on a small folder of tables, stage by stage against brute force."""
 
+import os
 import random
 
 import pytest
@@ -7,6 +8,7 @@ from helpers import PROSE, components, near_copies
 
 import corpus_pipeline
 from tallyworks.llm import secret_scan
+from tallyworks.session import shared_root
 
 BAD = ["blortish", "grumpfer", "snivelot"]
 ITEM = "each candidate of the final exam shall name three rivers that flow north and explain why they do so"
@@ -104,7 +106,12 @@ def test_run_packs_what_is_left(spark, folder):
     from tallyworks.llm import packing
     from tallyworks.llm.queries import vocabulary
 
+    shared = shared_root(spark).removeprefix("file:")
+    before = set(os.listdir(shared)) if os.path.exists(shared) else set()
     packed = corpus_pipeline.run(spark, folder)
+    # Of what the stages wrote only their results are left.
+    written = {name.rsplit("-", 1)[0] for name in set(os.listdir(shared)) - before}
+    assert written == {f"corpus-{name}" for name, _ in corpus_pipeline.STAGES}
     assert {"doc_id", "start", "length", "ids_crc32", "sequence_id", "offset"} <= set(packed.columns)
     rows = [(r.doc_id, r.text) for r in read(spark, folder).collect()]
     rows = list(dict.fromkeys(r for r in rows if not any(b in (r[1] or "") for b in BAD)))
