@@ -122,6 +122,16 @@ def partition_profile(df: DataFrame) -> DataFrame:
     )
 
 
+def correlation(x: str, y: str) -> Column:
+    """Aggregate: Pearson's correlation of rows that have both; null if either does not vary.
+
+    Spark's own ends the job there, with a division by zero.
+    """
+    both = F.col(x).isNotNull() & F.col(y).isNotNull()
+    spread = F.stddev_pop(F.when(both, F.col(x))) * F.stddev_pop(F.when(both, F.col(y)))
+    return F.try_divide(F.covar_pop(x, y), spread)
+
+
 def catalogue(df: DataFrame, keys: Sequence[str], x: str, y: str) -> DataFrame:
     """The statistical aggregates of two numeric columns per key.
 
@@ -140,7 +150,7 @@ def catalogue(df: DataFrame, keys: Sequence[str], x: str, y: str) -> DataFrame:
         F.var_pop(x).alias("var_pop"),
         F.skewness(x).alias("skewness"),
         F.kurtosis(x).alias("kurtosis"),
-        F.corr(x, y).alias("corr"),
+        correlation(x, y).alias("corr"),
         F.covar_pop(x, y).alias("covar_pop"),
         pairs.alias("_pairs"),
     )

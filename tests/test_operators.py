@@ -254,3 +254,14 @@ def test_unnested_drops_empty_and_null_arrays(spark, rows):
         [(1, [(1, "a"), (2, "b")]), (2, []), (3, None)], "id INT, xs ARRAY<STRUCT<q: INT, t: STRING>>"
     )
     assert rows(shaping.unnested(df, "xs", ["q", "t"])) == [(1, 1, "a"), (1, 2, "b")]
+
+
+def test_catalogue_of_a_column_that_does_not_vary(spark):
+    df = spark.createDataFrame(
+        [("same", 2.0, 1), ("same", 2.0, 5), ("one", 3.0, 1), ("none", None, 1), ("line", 1.0, 2),
+         ("line", 2.0, 4), ("line", 9.0, None)],
+        "k string, x double, y int",
+    )
+    got = {r.k: r["corr"] for r in aggregates.catalogue(df, ["k"], "x", "y").collect()}
+    assert got["line"] == pytest.approx(1.0)
+    assert got["same"] is None and got["one"] is None and got["none"] is None
