@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -100,6 +100,69 @@ def category_rentals(
     return totals.orderBy(F.desc("count"), "category") if ordered else totals
 
 
+def times_rented(rental: DataFrame, film: DataFrame) -> DataFrame:
+    """Every film with its ``rentals``, 0 for one that was never rented.
+
+    Rentals are counted per film before the join, so a film that is rented much is one row.
+    """
+    counted = aggregates.count_by(rental.where(F.col("film_id").isNotNull()), "film_id", into="rentals")
+    return film.join(counted, "film_id", "left").withColumn("rentals", F.coalesce("rentals", F.lit(0)))
+
+
+def _per_film(totals: DataFrame) -> DataFrame:
+    return totals.withColumn("rentals_per_film", F.col("rentals") / F.col("films"))
+
+
+def rentals_per_feature(
+    rental: DataFrame,
+    film: DataFrame,
+    features: Sequence[str] = rules.FILM_FEATURES,
+    column: str = "special_features",
+    separator: str = ",",
+) -> DataFrame:
+    """Do films with a feature rent more? Films, rentals and rentals per film, with and without each.
+
+    A film without a list has none of the features. Films are first summed per set of
+    features, of which there are few, and only these sums are counted once per feature.
+    """
+    flags = rules.feature_flags(column, features, separator)
+    flagged = times_rented(rental, film).select("rentals", *flags).na.fill(0)
+    names = flagged.columns[1:]
+    sets = flagged.groupBy(*names).agg(F.count("*").alias("films"), F.sum("rentals").alias("rentals"))
+    return _per_film(
+        sets.unpivot(["films", "rentals"], names, "feature", "has_feature")
+        .groupBy("feature", "has_feature")
+        .agg(F.sum("films").alias("films"), F.sum("rentals").alias("rentals"))
+    )
+
+
+def rentals_per_value(rental: DataFrame, film: DataFrame, column: str = "rental_duration") -> DataFrame:
+    """Films, rentals and rentals per film for each value of a film's column; null is a value."""
+    return _per_film(
+        times_rented(rental, film.select("film_id", column))
+        .groupBy(column)
+        .agg(F.count("*").alias("films"), F.sum("rentals").alias("rentals"))
+    )
+
+
+def rental_trends(rental: DataFrame, film: DataFrame, columns: Sequence[str], digits: int = 6) -> DataFrame:
+    """Do films with a larger value rent more? Per numeric column, over all films that have one:
+    how many, the correlation with the number of rentals, and by how many rentals one more
+    of it goes along with. Both are null where the column does not vary.
+    """
+    known = times_rented(rental, film.select("film_id", *columns))
+    trends = [
+        F.struct(
+            F.lit(name).alias("measure"),
+            F.count(name).alias("films"),
+            F.round(aggregates.correlation(name, "rentals"), digits).alias("correlation"),
+            F.round(F.regr_slope("rentals", name), digits).alias("slope"),
+        )
+        for name in columns
+    ]
+    return known.agg(F.array(*trends).alias("trends")).select(F.inline("trends"))
+
+
 def unreturned(
     rental: DataFrame,
     customer: DataFrame,

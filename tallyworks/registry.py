@@ -638,6 +638,48 @@ def rentals_one_country(t: Tables) -> DataFrame:
     return rental.category_rentals(t.rental(), t.renters(), t.films(), COUNTRY, t.inventory())
 
 
+RENTED_SQL = """
+    SELECT p_name, p_size, p_retailprice, count(l_partkey) AS rentals
+    FROM part LEFT JOIN lineitem ON l_partkey = p_partkey
+    GROUP BY p_partkey, p_name, p_size, p_retailprice
+"""
+
+
+@query(f"""
+    SELECT 'feature_' || replace(name, ' ', '_') AS feature,
+           CAST(list_contains(string_split(p_name, ' '), name) AS INTEGER) AS has_feature,
+           count(*) AS films, CAST(sum(rentals) AS BIGINT) AS rentals,
+           CAST(sum(rentals) AS DOUBLE) / count(*) AS rentals_per_film
+    FROM ({RENTED_SQL}), (SELECT unnest({list(FEATURES)}) AS name)
+    GROUP BY 1, 2
+""")
+def rentals_per_feature(t: Tables) -> DataFrame:
+    return rental.rentals_per_feature(t.loans(), t.films(), FEATURES, "title", " ")
+
+
+@query(f"""
+    SELECT p_size AS rental_duration, count(*) AS films, CAST(sum(rentals) AS BIGINT) AS rentals,
+           CAST(sum(rentals) AS DOUBLE) / count(*) AS rentals_per_film
+    FROM ({RENTED_SQL}) GROUP BY 1
+""")
+def rentals_per_duration(t: Tables) -> DataFrame:
+    return rental.rentals_per_value(t.loans(), t.measured_films())
+
+
+@query(f"""
+    SELECT 'rental_duration' AS measure, count(p_size) AS films,
+           round(corr(p_size, rentals), 6) AS correlation,
+           round(regr_slope(rentals, p_size), 6) AS slope
+    FROM ({RENTED_SQL})
+    UNION ALL
+    SELECT 'rental_rate', count(p_retailprice), round(corr(p_retailprice, rentals), 6),
+           round(regr_slope(rentals, p_retailprice), 6)
+    FROM ({RENTED_SQL})
+""")
+def rental_trends(t: Tables) -> DataFrame:
+    return rental.rental_trends(t.loans(), t.measured_films(), ["rental_duration", "rental_rate"])
+
+
 @query("""
     SELECT c_name AS first_name, lower(c_mktsegment) || '@example.com' AS email,
            p_name AS title, o_orderdate AS rental_date

@@ -261,6 +261,14 @@ class Tables:
             F.col("p_retailprice").alias("rental_rate"),
         )
 
+    def measured_films(self) -> DataFrame:
+        """Films with the numbers that may tell how often they are rented."""
+        return self.read("part").select(
+            F.col("p_partkey").alias("film_id"),
+            F.col("p_size").alias("rental_duration"),
+            F.col("p_retailprice").alias("rental_rate"),
+        )
+
     def renters(self) -> DataFrame:
         return self.located_customers().select(
             F.col("c_custkey").alias("customer_id"),

@@ -161,6 +161,42 @@ def test_rentals(spark, rows):
     assert rows(rental.films_per_category(films)) == [("Action", 1), ("Drama", 1)]
 
 
+def rented_films(spark):
+    """Film 1 is rented three times, 2 once, 3 and 4 never; one rental has no film, one no known film."""
+    films = spark.createDataFrame(
+        [(1, "Trailers,Commentaries", 3, 1.0), (2, "Trailers", 5, 1.0), (3, None, 5, 1.0), (4, "Other", None, 1.0)],
+        "film_id INT, special_features STRING, rental_duration INT, rental_rate DOUBLE",
+    )
+    return spark.createDataFrame([(f,) for f in (1, 1, 1, 2, None, 9)], "film_id INT"), films
+
+
+def test_rentals_per_feature(spark, rows, plan):
+    rentals, films = rented_films(spark)
+    got = rental.rentals_per_feature(rentals, films)
+    assert rows(got, "feature", "has_feature", "films", "rentals", "rentals_per_film") == [
+        ("feature_behind_the_scenes", 0, 4, 4, 1.0),
+        ("feature_commentaries", 0, 3, 1, 1 / 3),
+        ("feature_commentaries", 1, 1, 3, 3.0),
+        ("feature_deleted_scenes", 0, 4, 4, 1.0),
+        ("feature_trailers", 0, 2, 0, 0.0),
+        ("feature_trailers", 1, 2, 4, 2.0),
+    ]
+    # Films are summed before they are taken apart by feature.
+    below = plan(got).split("Expand")[1]
+    assert "HashAggregate" in below.split("Join")[0]
+    assert rental.rentals_per_feature(rentals, films.limit(0)).count() == 0
+    assert {r[1] for r in rows(rental.rentals_per_feature(rentals.limit(0), films), "films", "rentals")} == {0}
+
+
+def test_rentals_per_value_and_trends(spark, rows):
+    rentals, films = rented_films(spark)
+    assert rows(rental.rentals_per_value(rentals, films)) == [(3, 1, 3, 3.0), (5, 2, 1, 0.5), (None, 1, 0, 0.0)]
+    trends = rental.rental_trends(rentals, films, ["rental_duration", "rental_rate"])
+    assert rows(trends) == [("rental_duration", 3, -0.944911, -1.25), ("rental_rate", 4, None, None)]
+    empty = rental.rental_trends(rentals, films.limit(0), ["rental_duration"])
+    assert rows(empty) == [("rental_duration", 0, None, None)]
+
+
 def test_rentals_through_inventory(spark, rows):
     rentals, customers, films = rental_tables(spark)
     by_copy = rentals.withColumnRenamed("film_id", "inventory_id")
