@@ -1,5 +1,6 @@
 """Toxicity, token counts, pseudo-likelihood and quality rules."""
 
+import math
 import random
 import zlib
 from collections import Counter
@@ -272,6 +273,58 @@ def test_rules_find_a_planted_conjunction(spark):
     assert quality_rules.learn_rules(np.empty((0, len(quality_rules.FEATURES))), np.empty(0, dtype=bool)) == []
 
 
+def plain_gains(x, bad, inside, cuts):
+    """The information gain of every condition there is, each counted row by row."""
+    rows = [(r, b) for r, b, i in zip(x.tolist(), bad.tolist(), inside.tolist()) if i]
+    p = sum(b for _, b in rows)
+    gains = {}
+    for j, name in enumerate(quality_rules.FEATURES):
+        for cut in cuts[j].tolist():
+            for at_least in (True, False):
+                met = [b for r, b in rows if (r[j] >= cut if at_least else r[j] <= cut)]
+                hits = sum(met)
+                gain = hits * (math.log2(hits / len(met)) - math.log2(p / len(rows))) if hits else -math.inf
+                gains[quality_rules.Condition(name, at_least, cut)] = gain
+    return gains
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_covering_by_brute_force(seed):
+    """Every step of the covering is the best one; values with many ties, labels with noise."""
+    rng = np.random.default_rng(seed)
+    x = rng.integers(0, 7, (240, len(quality_rules.FEATURES))).astype(float)
+    bad = ((x[:, 1] >= 5) & (x[:, 3] <= 3)) | (x[:, 8] == 0) ^ (rng.random(240) < 0.04)
+    cuts = [np.unique(np.quantile(x[:, j], np.linspace(0, 1, 200))) for j in range(x.shape[1])]
+    rules = quality_rules.learn_rules(x, bad)
+    assert rules
+    left, third = np.ones(240, dtype=bool), np.arange(240) % 3 == 2
+    for rule in [*rules, None]:
+        grown = quality_rules.grow(x[left & ~third], bad[left & ~third], cuts, 4)
+        inside = left & ~third
+        for condition in grown:
+            gains = plain_gains(x, bad, inside, cuts)
+            assert gains[condition] == pytest.approx(max(gains.values())) and gains[condition] > 0
+            inside &= condition.compare(x[:, quality_rules.FEATURES.index(condition.feature)])
+        pure = not (inside & ~bad).any() or not (inside & bad).any()
+        assert pure or len(grown) == 4 or max(plain_gains(x, bad, inside, cuts).values()) <= 1e-9
+
+        def worth(conditions):
+            met = [b for r, b in zip(x[left & third], bad[left & third])
+                   if all(c.compare(r[quality_rules.FEATURES.index(c.feature)]) for c in conditions)]
+            return (2 * sum(met) - len(met)) / (len(met) + 1)
+
+        starts = [grown[:k] for k in range(1, len(grown) + 1)]
+        best = max(map(worth, starts)) if starts else None
+        chosen = next((c for c in starts if worth(c) == best), [])
+        met = quality_rules.Rule(tuple(chosen)).covers(x) & left
+        good_enough = bool(chosen) and met.sum() >= 4 and (met & bad).sum() >= 0.8 * met.sum()
+        if rule is None:
+            assert len(rules) == 12 or (left & bad).sum() < 4 or not good_enough
+        else:
+            assert list(rule.conditions) == chosen and good_enough
+            left &= ~met
+
+
 def test_rules_from_tables(spark):
     docs, labels = labelled(spark)
     assert isinstance(quality_rules.learn(docs, labels), list)
