@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -12,6 +13,15 @@ from tallyworks.operators import windows
 from tallyworks.operators.joins import lookup, same_key
 
 
+#: About so many rows go to one part where the number of parts follows the rows.
+PART_ROWS = 250_000
+
+
+def parts_for(df: DataFrame) -> int:
+    """How many parts hold about ``PART_ROWS`` rows each, two at least; the count of a file reads no column."""
+    return max(2, math.ceil(df.count() / PART_ROWS))
+
+
 def count_by(df: DataFrame, *keys: str, into: str = "count") -> DataFrame:
     return df.groupBy(*keys).agg(F.count("*").alias(into))
 

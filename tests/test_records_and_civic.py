@@ -1,10 +1,12 @@
 import json
+from collections import Counter
 from datetime import date, datetime
 
 import pytest
 
 from tallyworks import schemas
 from tallyworks.functions import text
+from tallyworks.operators import aggregates
 from tallyworks.plans import (
     brazil,
     census,
@@ -161,6 +163,27 @@ def test_rentals(spark, rows):
     assert rows(rental.films_per_category(films)) == [("Action", 1), ("Drama", 1)]
 
 
+def test_monthly_tops_are_counted_in_parts_that_follow_the_rows(spark, rows, plan, monkeypatch):
+    """A hot film, rentals without film, without date and of unknown films, a repeated film; ties."""
+    monkeypatch.setattr(aggregates, "PART_ROWS", 40)
+    made = [(k % 7, datetime(2005, 1 + k % 3, 1 + k % 28, k % 24)) for k in range(300)]
+    made += [(1, datetime(2005, 2, 3))] * 90 + [(None, datetime(2005, 1, 1))] * 50 + [(2, None)] * 9 + [(1, None)] * 9
+    rentals = spark.createDataFrame(made, "film_id INT, rental_date TIMESTAMP")
+    films = spark.createDataFrame([(k,) for k in (1, 2, 3, 4, 4, 5, None, 99)], "film_id INT")
+    counts = Counter((f, d and d.year, d and d.month) for f, d in made if f in range(1, 6))
+    expected = []
+    for month in {key[1:] for key in counts}:
+        best = sorted((-n, key[0]) for key, n in counts.items() if key[1:] == month)[:3]
+        expected += [(film, *month, -n) for n, film in best]
+    top = rental.top_films_by_month(rentals, films, k=3)
+    assert rows(top) == sorted(expected, key=repr)
+    often = Counter(film for film, *_ in expected)
+    assert rows(rental.repeat_toppers(top)) == sorted(((f, n) for f, n in often.items() if n > 1), key=repr)
+    text = plan(top)
+    assert text.count("REPARTITION_BY_NUM") >= 3 and text.count(", 12), REPARTITION_BY_NUM") >= 3
+    assert "LeftSemi" not in text
+
+
 def rented_films(spark):
     """Film 1 is rented three times, 2 once, 3 and 4 never; one rental has no film, one no known film."""
     films = spark.createDataFrame(
