@@ -35,6 +35,13 @@ def test_top_per_group_limits_before_the_shuffle(planned):
         assert text.count("WindowGroupLimit") == 2, name
 
 
+def test_monthly_tops_count_before_they_meet_the_films(planned):
+    """The planner moves a semi join below the counts, and every line would be sorted for it."""
+    for name in ("top10_parts_per_month", "repeat_toppers"):
+        text = planned(name)
+        assert "LeftSemi" not in text and "REPARTITION_BY_NUM" in text, name
+
+
 def test_one_level_of_counting(planned):
     text = planned("top_part_per_nation")
     assert text.count("functions=[count(product") == 1
