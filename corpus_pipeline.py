@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from tallyworks.llm import decontamination, ngram_join, packing, secret_scan, toxicity, words
 from tallyworks.llm.queries import vocabulary
-from tallyworks.operators import aggregates
+from tallyworks.operators import aggregates, joins
 from tallyworks.session import new_shared_folder, passing_pins, pin
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -53,9 +53,12 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, folder: str) -> Data
     first = pin(first.select("doc_id"))
     again = members.where("rows > 1").join(first, "doc_id", "left_semi").select("doc_id")
     goes = members.join(first, "doc_id", "left_anti").select("doc_id").unionByName(again)
-    # Rows without id have keys, but those of no member.
-    kept = rows.join(goes.withColumnRenamed("doc_id", key), key, "left_anti")
-    repeated = rows.join(again.withColumnRenamed("doc_id", key), key, "left_semi")
+    goes = pin(goes.withColumnRenamed("doc_id", key))
+    # Rows without id have keys, but those of no member. Only rows that may go are shuffled
+    # with their texts.
+    suspected, stays = joins.sifted(rows, key, goes)
+    kept = stays.unionByName(suspected.join(goes, key, "left_anti"))
+    repeated = suspected.join(again.withColumnRenamed("doc_id", key), key, "left_semi")
     return kept.unionByName(aggregates.one_per_key(repeated, [key])).select(*docs.columns)
 
 

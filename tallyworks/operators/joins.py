@@ -14,6 +14,11 @@ from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+#: Bits of the filter of ``sifted``; a table of at most an eighth of a million words, whatever is joined.
+FILTER_BITS = 1 << 23
+
 
 def lookup(
     facts: DataFrame, dimension: DataFrame, on: str | Sequence[str], how: str = "inner"
@@ -76,3 +81,22 @@ def _key_test(left: DataFrame, right: DataFrame, on: str | Sequence[str], how: s
     # distinct() merges a hot key inside the map tasks, and its shuffle is the
     # one the join needs anyway.
     return left.join(right.select(*keys).distinct(), keys, how)
+
+
+def sifted(df: DataFrame, on: str, known: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The rows of ``df`` whose key may be in ``known``, and the rows whose key is not there for certain.
+
+    ``on`` is a column of whole numbers in both, evenly spread (a hash). The rows are told by a
+    filter of fixed size that is broadcast, so the wide rows of the second frame need no
+    shuffle for a key test; the first holds those with the key and about one in
+    ``FILTER_BITS`` / keys of the others. A null key is not in ``known``.
+    """
+    place = F.pmod(F.col(on), F.lit(FILTER_BITS))
+    word, bits = F.shiftright(place, 6), "_sifted_bits"
+    held = known.select(word.alias("_sifted"), F.pmod(place, F.lit(64)).cast("int").alias("_bit"))
+    words = held.groupBy("_sifted").agg(F.bit_or(F.expr("shiftleft(1L, _bit)")).alias(bits))
+    told = df.withColumn("_sifted", word).join(F.broadcast(words), "_sifted", "left")
+    # The word that a row met, moved so that the bit of the row is the last.
+    met = F.call_function("shiftright", F.col(bits), F.pmod(place, F.lit(64)).cast("int")).bitwiseAND(F.lit(1))
+    may = F.coalesce(met == 1, F.lit(False))
+    return told.where(may).select(*df.columns), told.where(~may).select(*df.columns)

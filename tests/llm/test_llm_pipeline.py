@@ -99,6 +99,22 @@ def test_rows_are_judged_by_their_own_text(spark, folder):
     assert sorted(map(tuple, clean), key=str) == sorted([r for r in rows if ITEM not in (r[1] or "")], key=str)
 
 
+def test_rows_that_stay_are_not_shuffled_with_their_texts(spark, folder, plan):
+    """Where the keys that go are too many for a broadcast, too."""
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        docs = read(spark, folder)
+        kept = stage("ngram_join")(spark, docs, folder)
+        ids = sorted((r.doc_id for r in kept.select("doc_id").collect()), key=str)
+        branches = plan(kept).split("Scan parquet")
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert ids == sorted((r.doc_id for r in stage("ngram_join")(spark, docs, folder).collect()), key=str)
+    # The first branch holds the rows that stay: one broadcast join and no shuffle of them.
+    assert "LeftOuter, BuildRight" in branches[0] and "SortMergeJoin" not in branches[0]
+
+
 def test_run_packs_what_is_left(spark, folder):
     """The whole run, against the stages by brute force: every document, every token count."""
     import tiktoken  # noqa: F401  the encoder's library

@@ -32,6 +32,24 @@ def test_matched_reduces_the_tested_side_before_its_shuffle(spark, plan):
     assert "LeftAnti" in text and text.count("HashAggregate") == 2
 
 
+@pytest.mark.parametrize("bits", [64, 1 << 23])
+def test_sifted_rows_lose_no_key_and_are_not_shuffled(spark, rows, plan, monkeypatch, bits):
+    """Negative and null keys, repeated rows, a filter that is nearly full."""
+    monkeypatch.setattr(joins, "FILTER_BITS", bits)
+    rng = random.Random(4)
+    keys = [rng.getrandbits(64) - (1 << 63) for _ in range(300)] + [-1, 0, 63, -64, None]
+    made = [(k, f"text {n % 3}") for n, k in enumerate(keys + keys[:40])]
+    known = set(keys[:20] + keys[-5:-1])
+    df = spark.createDataFrame(made, "k LONG, v STRING")
+    may, stays = joins.sifted(df, "k", spark.createDataFrame([(k,) for k in [*known, None]], "k LONG"))
+    assert rows(may.unionByName(stays)) == sorted(made, key=repr)
+    assert known.isdisjoint({k for k, _ in rows(stays)})
+    assert known <= {k for k, _ in rows(may)} and None not in {k for k, _ in rows(may)}
+    if bits > 64:
+        assert {k for k, _ in rows(may)} == known
+    assert "BroadcastHashJoin" in plan(stays) and "SortMergeJoin" not in plan(stays)
+
+
 def test_lookup_leaves_the_choice_to_the_planner(spark, plan):
     facts = spark.range(1000).select((F.col("id") % 10).alias("k"), "id")
     names = spark.range(10).select(F.col("id").alias("k"), F.lit("n").alias("name"))
