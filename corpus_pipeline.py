@@ -8,6 +8,7 @@ but the last return the columns of ``documents``, whatever further ones there ar
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,11 +17,26 @@ from pyspark.sql import functions as F
 from tallyworks.llm import decontamination, ngram_join, packing, secret_scan, toxicity, words
 from tallyworks.llm.queries import vocabulary
 from tallyworks.operators import aggregates, joins
-from tallyworks.session import new_shared_folder, passing_pins, pin
+from tallyworks.session import new_shared_folder, passing_pins, pin, small_batches
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def in_small_batches(stage: Stage) -> Stage:
+    """The stage with its texts going to Python workers in small batches.
+
+    Executors live on through all stages, so what one takes at most adds to what those
+    before it left behind.
+    """
+
+    @functools.wraps(stage)
+    def run(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+        return stage(spark, small_batches(docs), folder)
+
+    return run
+
+
+@in_small_batches
 def without_toxic(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Documents whose toxicity score is below one half. Null and empty texts stay."""
     lexicon = toxicity.learn(docs, words.read(spark, folder, "labels"))
@@ -35,6 +51,7 @@ def keyed(docs: DataFrame) -> tuple[DataFrame, str]:
     return docs.withColumn(key, F.xxhash64("doc_id", F.col("text").isNull(), "text")), key
 
 
+@in_small_batches
 def one_of_each_group(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Of each group of near copies the row with the smallest id stays.
 
@@ -73,6 +90,7 @@ def without_benchmark(spark: SparkSession, docs: DataFrame, folder: str) -> Data
     return rows.join(leaks, key, "left_anti").select(*docs.columns)
 
 
+@in_small_batches
 def without_secrets(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """All documents, every secret in them replaced by a mark, ``n_chars`` counted anew."""
     crf = secret_scan.learn(docs)
@@ -87,6 +105,7 @@ def without_secrets(spark: SparkSession, docs: DataFrame, folder: str) -> DataFr
     return changed.select(*docs.columns)
 
 
+@in_small_batches
 def packed(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """The pieces of all documents in windows of 2048 tokens, with a checksum of their ids."""
     pieces = packing.pack_documents(docs, vocabulary("byte_bpe_50k.tiktoken"))

@@ -7,6 +7,8 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
+from tallyworks.llm import lean
+
 _U = np.uint64
 #: Texts hashed together; bounds the working arrays unless one text alone is larger.
 CHUNK_BYTES = 1 << 20
@@ -33,6 +35,9 @@ class Powers:
     """Powers of the base and of its inverse modulo 2**64, grown on demand."""
 
     def __init__(self):
+        self.forget()
+
+    def forget(self) -> None:
         self.up = self.down = np.ones(1, dtype=_U)
 
     def get(self, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -50,6 +55,8 @@ class Powers:
 
 
 _powers = Powers()
+# They fill 16 bytes for each byte of the longest run; workers live on after their last use.
+lean.at_release(_powers.forget)
 
 
 def word_hashes(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

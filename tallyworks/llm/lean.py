@@ -22,8 +22,19 @@ def sliced(batch: pa.RecordBatch | pa.Array, rows: int = ROWS) -> Iterator:
         yield batch.slice(at, rows)
 
 
+#: What modules remember from task to task and forget when one ends.
+_FORGET: list[Callable[[], None]] = []
+
+
+def at_release(forget: Callable[[], None]) -> None:
+    """``forget`` is called whenever a task of this worker ends."""
+    _FORGET.append(forget)
+
+
 def release() -> None:
     """Gives back what this worker has freed, so that the next stage finds it free."""
+    for forget in _FORGET:
+        forget()
     gc.collect()
     pa.default_memory_pool().release_unused()
     libc = ctypes.CDLL(None)

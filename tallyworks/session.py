@@ -83,6 +83,34 @@ def cost_based(spark: SparkSession) -> SparkSession:
     return sister
 
 
+#: Rows, and about how many bytes, that go to a Python worker at once in ``small_batches``.
+BATCH_ROWS, BATCH_BYTES = 500, "4m"
+
+
+def small_batches(df: DataFrame) -> DataFrame:
+    """The same rows in a sister session that sends few of them to a Python worker at a time.
+
+    Spark's own batches of 10,000 rows may hold a whole file split of texts, once in the
+    executor's memory outside its heap and once in the worker. What is built on the result
+    belongs to the sister, which has the given session's settings but for the batches; the
+    given session keeps its own.
+    """
+    spark = df.sparkSession
+    sister = spark.newSession()
+    for key, value in spark.conf.getAll.items():
+        if spark.conf.isModifiable(key):
+            sister.conf.set(key, value)
+    rows = int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch"))
+    sister.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(min(rows, BATCH_ROWS) if rows > 0 else BATCH_ROWS))
+    sister.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+    view = f"small_batches_{uuid.uuid4().hex}"
+    df.createGlobalTempView(view)
+    try:
+        return sister.table(f"global_temp.`{view}`")
+    finally:
+        spark.catalog.dropGlobalTempView(view)
+
+
 def analysed(spark: SparkSession, df: DataFrame, table: str, columns: Sequence[str], path: str) -> DataFrame:
     """Store ``df`` as a table at ``path`` and gather its row count and column statistics."""
     df.write.mode("overwrite").option("path", path).saveAsTable(table)

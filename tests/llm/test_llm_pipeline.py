@@ -3,12 +3,14 @@
 import os
 import random
 
+import pyarrow as pa
 import pytest
 from helpers import PROSE, components, near_copies
 
 import corpus_pipeline
-from tallyworks.llm import secret_scan
-from tallyworks.session import shared_root
+from pyspark.sql import functions as F
+from tallyworks.llm import hashing, lean, secret_scan
+from tallyworks.session import BATCH_ROWS, shared_root, small_batches
 
 BAD = ["blortish", "grumpfer", "snivelot"]
 ITEM = "each candidate of the final exam shall name three rivers that flow north and explain why they do so"
@@ -141,3 +143,38 @@ def test_run_packs_what_is_left(spark, folder):
     for doc, text in rows:
         if not secret_scan.base_spans(text or ""):
             assert got[doc] == len(encode(text or "")) + 1, doc
+
+
+@pytest.mark.parametrize("width, most", [(10, BATCH_ROWS), (20_000, 300)])
+def test_few_texts_go_to_a_worker_at_once(spark, width, most):
+    """Bounded by rows, and by bytes where texts are long; every row goes, the given session keeps its settings."""
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows])], names=["n"])
+
+    docs = spark.range(1200).repartition(1).select("id", F.repeat(F.lit("x"), width).alias("text"))
+    few = small_batches(docs)
+    got = [r.n for r in few.select("text").mapInArrow(sizes, "n long").collect()]
+    assert sum(got) == 1200 and max(got) <= most
+    assert few.schema == docs.schema and few.agg(F.sum("id")).first()[0] == 1200 * 1199 // 2
+    assert [r.n for r in docs.select("text").mapInArrow(sizes, "n long").collect()] == [1200]
+    shuffles = "spark.sql.shuffle.partitions"
+    assert few.sparkSession.conf.get(shuffles) == spark.conf.get(shuffles)
+
+
+def test_stages_with_python_use_small_batches(spark, folder):
+    docs, rows = read(spark, folder), "spark.sql.execution.arrow.maxRecordsPerBatch"
+    for name in ("toxicity", "ngram_join", "secret_scan", "packing"):
+        assert int(stage(name)(spark, docs, folder).sparkSession.conf.get(rows)) <= BATCH_ROWS, name
+    assert int(spark.conf.get(rows)) > BATCH_ROWS
+
+
+def test_a_worker_forgets_the_powers_of_a_long_text():
+    """They are as long as the longest run of texts, and the worker lives on."""
+    def work(batches):
+        for column in batches:
+            yield sum(len(sets) for _, sets in hashing.shingle_sets(column))
+            assert len(hashing._powers.up) >= 300_000
+
+    assert list(lean.released(work)(iter([pa.array(["ab " * 100_000, "c"])]))) == [2]
+    assert len(hashing._powers.up) == len(hashing._powers.down) == 1
